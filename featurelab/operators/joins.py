@@ -70,45 +70,45 @@ def side_by_side(a: DataFrame, b: DataFrame, key: str, cols: Sequence[str],
 
 def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
               value_cols: Sequence[str], time_bucket: str = "month") -> DataFrame:
-    """Point-in-time join (J3): for each left row, the newest right row of the
-    same key with ``right_ts <= left_ts`` (ties at equal time count).
-
-    Two levels so that a key holding a third of all rows is not one task:
-    1. rows are cut into (key, time bucket); inside each, both sides are
-       unioned and ``last(..., ignorenulls)`` over time carries the newest
-       right row forward (right rows sort before left rows at equal time);
-    2. a left row with no right row earlier in its own bucket takes the
-       newest right row of an earlier bucket: the per-(key, bucket) newest
-       right rows form a small table, carried forward bucket by bucket.
-    The right side must be unique per (key, ts); duplicates are resolved by
-    the largest struct of values.
+    """Point-in-time join (J3): every left row gets the newest right row of
+    the same key with ``right_ts <= left_ts`` (equal times match).
+
+    Two levels, so that a key holding a third of all rows is not one task:
+    1. both sides are cut into (key, time bucket); inside a bucket they are
+       unioned and ``last(value, ignorenulls)`` over time carries the newest
+       right row forward to each left row (right rows sort first at equal
+       time);
+    2. a left row with no right row before it in its own bucket takes the
+       newest right row of an earlier bucket: one row per (key, bucket)
+       with right data, carried forward along the buckets of its key.
+    No pairs are ever formed.  The right side is made unique per (key, ts)
+    first (largest struct of values wins), so the result is deterministic.
+    Left rows with a NULL key or time get NULL values.
     """
     bucket = lambda c: F.date_trunc(time_bucket, F.col(c))
-    payload = F.struct(*[F.col(c) for c in value_cols])
-    r = right.select(F.col(key).alias("_k"), F.col(right_ts).alias("_t"),
-                     payload.alias("_v")).groupBy("_k", "_t").agg(F.max("_v").alias("_v"))
-    r = r.withColumn("_b", bucket("_t"))
+    r = (right.where(F.col(key).isNotNull() & F.col(right_ts).isNotNull())
+         .select(F.col(key).alias("_k"), F.col(right_ts).alias("_t"),
+                 F.struct(*[F.col(c) for c in value_cols]).alias("_v"))
+         .groupBy("_k", "_t").agg(F.max("_v").alias("_v"))
+         .withColumn("_b", bucket("_t")))
     lcols = left.columns
-    l = left.withColumn("_lid", F.monotonically_increasing_id()) if False else left
-    l = l.select(F.col(key).alias("_k"), F.col(left_ts).alias("_t"), F.struct(*[F.col(c) for c in lcols]).alias("_row"))
-    l = l.withColumn("_b", bucket("_t"))
-    u = (r.select("_k", "_b", "_t", F.lit(0).alias("_side"), "_v", F.lit(None).cast(l.schema["_row"].dataType).alias("_row"))
+    l = left.select(F.col(key).alias("_k"), F.col(left_ts).alias("_t"),
+                    F.struct(*[F.col(c) for c in lcols]).alias("_row")).withColumn("_b", bucket("_t"))
+    vtype, rtype = r.schema["_v"].dataType, l.schema["_row"].dataType
+    u = (r.select("_k", "_b", "_t", F.lit(0).alias("_side"), "_v", F.lit(None).cast(rtype).alias("_row"))
          .unionByName(l.select("_k", "_b", "_t", F.lit(1).alias("_side"),
-                               F.lit(None).cast(r.schema["_v"].dataType).alias("_v"), "_row")))
+                               F.lit(None).cast(vtype).alias("_v"), "_row")))
     w = (Window.partitionBy("_k", "_b").orderBy("_t", "_side")
          .rowsBetween(Window.unboundedPreceding, 0))
-    u = u.withColumn("_in", F.last("_v", ignorenulls=True).over(w))
-    hits = u.where(F.col("_side") == 1)
-    # newest right row per (key, bucket), carried to later buckets
-    last_per_bucket = r.groupBy("_k", "_b").agg(F.max_by("_v", "_t").alias("_bv"))
+    hits = u.withColumn("_in", F.last("_v", ignorenulls=True).over(w)).where(F.col("_side") == 1)
+    # level 2: newest right row strictly before each bucket of each key
+    per_bucket = r.groupBy("_k", "_b").agg(F.max_by("_v", "_t").alias("_bv"))
+    buckets = (per_bucket.select("_k", "_b")
+               .unionByName(hits.select("_k", "_b").where(F.col("_k").isNotNull())).distinct())
     wb = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = last_per_bucket.select("_k", "_b", F.last("_bv", ignorenulls=True).over(wb).alias("_prev"))
-    # a left bucket may hold no right rows at all: carry from the newest earlier bucket
-    lb = hits.select("_k", "_b").distinct()
-    allb = lb.unionByName(last_per_bucket.select("_k", "_b")).distinct()
-    carry_all = (allb.join(last_per_bucket, ["_k", "_b"], "left")
-                 .select("_k", "_b", F.last("_bv", ignorenulls=True).over(wb).alias("_prev")))
-    j = hits.join(carry_all, ["_k", "_b"], "left")
+    carry = (buckets.join(per_bucket, ["_k", "_b"], "left")
+             .select("_k", "_b", F.last("_bv", ignorenulls=True).over(wb).alias("_prev")))
+    j = hits.join(carry, ["_k", "_b"], "left")
     v = F.coalesce(F.col("_in"), F.col("_prev"))
-    return j.select(*[F.col("_row." + c).alias(c) for c in lcols],
-                    *[v.getField(c).alias(c) for c in value_cols])
+    return j.select(*[F.col("_row")[c].alias(c) for c in lcols],
+                    *[v[c].alias(c) for c in value_cols])
