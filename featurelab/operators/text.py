@@ -16,3 +16,43 @@ def short_text(c: Column, n: int) -> Column:
     characters plus three dots (so n+2 characters long) (P16)."""
     s = collapse_ws(F.coalesce(c.cast("string"), F.lit("None")))
     return F.when(F.length(s) <= n, s).otherwise(F.concat(F.substring(s, 1, n - 1), F.lit("...")))
+
+
+def word_count(c: Column) -> Column:
+    """Whitespace tokens of the whole text; blank text counts 0."""
+    t = collapse_ws(c)
+    return F.when(F.coalesce(t, F.lit("")) == "", F.lit(0)).otherwise(F.size(F.split(t, " ")))
+
+
+def tokens(c: Column) -> Column:
+    """Whitespace tokens of the whole text (empty array for blank text)."""
+    t = collapse_ws(c)
+    return F.when(F.coalesce(t, F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.split(t, " "))
+
+
+def strip_tags(html: Column) -> Column:
+    """Drop markup (anything between < and >), collapse whitespace."""
+    return collapse_ws(F.regexp_replace(html, r"<[^>]*>", " "))
+
+
+def json_object_text(c: Column) -> Column:
+    """Outermost {...} of a model reply, markdown fences and preamble dropped (P20)."""
+    return F.regexp_extract(c, r"(?s)(\{.*\})", 1)
+
+
+def chunk_starts(n_tokens: Column, size: int, overlap: int) -> Column:
+    """Start offsets of windows of ``size`` tokens overlapping by ``overlap``.
+
+    A window is kept when it holds at least one token the previous window
+    did not, so no chunk lies wholly inside the one before it (K7)."""
+    stride = size - overlap
+    last = F.greatest(F.lit(0), F.ceil((n_tokens - F.lit(size)) / F.lit(stride)).cast("int"))
+    return F.when(n_tokens <= 0, F.array().cast("array<int>")).otherwise(
+        F.sequence(F.lit(0), last * F.lit(stride), F.lit(stride)))
+
+
+def chunk_tokens(tok: Column, size: int = 512, overlap: int = 100) -> Column:
+    """Array of (chunk_id, start, tokens) structs for a whole token array."""
+    starts = chunk_starts(F.size(tok), size, overlap)
+    return F.transform(starts, lambda s, i: F.struct(
+        i.alias("chunk_id"), s.alias("start"), F.slice(tok, s + 1, size).alias("tokens")))

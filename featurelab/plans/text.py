@@ -1 +1,206 @@
-"""Registered queries."""
+"""Text queries: batch requests and responses, extraction, chunking,
+retrieval, summaries (P16-P24, K7-K12, S6, A7, J8)."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from featurelab.functions.columns import round4
+from featurelab.operators import text as X
+from featurelab.operators.aggregate import category_counts
+from featurelab.operators.validate import enum_or_other
+from featurelab.plans.registry import query
+from featurelab.sources.tables import Tables
+
+# Triage categories of the batch job (fixed values)
+CATEGORIES = ["billing", "account", "bug", "sales", "auth"]
+SYSTEM_TEMPLATE = "Classify the message into one of: %s. Answer with one lowercase word."
+
+
+# ---------------------------------------------------------------- P17 P18 IO7
+
+
+def build_requests(docs: DataFrame, id_col: str, text_col: str, temperature: float = 0.0) -> DataFrame:
+    """One nested batch request per row, the ticket id carried in labels so
+    that predictions can be joined back (P17, P18).  ``to_json`` keeps the
+    whole text; the result is ready for ``write.text`` as JSON Lines (IO7)."""
+    system = F.format_string(SYSTEM_TEMPLATE, F.lit(", ".join(CATEGORIES)))
+    req = F.struct(F.struct(
+        F.array(F.struct(F.lit("user").alias("role"),
+                         F.array(F.struct(F.col(text_col).alias("text"))).alias("parts"))).alias("contents"),
+        F.struct(F.array(F.struct(system.alias("text"))).alias("parts")).alias("systemInstruction"),
+        F.struct(F.lit(temperature).alias("temperature")).alias("generationConfig"),
+        F.struct(F.col(id_col).cast("string").alias("ticket_id")).alias("labels"),
+    ).alias("request"))
+    return docs.select(F.col(id_col).cast("string").alias("ticket_id"), F.to_json(req).alias("line"))
+
+
+@query("prompt_requests", "P17 P18 IO7", sql="""
+WITH r AS (
+  SELECT CAST(doc_id AS VARCHAR) AS ticket_id,
+         json_object('request', json_object(
+            'contents', json_array(json_object('role', 'user', 'parts', json_array(json_object('text', text)))),
+            'systemInstruction', json_object('parts', json_array(json_object('text',
+                'Classify the message into one of: billing, account, bug, sales, auth. Answer with one lowercase word.'))),
+            'generationConfig', json_object('temperature', 0.0),
+            'labels', json_object('ticket_id', CAST(doc_id AS VARCHAR)))) AS line
+  FROM documents)
+SELECT ticket_id,
+       json_extract_string(line, '$.request.contents[0].role') AS role,
+       md5(json_extract_string(line, '$.request.contents[0].parts[0].text')) AS message_md5,
+       length(json_extract_string(line, '$.request.systemInstruction.parts[0].text')) AS system_chars,
+       CAST(json_extract(line, '$.request.generationConfig.temperature') AS DOUBLE) AS temperature,
+       json_extract_string(line, '$.request.labels.ticket_id') = ticket_id AS label_roundtrip
+FROM r
+""")
+def prompt_requests(spark: SparkSession, d: str) -> DataFrame:
+    req = build_requests(Tables(spark, d).documents, "doc_id", "text")
+    g = lambda p: F.get_json_object("line", p)
+    return req.select(
+        "ticket_id", g("$.request.contents[0].role").alias("role"),
+        F.md5(g("$.request.contents[0].parts[0].text")).alias("message_md5"),
+        F.length(g("$.request.systemInstruction.parts[0].text")).cast("bigint").alias("system_chars"),
+        g("$.request.generationConfig.temperature").cast("double").alias("temperature"),
+        (g("$.request.labels.ticket_id") == F.col("ticket_id")).alias("label_roundtrip"))
+
+
+# ---------------------------------------------------------------- P19 P20 S6 A7 J8
+
+# Reply text the mock batch job gives per event type (fixed rule)
+REPLIES = {"view": " Billing ", "click": "account", "error": "BUG.", "purchase": "sales", "signup": "auth"}
+
+
+def mock_responses(events: DataFrame) -> DataFrame:
+    """Response lines of a batch job, derived from events: some replies come
+    as fenced JSON, some have no candidates, some lost their labels, and
+    requests with id % 7 == 0 were never answered."""
+    reply = F.coalesce(F.create_map(*[x for k, v in REPLIES.items() for x in (F.lit(k), F.lit(v))])
+                       [F.col("event_type")], F.lit("other"))
+    text = F.when(F.pmod("event_id", F.lit(3)) == 0,
+                  F.concat(F.lit('```json\n{"category": "'), F.trim(reply), F.lit('"}\n```'))).otherwise(reply)
+    cand = F.when(F.pmod("event_id", F.lit(10)) == 0, F.array().cast(
+        "array<struct<content:struct<parts:array<struct<text:string>>>>>")).otherwise(
+        F.array(F.struct(F.struct(F.array(F.struct(text.alias("text"))).alias("parts")).alias("content"))))
+    labels = F.when(F.pmod("event_id", F.lit(13)) == 0, F.lit(None)).otherwise(
+        F.struct(F.col("event_id").cast("string").alias("ticket_id")))
+    rec = F.struct(F.struct(cand.alias("candidates")).alias("response"),
+                   F.struct(labels.alias("labels")).alias("request"))
+    return events.where(F.pmod("event_id", F.lit(7)) != 0).select(F.to_json(rec).alias("line"))
+
+
+RESPONSE_SCHEMA = ("response struct<candidates: array<struct<content: struct<parts: "
+                   "array<struct<text: string>>>>>>, request struct<labels: struct<ticket_id: string>>")
+
+
+def parse_responses_df(lines: DataFrame) -> DataFrame:
+    """(ticket_id, category) per response line.
+
+    ``get(array, 0)`` is NULL on an empty array (``arr[0]`` raises under
+    ANSI); missing pieces default to "" / "UNKNOWN" as the reference does.
+    """
+    r = lines.select(F.from_json("line", RESPONSE_SCHEMA).alias("r"))
+    first = F.get(F.col("r.response.candidates"), 0)
+    text = F.coalesce(F.get(first["content"]["parts"], 0)["text"], F.lit(""))
+    raw = F.lower(F.trim(text))
+    obj = X.json_object_text(raw)
+    parsed = F.when(obj != "", F.get_json_object(obj, "$.category")).otherwise(raw)
+    ticket = F.coalesce(F.col("r.request.labels.ticket_id"), F.lit("UNKNOWN"))
+    return r.select(ticket.alias("ticket_id"),
+                    enum_or_other(F.coalesce(parsed, F.lit("")), CATEGORIES).alias("category"))
+
+
+RESP_CTE = """
+WITH e AS (SELECT event_id, event_type,
+                  CASE event_type WHEN 'view' THEN ' Billing ' WHEN 'click' THEN 'account' WHEN 'error' THEN 'BUG.'
+                                  WHEN 'purchase' THEN 'sales' WHEN 'signup' THEN 'auth' ELSE 'other' END AS reply
+           FROM events WHERE event_id % 7 <> 0),
+p AS (SELECT event_id,
+             CASE WHEN event_id % 10 = 0 THEN ''
+                  WHEN event_id % 3 = 0 THEN json_extract_string(
+                       '{"category": "' || lower(trim(reply)) || '"}', '$.category')
+                  ELSE lower(trim(reply)) END AS raw,
+             CASE WHEN event_id % 13 = 0 THEN 'UNKNOWN' ELSE CAST(event_id AS VARCHAR) END AS ticket_id
+      FROM e),
+c AS (SELECT ticket_id, CASE WHEN raw IN ('billing', 'account', 'bug', 'sales', 'auth') THEN raw ELSE 'other' END AS category
+      FROM p)
+"""
+
+
+@query("parse_responses", "P19 P20 S6 A7", sql=RESP_CTE + """
+, cats AS (SELECT * FROM (VALUES ('billing', 0), ('account', 1), ('bug', 2), ('sales', 3), ('auth', 4), ('other', 5))
+           v(category, position))
+SELECT cats.category, CAST(cats.position AS INTEGER) AS position, count(c.category) AS n
+FROM cats LEFT JOIN c ON c.category = cats.category GROUP BY cats.category, cats.position
+""")
+def parse_responses(spark: SparkSession, d: str) -> DataFrame:
+    parsed = parse_responses_df(mock_responses(Tables(spark, d).events))
+    return category_counts(parsed, "category", CATEGORIES)
+
+
+@query("response_correlation", "J8", sql=RESP_CTE + """
+SELECT CAST(event_id AS VARCHAR) AS ticket_id, event_type, coalesce(c.category, 'unanswered') AS category
+FROM events LEFT JOIN c ON CAST(events.event_id AS VARCHAR) = c.ticket_id
+""")
+def response_correlation(spark: SparkSession, d: str) -> DataFrame:
+    """Predictions joined back to their source rows by the round-tripped id;
+    requests without an answer are marked (``left_anti`` finds them)."""
+    ev = Tables(spark, d).events
+    parsed = parse_responses_df(mock_responses(ev)).where(F.col("ticket_id") != "UNKNOWN")
+    src = ev.select(F.col("event_id").cast("string").alias("ticket_id"), "event_type")
+    answered = src.join(parsed, "ticket_id", "inner")
+    unanswered = src.join(parsed, "ticket_id", "left_anti").withColumn("category", F.lit("unanswered"))
+    return answered.unionByName(unanswered)
+
+
+# ---------------------------------------------------------------- P21 P16 P24
+
+
+@query("field_extraction", "P21 P16 P24", sql="""
+WITH p AS (SELECT page_id, url, html,
+                  trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS body
+           FROM pages)
+SELECT page_id,
+       regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) AS host,
+       regexp_extract(html, '<html[^>]*lang="([^"]*)"', 1) AS lang,
+       regexp_extract(html, '(?s)<title>(.*?)</title>', 1) AS title,
+       CAST(len(regexp_extract_all(html, '<a\\s[^>]*href=')) AS INTEGER) AS n_links,
+       CASE WHEN length(body) <= 80 THEN body ELSE substr(body, 1, 79) || '...' END AS preview,
+       CAST(CASE WHEN body = '' THEN 0 ELSE len(string_split(body, ' ')) END AS INTEGER) AS n_words
+FROM p
+""")
+def field_extraction(spark: SparkSession, d: str) -> DataFrame:
+    p = Tables(spark, d).pages
+    body = X.strip_tags(F.col("html"))
+    return p.select(
+        "page_id",
+        F.regexp_extract("url", r"^[a-z]+://([^/:?#]+)", 1).alias("host"),
+        F.regexp_extract("html", r'<html[^>]*lang="([^"]*)"', 1).alias("lang"),
+        F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1).alias("title"),
+        F.size(F.regexp_extract_all("html", F.lit(r"<a\s[^>]*href="), F.lit(0))).alias("n_links"),
+        X.short_text(body, 80).alias("preview"),
+        X.word_count(body).cast("int").alias("n_words"))
+
+
+# ---------------------------------------------------------------- K7
+
+
+@query("chunk_documents", "K7", sql="""
+WITH t AS (SELECT doc_id, CASE WHEN trim(regexp_replace(text, '\\s+', ' ', 'g')) = '' THEN []::VARCHAR[]
+                               ELSE string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ') END AS tok
+           FROM documents),
+s AS (SELECT doc_id, tok, unnest(range(0, CASE WHEN len(tok) = 0 THEN 0
+                                                ELSE CAST((greatest(0, ceil((len(tok) - 512) / 412)) + 1) * 412 AS BIGINT) END, 412)) AS start
+      FROM t)
+SELECT doc_id, CAST(start // 412 AS INTEGER) AS chunk_id, CAST(start AS INTEGER) AS start,
+       CAST(len(tok[start + 1:start + 512]) AS INTEGER) AS n_tokens,
+       md5(array_to_string(tok[start + 1:start + 512], ' ')) AS chunk_md5
+FROM s
+""")
+def chunk_documents(spark: SparkSession, d: str) -> DataFrame:
+    docs = Tables(spark, d).documents
+    ch = docs.select("doc_id", F.explode(X.chunk_tokens(X.tokens(F.col("text")))).alias("c"))
+    return ch.select("doc_id", F.col("c.chunk_id").cast("int").alias("chunk_id"),
+                     F.col("c.start").cast("int").alias("start"),
+                     F.size("c.tokens").cast("int").alias("n_tokens"),
+                     F.md5(F.array_join("c.tokens", " ")).alias("chunk_md5"))
