@@ -204,3 +204,66 @@ def chunk_documents(spark: SparkSession, d: str) -> DataFrame:
                      F.col("c.start").cast("int").alias("start"),
                      F.size("c.tokens").cast("int").alias("n_tokens"),
                      F.md5(F.array_join("c.tokens", " ")).alias("chunk_md5"))
+
+
+# ---------------------------------------------------------------- K9 K10
+
+EMB_CTE = """
+WITH e AS (SELECT label, unnest(embedding) AS v, unnest(range(len(embedding))) AS i FROM embeddings),
+c AS (SELECT label, list(m ORDER BY i) AS centroid FROM (SELECT label, i, avg(v) AS m FROM e GROUP BY label, i)
+      GROUP BY label),
+s AS (SELECT CAST(c.label AS VARCHAR) AS query, x.vec_id,
+             list_cosine_similarity(c.centroid, CAST(x.embedding AS DOUBLE[])) AS score
+      FROM c, embeddings x),
+r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS rnk FROM s
+      WHERE score IS NOT NULL)
+"""
+
+
+def _centroid_topk(spark: SparkSession, d: str) -> DataFrame:
+    from featurelab.operators.retrieval import centroids, top_k_similar
+    emb = Tables(spark, d).embeddings
+    q = centroids(emb, "label", "embedding").select(F.col("label").cast("string").alias("query"),
+                                                    "embedding")
+    return top_k_similar(emb, "vec_id", "embedding", q, "query", "embedding", k=5)
+
+
+@query("topk_similar", "K9", sql=EMB_CTE + """
+SELECT query, CAST(rnk AS INTEGER) AS rank, vec_id, round(score, 4) AS score FROM r WHERE rnk <= 5
+""")
+def topk_similar(spark: SparkSession, d: str) -> DataFrame:
+    t = _centroid_topk(spark, d)
+    return t.select("query", "rank", "vec_id", round4("score").alias("score"))
+
+
+@query("retrieval_citations", "K10", sql=EMB_CTE + """
+SELECT query, CAST(count(*) AS INTEGER) AS n_hits,
+       string_agg('[' || CAST(rnk AS VARCHAR) || '] ' || CAST(vec_id AS VARCHAR), ' ' ORDER BY rnk) AS citations
+FROM r WHERE rnk <= 5 GROUP BY query
+""")
+def retrieval_citations(spark: SparkSession, d: str) -> DataFrame:
+    from featurelab.operators.retrieval import citations
+    return citations(_centroid_topk(spark, d), "query", "vec_id")
+
+
+# ---------------------------------------------------------------- K11
+
+
+@query("extractive_summary", "K11", sql="""
+WITH s AS (SELECT doc_id, unnest(regexp_extract_all(text, '[^.!?]+[.!?]*')) AS s0,
+                  unnest(range(len(regexp_extract_all(text, '[^.!?]+[.!?]*')))) AS pos FROM documents),
+s2 AS (SELECT doc_id, pos, trim(s0) AS s FROM s WHERE trim(s0) <> ''),
+w AS (SELECT doc_id, pos, unnest(regexp_extract_all(lower(s), '\\p{L}+')) AS w FROM s2),
+tf AS (SELECT doc_id, w, count(*) AS tf FROM w GROUP BY doc_id, w),
+sc AS (SELECT w.doc_id, w.pos, avg(tf.tf) AS score FROM w JOIN tf ON w.doc_id = tf.doc_id AND w.w = tf.w
+       GROUP BY w.doc_id, w.pos),
+r AS (SELECT s2.doc_id, s2.pos, s2.s,
+             row_number() OVER (PARTITION BY s2.doc_id ORDER BY sc.score DESC, s2.pos) AS rn
+      FROM s2 JOIN sc ON s2.doc_id = sc.doc_id AND s2.pos = sc.pos),
+ns AS (SELECT doc_id, count(*) AS n_sentences FROM s2 GROUP BY doc_id),
+su AS (SELECT doc_id, string_agg(s, ' ' ORDER BY pos) AS summary FROM r WHERE rn <= 3 GROUP BY doc_id)
+SELECT ns.doc_id, ns.n_sentences, su.summary FROM ns LEFT JOIN su ON ns.doc_id = su.doc_id
+""")
+def extractive_summary(spark: SparkSession, d: str) -> DataFrame:
+    from featurelab.operators.retrieval import extractive_summary as summarize
+    return summarize(Tables(spark, d).documents, "doc_id", "text", 3)
