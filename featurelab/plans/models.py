@@ -1 +1,374 @@
-"""Registered queries."""
+"""Model, scoring and explanation queries.
+
+Model fits are distributed ``pyspark.ml`` jobs; their outputs cannot be
+compared row by row with SQL, so most of these are rows-only checks with
+quality bounds in ``tests/``.  kNN, linear Shapley, version comparison and
+the global rank have exact SQL oracles.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from featurelab.functions.columns import round4, stable_unit
+from featurelab.operators import models as T
+from featurelab.operators import score as K
+from featurelab.plans.registry import query
+from featurelab.session import scratch_path
+from featurelab.sources.tables import Tables
+
+TRAIN_FEATURES = ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size"]
+
+
+def price_frame(spark: SparkSession, d: str) -> DataFrame:
+    """A learnable regression target: ln(extended price) from quantity and
+    part price (lineitem joined to part)."""
+    t = Tables(spark, d)
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                           "l_discount", "l_tax", "l_extendedprice")
+    p = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_retailprice", F.col("p_size").cast("double").alias("p_size"))
+    j = li.join(p, "l_partkey", "inner").where(F.col("l_extendedprice") > 0)
+    return j.withColumn("label", F.ln("l_extendedprice")).withColumn(
+        "is_test", stable_unit(F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")) < 250_000)
+
+
+def doc_frame(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with labels: simple text features and the toxic label."""
+    from featurelab.plans.evaluation import TOXIC_RE
+    t = Tables(spark, d)
+    docs = t.documents.select(
+        "doc_id", "text",
+        F.col("n_chars").cast("double").alias("n_chars"),
+        F.regexp_count(F.lower("text"), F.lit(TOXIC_RE)).cast("double").alias("hits"),
+        (F.size(F.split("text", "\n"))).cast("double").alias("n_lines"))
+    j = docs.join(t.labels, "doc_id", "inner")
+    return j.withColumn("label", F.col("toxic").cast("double")).withColumn(
+        "is_test", stable_unit(F.col("doc_id")) < 300_000)
+
+
+DOC_FEATURES = ["n_chars", "hits", "n_lines"]
+
+
+# ---------------------------------------------------------------- T1 K1
+
+
+@query("forest_score", "T1 K1")
+def forest_score(spark: SparkSession, d: str) -> DataFrame:
+    df = price_frame(spark, d)
+    m = T.fit(df.where(~F.col("is_test")), TRAIN_FEATURES, "random_forest_regressor",
+              n_estimators=100, max_depth=10)
+    return K.batch_predict(m, df.where("is_test"), ["l_orderkey", "l_linenumber", "l_partkey", "label"])
+
+
+@query("gbt_score", "T3")
+def gbt_score(spark: SparkSession, d: str) -> DataFrame:
+    df = doc_frame(spark, d)
+    m = T.fit(df.where(~F.col("is_test")), DOC_FEATURES, "gbt_classifier",
+              n_estimators=40, max_depth=5, learning_rate=0.2)
+    out = m.transform(df.where("is_test"))
+    return out.select("doc_id", "label", "prediction", T.probability_of_one().alias("p_toxic"))
+
+
+@query("logreg_score", "T5 T9")
+def logreg_score(spark: SparkSession, d: str) -> DataFrame:
+    df = doc_frame(spark, d)
+    train = df.where(~F.col("is_test"))
+    m = T.fit(train, DOC_FEATURES, "logistic_regression", n_rows=train.count(), C=1.0, max_iter=100)
+    out = m.transform(df.where("is_test"))
+    return out.select("doc_id", "label", "prediction", T.probability_of_one().alias("p_toxic"))
+
+
+@query("random_forest_classify", "T2")
+def random_forest_classify(spark: SparkSession, d: str) -> DataFrame:
+    df = doc_frame(spark, d)
+    m = T.fit(df.where(~F.col("is_test")), DOC_FEATURES, "random_forest_classifier",
+              n_estimators=150, max_depth=12)
+    return m.transform(df.where("is_test")).select("doc_id", "label", "prediction")
+
+
+@query("gbt_regress", "T4")
+def gbt_regress(spark: SparkSession, d: str) -> DataFrame:
+    df = price_frame(spark, d)
+    m = T.fit(df.where(~F.col("is_test")), TRAIN_FEATURES, "gbt_regressor", n_estimators=20, max_depth=5)
+    return K.batch_predict(m, df.where("is_test"), ["l_orderkey", "l_linenumber", "l_partkey", "label"])
+
+
+# ---------------------------------------------------------------- T6
+
+KNN_SQL = """
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v,
+                  ((('0x' || substr(md5(CAST(vec_id AS VARCHAR) || '42'), 1, 8))::BIGINT) % 1000000) < 200000 AS is_test
+           FROM embeddings),
+d AS (SELECT q.vec_id AS qid, t.vec_id AS tid, t.label, list_distance(q.v, t.v) AS dist
+      FROM e q JOIN e t ON q.is_test AND NOT t.is_test),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, tid) AS rn FROM d),
+v AS (SELECT qid, label, count(*) AS n FROM r WHERE rn <= 5 GROUP BY qid, label),
+b AS (SELECT qid, label, row_number() OVER (PARTITION BY qid ORDER BY n DESC, label) AS rb FROM v)
+SELECT qid AS vec_id, CAST(label AS INTEGER) AS prediction FROM b WHERE rb = 1
+"""
+
+
+@query("knn_vote", "T6", sql=KNN_SQL)
+def knn_vote(spark: SparkSession, d: str) -> DataFrame:
+    from featurelab.operators.knn import knn_classify
+    e = Tables(spark, d).embeddings.select(
+        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"), "label",
+        (stable_unit(F.col("vec_id")) < 200_000).alias("is_test"))
+    pred = knn_classify(e.where(~F.col("is_test")), e.where("is_test").select("id", "v"), k=5)
+    return pred.select(F.col("id").alias("vec_id"), F.col("prediction").cast("int").alias("prediction"))
+
+
+# ---------------------------------------------------------------- T7 F5 F4
+
+
+@query("poly_regression", "T7 F5 F4 M4")
+def poly_regression(spark: SparkSession, d: str) -> DataFrame:
+    from featurelab.operators import encode as E
+    from featurelab.operators.metrics import regression_metrics
+    from featurelab.plans.core import monthly_spend_revenue
+    data = monthly_spend_revenue(spark, d)
+    data = data.withColumn("is_test", stable_unit(F.concat_ws("-", "year", "month")) < 200_000)
+    cols = ["spend_a", "spend_n", "spend_r"]
+    poly = E.polynomial_features(data, cols, keep=["year", "month", "revenue", "is_test"])
+    feats = [c for c in poly.columns if c.startswith("poly_") and c != "poly_1"]
+    sc = E.fit_standard_scaler(poly.where(~F.col("is_test")), feats)  # fitted on train only
+    scaled = sc.transform(poly).withColumn("label", F.col("revenue"))
+    m = T.fit(scaled.where(~F.col("is_test")), feats, "linear_regression")
+    out = []
+    for part, cond in (("train", ~F.col("is_test")), ("test", F.col("is_test"))):
+        r = regression_metrics(m.transform(scaled.where(cond)))
+        out.append(r.select(F.lit(part).alias("split"), "rmse", "r2", "n"))
+    return out[0].unionByName(out[1])
+
+
+# ---------------------------------------------------------------- T8 T9 T10 T13
+
+
+@query("huber_regression", "T8")
+def huber_regression(spark: SparkSession, d: str) -> DataFrame:
+    from featurelab.operators.metrics import regression_metrics
+    df = price_frame(spark, d)
+    m = T.fit(df.where(~F.col("is_test")), TRAIN_FEATURES, "huber_regression")
+    return regression_metrics(m.transform(df.where("is_test")))
+
+
+@query("kfold_cv", "T10")
+def kfold_cv(spark: SparkSession, d: str) -> DataFrame:
+    df = price_frame(spark, d)
+    _, avg_rmse = T.cross_validate(df, TRAIN_FEATURES, "linear_regression", folds=10)
+    return spark.createDataFrame([(10, avg_rmse)], "folds int, avg_rmse double")
+
+
+CANDIDATES = {"random_forest_regressor": {"n_estimators": 20, "max_depth": 8},
+              "gbt_regressor": {"n_estimators": 20, "max_depth": 5},
+              "linear_regression": {}}
+
+
+@query("auto_model_pick", "T13 F8 A13")
+def auto_model_pick(spark: SparkSession, d: str) -> DataFrame:
+    from featurelab.operators.split import three_way_column
+    df = price_frame(spark, d).withColumn(
+        "part", three_way_column(F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")))
+    train, valid = df.where(F.col("part") == "train"), df.where(F.col("part") == "validation")
+    rows = []
+    for name, params in CANDIDATES.items():
+        m = T.fit(train, TRAIN_FEATURES, name, **params)
+        rows.append((name, T.rmse_of(m.transform(valid))))
+    best = min(rows, key=lambda r: (r[1], r[0]))[0]
+    return spark.createDataFrame([(n, v, n == best) for n, v in rows],
+                                 "model string, val_rmse double, chosen boolean")
+
+
+@query("tuning_trials", "T11 T12 A13")
+def tuning_trials(spark: SparkSession, d: str) -> DataFrame:
+    df = price_frame(spark, d)
+    train, valid = df.where(~F.col("is_test")), df.where("is_test")
+    params = T.trial_params(6, {"n_estimators": ("int", 5, 30), "max_depth": ("int", 3, 8)})
+    trials = T.run_trials(train, valid, TRAIN_FEATURES, "random_forest_regressor", params, T.rmse_of,
+                          parallel=3)
+    rows = [(t.trial_id, t.params["n_estimators"], t.params["max_depth"], t.metric) for t in trials]
+    tbl = spark.createDataFrame(rows, "trial_id int, n_estimators int, max_depth int, rmse double")
+    best = tbl.agg(F.min_by("trial_id", F.struct("rmse", "trial_id")).alias("best")).first()["best"]
+    return tbl.withColumn("best", F.col("trial_id") == F.lit(best))
+
+
+# ---------------------------------------------------------------- F12
+
+
+@query("importance_top_features", "F12")
+def importance_top_features(spark: SparkSession, d: str) -> DataFrame:
+    df = price_frame(spark, d)
+    m = T.fit(df.where(~F.col("is_test")), TRAIN_FEATURES, "random_forest_regressor",
+              n_estimators=20, max_depth=8)
+    imp = T.feature_importances(m, TRAIN_FEATURES)[:3]
+    return spark.createDataFrame([(f, v, i + 1) for i, (f, v) in enumerate(imp)],
+                                 "feature string, importance double, rank int")
+
+
+# ---------------------------------------------------------------- K2 K6 T14
+
+LINEAR_W = {"o_totalprice": 0.001, "priority_code": -2.0, "status_code": 1.5}
+SHAP_FEATURES = list(LINEAR_W)
+
+
+def order_feature_frame(spark: SparkSession, d: str) -> DataFrame:
+    o = Tables(spark, d).orders
+    return o.select("o_orderkey", "o_totalprice",
+                    F.substring("o_orderpriority", 1, 1).cast("double").alias("priority_code"),
+                    F.when(F.col("o_orderstatus") == "F", 0.0).when(F.col("o_orderstatus") == "O", 1.0)
+                    .otherwise(2.0).alias("status_code"))
+
+
+@query("predict_readback", "K1 K2 K6 T14")
+def predict_readback(spark: SparkSession, d: str) -> DataFrame:
+    df = price_frame(spark, d)
+    m = T.fit(df.where(~F.col("is_test")), TRAIN_FEATURES, "linear_regression")
+    mpath = scratch_path(spark, "model")
+    T.save(m, mpath)
+    loaded = T.load(mpath)
+    out = scratch_path(spark, "predictions")
+    K.batch_predict(loaded, df.where("is_test"), ["l_orderkey", "l_linenumber", "l_partkey", "label"], out)
+    back = K.read_predictions(spark, out, "l_orderkey bigint, l_linenumber int, l_partkey bigint, "
+                                          "label double, prediction double", "*.json")
+    # explanations next to the predictions (K6): the fitted linear model's
+    # coefficients make an exact column-expression scorer
+    lr = loaded.stages[-1]
+    w = dict(zip(TRAIN_FEATURES, lr.coefficients.toArray().tolist()))
+    means = df.where(~F.col("is_test")).agg(*[F.avg(c).alias(c) for c in TRAIN_FEATURES]).first().asDict()
+    inst = df.where("is_test").select("l_orderkey", "l_linenumber", "l_partkey", *TRAIN_FEATURES)
+    ex = K.sampled_shapley(inst.withColumn("_k", F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey")),
+                           "_k", TRAIN_FEATURES, K.linear_scorer(w, lr.intercept), means, paths=5)
+    ex = ex.select("l_orderkey", "l_linenumber", "l_partkey",
+                   *[F.col("attr_" + c) for c in TRAIN_FEATURES]).dropDuplicates(
+        ["l_orderkey", "l_linenumber", "l_partkey"])
+    return back.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record").join(
+        ex, ["l_orderkey", "l_linenumber", "l_partkey"], "left")
+
+
+# ---------------------------------------------------------------- K5
+
+
+def _shap_sql() -> str:
+    cols = ", ".join(f"round({w} * ({c} - (SELECT avg({c}) FROM f)), 4) AS attr_{c}"
+                     for c, w in LINEAR_W.items())
+    return f"""
+WITH f AS (SELECT o_orderkey, o_totalprice, CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS priority_code,
+                  CASE o_orderstatus WHEN 'F' THEN 0.0 WHEN 'O' THEN 1.0 ELSE 2.0 END AS status_code FROM orders)
+SELECT o_orderkey, {cols} FROM f
+"""
+
+
+@query("shapley_linear", "K5", sql=_shap_sql())
+def shapley_linear(spark: SparkSession, d: str) -> DataFrame:
+    f = order_feature_frame(spark, d)
+    means = f.agg(*[F.avg(c).alias(c) for c in SHAP_FEATURES]).first().asDict()  # baseline: one row
+    ex = K.sampled_shapley(f, "o_orderkey", SHAP_FEATURES, K.linear_scorer(LINEAR_W), means, paths=25)
+    return ex.select("o_orderkey", *[round4("attr_" + c).alias("attr_" + c) for c in SHAP_FEATURES])
+
+
+# ---------------------------------------------------------------- J10 K4
+
+V1 = {"o_totalprice": 0.001, "priority_code": 0.5}
+V2 = {"o_totalprice": 0.0012, "priority_code": 0.4}
+
+
+@query("version_compare", "J10 K4", sql="""
+WITH f AS (SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS priority_code
+           FROM orders),
+a AS (SELECT o_orderkey, 0.001 * o_totalprice + 0.5 * priority_code AS s FROM f),
+b AS (SELECT o_orderkey, 1.0 + 0.0012 * o_totalprice + 0.4 * priority_code AS s FROM f WHERE o_orderstatus <> 'P')
+SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, round(a.s, 4) AS score_v1, round(b.s, 4) AS score_v2,
+       round(b.s - a.s, 4) AS score_delta
+FROM a FULL OUTER JOIN b ON a.o_orderkey = b.o_orderkey
+""")
+def version_compare(spark: SparkSession, d: str) -> DataFrame:
+    o = Tables(spark, d).orders.select(
+        "o_orderkey", "o_orderstatus", "o_totalprice",
+        F.substring("o_orderpriority", 1, 1).cast("double").alias("priority_code"))
+    cmp = K.compare_versions(o, "o_orderkey", {
+        "v1": (K.linear_scorer(V1), None),
+        "v2": (K.linear_scorer(V2, 1.0), F.col("o_orderstatus") != "P")}, list(V1))
+    return cmp.select("o_orderkey", round4("score_v1").alias("score_v1"), round4("score_v2").alias("score_v2"),
+                      round4("score_delta").alias("score_delta"))
+
+
+# ---------------------------------------------------------------- K8 T15 K12
+
+
+@query("tfidf_embed", "K8")
+def tfidf_embed(spark: SparkSession, d: str) -> DataFrame:
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import HashingTF, IDF, Normalizer
+    from pyspark.ml.functions import vector_to_array
+    from featurelab.operators import text as X
+    docs = Tables(spark, d).documents
+    chunks = docs.select("doc_id", F.explode(X.chunk_tokens(X.tokens(F.lower("text")))).alias("c")).select(
+        "doc_id", F.col("c.chunk_id").alias("chunk_id"), F.col("c.tokens").alias("tokens"))
+    pipe = Pipeline(stages=[HashingTF(inputCol="tokens", outputCol="tf", numFeatures=1 << 14),
+                            IDF(inputCol="tf", outputCol="tfidf"),
+                            Normalizer(inputCol="tfidf", outputCol="embedding", p=2.0)])
+    emb = pipe.fit(chunks).transform(chunks)
+    arr = vector_to_array("embedding")
+    return emb.select("doc_id", "chunk_id",
+                      F.aggregate(F.transform(arr, lambda x: x * x), F.lit(0.0), lambda a, x: a + x)
+                      .alias("sq_norm"))
+
+
+TRIAGE = ["toxic", "ok"]
+
+
+@query("ticket_triage", "K12 T15")
+def ticket_triage(spark: SparkSession, d: str) -> DataFrame:
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer
+    from featurelab.operators.aggregate import category_counts
+    df = doc_frame(spark, d)
+    pipe = Pipeline(stages=[RegexTokenizer(inputCol="text", outputCol="words", pattern=r"\W+"),
+                            HashingTF(inputCol="words", outputCol="tf", numFeatures=1 << 14),
+                            IDF(inputCol="tf", outputCol="features"),
+                            LogisticRegression(maxIter=50, regParam=0.01)])
+    m = pipe.fit(df.where(~F.col("is_test")))
+    docs = Tables(spark, d).documents.select("doc_id", "text")
+    pred = m.transform(docs).select(
+        "doc_id", F.when(F.col("prediction") == 1.0, "toxic").otherwise("ok").alias("category"))
+    return category_counts(pred, "category", TRIAGE)
+
+
+# ---------------------------------------------------------------- F10
+
+
+@query("smote", "F10")
+def smote_q(spark: SparkSession, d: str) -> DataFrame:
+    from featurelab.operators.smote import smote
+    e = Tables(spark, d).embeddings
+    return smote(e, "vec_id", "embedding", "label", k=5)
+
+
+# ---------------------------------------------------------------- H1
+
+
+@query("global_rank", "H1", sql="""
+SELECT o_orderkey, CAST(row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT) AS rank FROM orders
+""")
+def global_rank(spark: SparkSession, d: str) -> DataFrame:
+    """Global row number without a single-partition window: quantile
+    buckets of the sort key, numbered inside, offset by earlier buckets."""
+    from featurelab.operators.rank import bucketed_row_number, quantile_bounds, range_bucket
+    o = Tables(spark, d).orders.select("o_orderkey", (-F.col("o_totalprice")).alias("neg_price"))
+    bounds = quantile_bounds(o, "neg_price", 64)
+    ranked = bucketed_row_number(o.withColumn("_all", F.lit(0)), ["_all"], range_bucket("neg_price", bounds),
+                                 [F.col("neg_price"), F.col("o_orderkey")], "rank")
+    return ranked.select("o_orderkey", "rank")
+
+
+# ---------------------------------------------------------------- R6
+
+
+@query("gated_publish", "R6 S2 R1 M1")
+def gated_publish(spark: SparkSession, d: str) -> DataFrame:
+    """validate -> train -> gate -> publish; nothing is written unless every
+    gate passes.  Returns the step log."""
+    from featurelab.operators.flow import gated_run
+    return gated_run(spark, d)
