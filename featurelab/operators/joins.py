@@ -74,40 +74,41 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_t
     the same key with ``right_ts <= left_ts`` (equal times match).
 
     Two levels, so that a key holding a third of all rows is not one task:
-    1. both sides are cut into (key, time bucket); inside a bucket they are
-       unioned and ``last(value, ignorenulls)`` over time carries the newest
-       right row forward to each left row (right rows sort first at equal
-       time);
+    1. both sides are cut into (key, time bucket) and unioned; one window
+       over each (key, bucket), ordered by time, carries the newest right
+       row forward to each left row (right rows sort first at equal time)
+       and also yields the newest right row of the whole bucket;
     2. a left row with no right row before it in its own bucket takes the
-       newest right row of an earlier bucket: one row per (key, bucket)
-       with right data, carried forward along the buckets of its key.
-    No pairs are ever formed.  The right side is made unique per (key, ts)
-    first (largest struct of values wins), so the result is deterministic.
-    Left rows with a NULL key or time get NULL values.
+       newest right row of an earlier bucket: the one-row-per-(key, bucket)
+       summaries are carried forward along the buckets of their key.
+    The union is shuffled once (both levels read the same exchange); no
+    pairs are formed.  Right rows with equal (key, time) resolve to the
+    largest struct of values, so the result is deterministic.  Left rows
+    with a NULL key or time get NULL values.
     """
     bucket = lambda c: F.date_trunc(time_bucket, F.col(c))
     r = (right.where(F.col(key).isNotNull() & F.col(right_ts).isNotNull())
          .select(F.col(key).alias("_k"), F.col(right_ts).alias("_t"),
-                 F.struct(*[F.col(c) for c in value_cols]).alias("_v"))
-         .groupBy("_k", "_t").agg(F.max("_v").alias("_v"))
-         .withColumn("_b", bucket("_t")))
+                 F.struct(*[F.col(c) for c in value_cols]).alias("_v")))
     lcols = left.columns
     l = left.select(F.col(key).alias("_k"), F.col(left_ts).alias("_t"),
-                    F.struct(*[F.col(c) for c in lcols]).alias("_row")).withColumn("_b", bucket("_t"))
+                    F.struct(*[F.col(c) for c in lcols]).alias("_row"))
     vtype, rtype = r.schema["_v"].dataType, l.schema["_row"].dataType
-    u = (r.select("_k", "_b", "_t", F.lit(0).alias("_side"), "_v", F.lit(None).cast(rtype).alias("_row"))
-         .unionByName(l.select("_k", "_b", "_t", F.lit(1).alias("_side"),
-                               F.lit(None).cast(vtype).alias("_v"), "_row")))
-    w = (Window.partitionBy("_k", "_b").orderBy("_t", "_side")
-         .rowsBetween(Window.unboundedPreceding, 0))
-    hits = u.withColumn("_in", F.last("_v", ignorenulls=True).over(w)).where(F.col("_side") == 1)
-    # level 2: newest right row strictly before each bucket of each key
-    per_bucket = r.groupBy("_k", "_b").agg(F.max_by("_v", "_t").alias("_bv"))
-    buckets = (per_bucket.select("_k", "_b")
-               .unionByName(hits.select("_k", "_b").where(F.col("_k").isNotNull())).distinct())
+    u = (r.select("_k", "_t", F.lit(0).alias("_side"), "_v", F.lit(None).cast(rtype).alias("_row"))
+         .unionByName(l.select("_k", "_t", F.lit(1).alias("_side"),
+                               F.lit(None).cast(vtype).alias("_v"), "_row"))
+         .withColumn("_b", bucket("_t")))
+    order = Window.partitionBy("_k", "_b").orderBy("_t", "_side", "_v")
+    u = u.withColumns({
+        "_in": F.last("_v", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)),
+        "_bl": F.last("_v", ignorenulls=True).over(
+            order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
+    hits = u.where(F.col("_side") == 1)
+    # level 2: the window output is already partitioned by (key, bucket), so
+    # the per-bucket summary needs no new shuffle of the big side
+    per_bucket = u.groupBy("_k", "_b").agg(F.first("_bl", ignorenulls=True).alias("_bl"))
     wb = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (buckets.join(per_bucket, ["_k", "_b"], "left")
-             .select("_k", "_b", F.last("_bv", ignorenulls=True).over(wb).alias("_prev")))
+    carry = per_bucket.select("_k", "_b", F.last("_bl", ignorenulls=True).over(wb).alias("_prev"))
     j = hits.join(carry, ["_k", "_b"], "left")
     v = F.coalesce(F.col("_in"), F.col("_prev"))
     return j.select(*[F.col("_row")[c].alias(c) for c in lcols],

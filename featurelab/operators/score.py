@@ -54,53 +54,58 @@ def compare_versions(df: DataFrame, key: str, scorers: Mapping[str, tuple[ScoreF
     return side_by_side(a, b, key, ["score"], (na, nb))
 
 
-def _permutation_positions(row_key: Column, path: Column, d: int, seed: int) -> Column:
-    """Position of each feature in a hash-seeded random permutation."""
-    h = [F.struct(F.md5(F.concat_ws("|", row_key.cast("string"), path.cast("string"), F.lit(str(i)),
-                                    F.lit(str(seed)))).alias("h"), F.lit(i).alias("i"))
-         for i in range(d)]
-    perm = F.transform(F.array_sort(F.array(*h)), lambda s: s["i"])
-    return F.transform(F.sequence(F.lit(0), F.lit(d - 1)), lambda i: F.array_position(perm, i) - 1)
-
-
 def sampled_shapley(df: DataFrame, key: str, features: Sequence[str], score: ScoreFn,
                     baseline: Mapping[str, float], paths: int = 25, seed: int = 42,
                     prefix: str = "attr_") -> DataFrame:
     """Sampled Shapley attributions (K5) for a model given as a column
     expression.
 
-    For every row and each of ``paths`` hash-seeded feature orders, the
-    marginal gain of feature i is f(x on {features before i} + i, baseline
-    elsewhere) - f(x on {features before i}).  All paths are evaluated
-    inside one projection (arrays, no explode, no shuffle); per path the
-    gains add up to f(x) - f(baseline), so the averages do too.
+    Every row is expanded to ``paths`` hash-seeded feature orders.  In a
+    path, the position of feature i is the number of features whose hash
+    ``xxhash64(key, path, j, seed)`` sorts before it; the marginal gain of i
+    is f(x on {features before i} + i, baseline elsewhere) - f(x on
+    {features before i}).  Everything is plain column arithmetic (whole-stage
+    codegen); the per-row average is an aggregate whose partial step runs in
+    the same task as the expansion, so only one row per key is shuffled.
+    Per path the gains add up to f(x) - f(baseline), so the averages do too.
     """
     d = len(features)
     fx = [F.col(c).cast("double") for c in features]
     base = [F.lit(float(baseline[c])) for c in features]
-    out = df.withColumn("_pos", F.transform(F.sequence(F.lit(0), F.lit(paths - 1)),
-                                            lambda p: _permutation_positions(F.col(key), p, d, seed)))
-
-    def point(pos: Column, i: int, include: bool) -> dict:
+    keep = [c for c in df.columns]
+    x = df.withColumn("_path", F.explode(F.sequence(F.lit(0), F.lit(paths - 1))))
+    h = [F.xxhash64(F.col(key), F.col("_path"), F.lit(j), F.lit(seed)) for j in range(d)]
+    x = x.withColumns({f"_h{j}": h[j] for j in range(d)})
+    pos = []
+    for i in range(d):
+        p_i = F.lit(0)
+        for j in range(d):
+            if j == i:
+                continue
+            hj, hi = F.col(f"_h{j}"), F.col(f"_h{i}")
+            before = (hj < hi) | ((hj == hi) & F.lit(j < i))
+            p_i = p_i + before.cast("int")
+        pos.append(p_i)
+    x = x.withColumns({f"_p{i}": pos[i] for i in range(d)})
+
+    def point(i: int, include: bool) -> dict:
         z = {}
         for k, c in enumerate(features):
-            cond = (pos[k] <= pos[i]) if include else (pos[k] < pos[i])
+            pk, pi = F.col(f"_p{k}"), F.col(f"_p{i}")
+            cond = (pk <= pi) if include else (pk < pi)
             z[c] = F.when(cond, fx[k]).otherwise(base[k])
         return z
 
-    def gain(i: int):
-        # a one-argument lambda per feature (Spark reads a second argument
-        # as the element index)
-        return lambda pos: score(point(pos, i, True)) - score(point(pos, i, False))
-
-    attrs = []
-    for i, c in enumerate(features):
-        gains = F.transform("_pos", gain(i))
-        attrs.append((F.aggregate(gains, F.lit(0.0), lambda a, g: a + g) / F.lit(float(paths)))
-                     .alias(prefix + c))
+    gains = {f"_g{i}": score(point(i, True)) - score(point(i, False)) for i in range(d)}
+    x = x.withColumns(gains)
+    # the other columns ride along with first(): the key is unique per row,
+    # so no second scan and no join back are needed
+    agg = x.groupBy(key).agg(*[F.first(c).alias(c) for c in keep if c != key],
+                             *[F.avg(f"_g{i}").alias(prefix + c) for i, c in enumerate(features)])
     base_score = score({c: b for c, b in zip(features, base)})
-    inst = score({c: x for c, x in zip(features, fx)})
-    return out.select(*df.columns, *attrs, base_score.alias("baseline_score"), inst.alias("instance_score"))
+    inst = score({c: v for c, v in zip(features, fx)})
+    return agg.select(*keep, *[prefix + c for c in features], base_score.alias("baseline_score"),
+                      inst.alias("instance_score"))
 
 
 def shapley_error(df: DataFrame, features: Sequence[str], prefix: str = "attr_") -> Column:

@@ -14,6 +14,7 @@ from featurelab.operators import rank as H
 from featurelab.operators import validate as S
 from featurelab.operators.text import short_text
 from featurelab.plans.registry import query
+from featurelab.session import spread
 from featurelab.sources.tables import Tables
 
 
@@ -121,7 +122,7 @@ SELECT event_id,
 FROM p
 """)
 def required_fields_report(spark: SparkSession, d: str) -> DataFrame:
-    return required_fields_report_df(event_payloads(Tables(spark, d).events))
+    return required_fields_report_df(event_payloads(spread(Tables(spark, d).events)))
 
 
 # --------------------------------------------------------------------------

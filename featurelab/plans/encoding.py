@@ -10,6 +10,7 @@ from featurelab.operators import balance as B
 from featurelab.operators import encode as E
 from featurelab.operators import split as SP
 from featurelab.plans.registry import query
+from featurelab.session import spread
 from featurelab.sources.tables import Tables
 
 
@@ -84,7 +85,7 @@ def _hashing_sql(n: int = 27) -> str:
 @query("hashing_encode", "F3", sql=_hashing_sql())
 def hashing_encode(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
-    x = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+    x = spread(t.orders).join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderkey", "o_orderstatus", "o_orderpriority", "c_mktsegment", "c_nationkey",
         F.month("o_orderdate").alias("o_month"), round4("o_totalprice").alias("o_totalprice"))
     return E.hashing_encode(x, HASHED, 27)

@@ -10,6 +10,7 @@ from featurelab.operators import gates as G
 from featurelab.operators import metrics as M
 from featurelab.operators import registry as R
 from featurelab.plans.registry import query
+from featurelab.session import spread
 from featurelab.sources.tables import Tables
 
 # Keyword rule used as a baseline toxicity classifier (fixed values: words
@@ -22,7 +23,7 @@ TOXIC_RE = "|".join(TOXIC_WORDS)
 def toxic_rule_predictions(spark: SparkSession, d: str) -> DataFrame:
     """labels joined to a keyword rule over the whole document text."""
     t = Tables(spark, d)
-    docs = t.documents.select("doc_id", F.regexp_count(F.lower("text"), F.lit(TOXIC_RE)).alias("hits"))
+    docs = spread(t.documents).select("doc_id", F.regexp_count(F.lower("text"), F.lit(TOXIC_RE)).alias("hits"))
     j = t.labels.join(docs, "doc_id", "inner")
     return j.select("doc_id", F.col("toxic").alias("label"),
                     (F.col("hits") > 0).cast("int").alias("prediction"),

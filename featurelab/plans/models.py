@@ -15,7 +15,7 @@ from featurelab.functions.columns import round4, stable_unit
 from featurelab.operators import models as T
 from featurelab.operators import score as K
 from featurelab.plans.registry import query
-from featurelab.session import scratch_path
+from featurelab.session import scratch_path, spread
 from featurelab.sources.tables import Tables
 
 TRAIN_FEATURES = ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size"]
@@ -37,7 +37,7 @@ def doc_frame(spark: SparkSession, d: str) -> DataFrame:
     """Documents with labels: simple text features and the toxic label."""
     from featurelab.plans.evaluation import TOXIC_RE
     t = Tables(spark, d)
-    docs = t.documents.select(
+    docs = spread(t.documents).select(
         "doc_id", "text",
         F.col("n_chars").cast("double").alias("n_chars"),
         F.regexp_count(F.lower("text"), F.lit(TOXIC_RE)).cast("double").alias("hits"),
@@ -261,7 +261,7 @@ SELECT o_orderkey, {cols} FROM f
 
 @query("shapley_linear", "K5", sql=_shap_sql())
 def shapley_linear(spark: SparkSession, d: str) -> DataFrame:
-    f = order_feature_frame(spark, d)
+    f = spread(order_feature_frame(spark, d))
     means = f.agg(*[F.avg(c).alias(c) for c in SHAP_FEATURES]).first().asDict()  # baseline: one row
     ex = K.sampled_shapley(f, "o_orderkey", SHAP_FEATURES, K.linear_scorer(LINEAR_W), means, paths=25)
     return ex.select("o_orderkey", *[round4("attr_" + c).alias("attr_" + c) for c in SHAP_FEATURES])

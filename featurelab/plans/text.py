@@ -11,6 +11,7 @@ from featurelab.operators import text as X
 from featurelab.operators.aggregate import category_counts
 from featurelab.operators.validate import enum_or_other
 from featurelab.plans.registry import query
+from featurelab.session import spread
 from featurelab.sources.tables import Tables
 
 # Triage categories of the batch job (fixed values)
@@ -55,7 +56,7 @@ SELECT ticket_id,
 FROM r
 """)
 def prompt_requests(spark: SparkSession, d: str) -> DataFrame:
-    req = build_requests(Tables(spark, d).documents, "doc_id", "text")
+    req = build_requests(spread(Tables(spark, d).documents), "doc_id", "text")
     g = lambda p: F.get_json_object("line", p)
     return req.select(
         "ticket_id", g("$.request.contents[0].role").alias("role"),
@@ -170,7 +171,7 @@ SELECT page_id,
 FROM p
 """)
 def field_extraction(spark: SparkSession, d: str) -> DataFrame:
-    p = Tables(spark, d).pages
+    p = spread(Tables(spark, d).pages)
     body = X.strip_tags(F.col("html"))
     return p.select(
         "page_id",
@@ -198,7 +199,7 @@ SELECT doc_id, CAST(start // 412 AS INTEGER) AS chunk_id, CAST(start AS INTEGER)
 FROM s
 """)
 def chunk_documents(spark: SparkSession, d: str) -> DataFrame:
-    docs = Tables(spark, d).documents
+    docs = spread(Tables(spark, d).documents)
     ch = docs.select("doc_id", F.explode(X.chunk_tokens(X.tokens(F.col("text")))).alias("c"))
     return ch.select("doc_id", F.col("c.chunk_id").cast("int").alias("chunk_id"),
                      F.col("c.start").cast("int").alias("start"),
@@ -266,4 +267,4 @@ SELECT ns.doc_id, ns.n_sentences, su.summary FROM ns LEFT JOIN su ON ns.doc_id =
 """)
 def extractive_summary(spark: SparkSession, d: str) -> DataFrame:
     from featurelab.operators.retrieval import extractive_summary as summarize
-    return summarize(Tables(spark, d).documents, "doc_id", "text", 3)
+    return summarize(spread(Tables(spark, d).documents), "doc_id", "text", 3)

@@ -82,3 +82,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         base = base[len("file:"):]
     p = os.path.join(base, "featurelab", f"{name}-{uuid.uuid4().hex[:12]}")
     return p
+
+
+def spread(df):
+    """Spread rows over all cores before CPU-heavy per-row work.
+
+    A small input stored as one file with one row group is a single scan
+    task; heavy projections (regexes over whole texts, hashing, path
+    expansion) would then run on one core.  When the input has fewer
+    partitions than the default parallelism it is round-robin repartitioned;
+    a large input (thousands of splits) is returned unchanged, so no shuffle
+    is added at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
