@@ -123,3 +123,13 @@ def ratio(num: Column, den: Column) -> Column:
 
 def all_cols(names: Iterable[str]) -> list[Column]:
     return [F.col(n) for n in names]
+
+
+def copy_ids(n: Column) -> Column:
+    """``[0, 1, ..., n-1]`` (empty for n <= 0): explode it to make n copies.
+
+    ``sequence(0, n - 1)`` alone would count *down* for n = 0 and give two
+    elements.
+    """
+    return F.when(n > 0, F.sequence(F.lit(0), (n - 1).cast("int"))).otherwise(
+        F.array().cast("array<int>"))

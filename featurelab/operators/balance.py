@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurelab.functions.columns import stable_unit
+from featurelab.functions.columns import copy_ids, stable_unit
 from featurelab.operators.rank import hash_rank
 
 RES = 1_000_000
@@ -41,5 +41,5 @@ def random_oversample(df: DataFrame, key: str, label: str, seed: int = 42,
     ranked = hash_rank(d, [label], "_h", key, RES, out="_rank")
     copies = F.floor(F.lit(m) / n) + F.when(
         F.col("_rank") <= F.pmod(F.lit(m), n), 1).otherwise(0)
-    return (ranked.withColumn("copy_id", F.explode(F.sequence(F.lit(0), (copies - 1).cast("int"))))
+    return (ranked.withColumn("copy_id", F.explode(copy_ids(copies)))
             .drop("_h", "_rank"))
