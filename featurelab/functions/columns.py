@@ -133,3 +133,13 @@ def copy_ids(n: Column) -> Column:
     """
     return F.when(n > 0, F.sequence(F.lit(0), (n - 1).cast("int"))).otherwise(
         F.array().cast("array<int>"))
+
+
+def assert_rows(df, cond: Column, message: str, carrier: str):
+    """Fail the job on any row where ``cond`` is false.
+
+    The assertion is folded into a column that stays in the output (a
+    separate, later dropped column would be pruned and never evaluated).
+    """
+    t = df.schema[carrier].dataType
+    return df.withColumn(carrier, F.coalesce(F.assert_true(cond, message).cast(t), F.col(carrier)))

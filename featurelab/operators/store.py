@@ -34,7 +34,8 @@ def check_required(df: DataFrame, required: Sequence[str] = (KEY, TS)) -> DataFr
     for c in required:
         x = F.col(c).isNotNull()
         cond = x if cond is None else cond & x
-    return df.withColumn("_ok", F.assert_true(cond, "required feature column is NULL")).drop("_ok")
+    from featurelab.functions.columns import assert_rows
+    return assert_rows(df, cond, "required feature column is NULL", required[0])
 
 
 def lower_columns(df: DataFrame) -> DataFrame:
