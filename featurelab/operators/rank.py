@@ -18,15 +18,19 @@ from pyspark.sql import functions as F
 
 def _bucket_offsets(df: DataFrame, keys: Sequence[str], bucket: str,
                     values: dict[str, Column]) -> DataFrame:
-    """Per (keys, bucket): totals of ``values`` in all earlier buckets."""
+    """Per (keys, bucket): totals of ``values`` in all earlier buckets
+    (``_off_<v>``) and in the whole key (``_tot_<v>``)."""
     agg = df.groupBy(*keys, bucket).agg(*[F.sum(v).alias(n) for n, v in values.items()])
     w = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    wt = Window.partitionBy(*keys)
     return agg.select(*keys, bucket, *[F.coalesce(F.sum(n).over(w), F.lit(0)).alias(f"_off_{n}")
-                                       for n in values])
+                                       for n in values],
+                      *[F.sum(n).over(wt).alias(f"_tot_{n}") for n in values])
 
 
 def bucketed_row_number(df: DataFrame, keys: Sequence[str], bucket: Column,
-                        order: Sequence[Column], out: str = "rank") -> DataFrame:
+                        order: Sequence[Column], out: str = "rank",
+                        size_col: str | None = None) -> DataFrame:
     """1-based row number within ``keys`` ordered by ``order``.
 
     ``bucket`` must be monotone in ``order`` (every row of bucket b sorts
@@ -38,21 +42,23 @@ def bucketed_row_number(df: DataFrame, keys: Sequence[str], bucket: Column,
     offsets = _bucket_offsets(df, keys, b, {"n": F.lit(1).cast("bigint")})
     w = Window.partitionBy(*keys, b).orderBy(*order)
     ranked = df.withColumn("_rn", F.row_number().over(w))
-    return (ranked.join(offsets, [*keys, b], "inner")
-            .withColumn(out, (F.col("_off_n") + F.col("_rn")).cast("bigint"))
-            .drop(b, "_rn", "_off_n"))
+    out_df = (ranked.join(offsets, [*keys, b], "inner")
+              .withColumn(out, (F.col("_off_n") + F.col("_rn")).cast("bigint")))
+    if size_col:  # rows in the whole key, from the same small table
+        out_df = out_df.withColumn(size_col, F.col("_tot_n").cast("bigint"))
+    return out_df.drop(b, "_rn", "_off_n", "_tot_n")
 
 
 def hash_rank(df: DataFrame, keys: Sequence[str], h: str, tie: str,
               resolution: int = 1_000_000, buckets: int = 1024,
-              out: str = "rank") -> DataFrame:
+              out: str = "rank", size_col: str | None = None) -> DataFrame:
     """Rank within ``keys`` by (h, tie) where h is uniform in [0, resolution).
 
     Hash values are uniform, so equal-width buckets of h are equal-sized.
     """
     width = max(1, resolution // buckets)
     return bucketed_row_number(df, keys, F.floor(F.col(h) / F.lit(width)).cast("bigint"),
-                               [F.col(h), F.col(tie)], out)
+                               [F.col(h), F.col(tie)], out, size_col)
 
 
 def quantile_bounds(df: DataFrame, col: str, buckets: int = 256,
@@ -65,13 +71,23 @@ def quantile_bounds(df: DataFrame, col: str, buckets: int = 256,
 
 
 def range_bucket(col: str, bounds: Sequence) -> Column:
-    """Index of the first bound > value: a monotone bucket id.
+    """Number of bounds <= value: a monotone bucket id in [0, len(bounds)].
 
-    ``bounds`` is a short literal array (at most a few hundred numbers); the
-    count of bounds <= value is computed in the JVM per row.
+    Written as a balanced binary search of ``when`` comparisons (depth
+    log2 of the bound count), so it compiles into whole-stage codegen
+    instead of running a per-row lambda.
     """
-    arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
-    return F.size(F.filter(arr, lambda x: x <= F.col(col).cast("double")))
+    x = F.col(col).cast("double")
+    bs = [float(b) for b in bounds]
+
+    def search(lo: int, hi: int) -> Column:
+        # bucket id for values known to lie in [bs[lo-1], bs[hi]) (open ends)
+        if lo > hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(x < F.lit(bs[mid]), search(lo, mid - 1)).otherwise(search(mid + 1, hi))
+
+    return search(0, len(bs) - 1)
 
 
 def prefix_sums(df: DataFrame, order: str, values: Sequence[str], buckets: int = 256,
@@ -85,7 +101,8 @@ def prefix_sums(df: DataFrame, order: str, values: Sequence[str], buckets: int =
     bounds = quantile_bounds(df, order, buckets)
     b = "_bucket"
     d = df.withColumn(b, range_bucket(order, bounds))
-    offsets = _bucket_offsets(d, [], b, {v: F.col(v) for v in values})
+    offsets = _bucket_offsets(d, [], b, {v: F.col(v) for v in values}).drop(
+        *[f"_tot_{v}" for v in values])
     frame = (Window.unboundedPreceding, 0) if inclusive else (Window.unboundedPreceding, -1)
     w = Window.partitionBy(b).orderBy(order).rowsBetween(*frame)
     d = d.withColumns({f"_in_{v}": F.coalesce(F.sum(v).over(w), F.lit(0)) for v in values})

@@ -513,3 +513,39 @@ def unprocessed_rows(spark: SparkSession, d: str) -> DataFrame:
     manifest = o.where(stable_unit(F.col("o_orderkey"), seed=7) < 700_000).select(
         F.col("o_orderkey").alias("k"))
     return J.unprocessed(o.select("o_orderkey", "o_custkey"), manifest, "o_orderkey", "k")
+
+
+# --------------------------------------------------------------------------
+# Lenient date parsing of exported text dates
+# --------------------------------------------------------------------------
+
+def parse_date_lenient(c) -> "Column":
+    """``pd.to_datetime(errors="coerce")``: unparseable text becomes NULL
+    (``to_timestamp`` would raise under ANSI)."""
+    return F.coalesce(F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss")),
+                      F.try_to_timestamp(c, F.lit("yyyy-MM-dd")))
+
+
+@query("date_parse_lenient", "P13 A1", sql="""
+WITH t AS (
+  SELECT o_orderkey, o_totalprice,
+         CASE WHEN o_orderkey % 11 = 0 THEN 'n/a'
+              WHEN o_orderkey % 5 = 0 THEN strftime(o_orderdate, '%Y-%m-%d')
+              ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS date_text FROM orders),
+p AS (SELECT o_totalprice, coalesce(try_strptime(date_text, '%Y-%m-%d %H:%M:%S'),
+                                    try_strptime(date_text, '%Y-%m-%d')) AS d FROM t)
+SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+       count(*) AS n_orders, round(sum(o_totalprice), 4) AS revenue
+FROM p WHERE d IS NOT NULL GROUP BY 1, 2
+""")
+def date_parse_lenient(spark: SparkSession, d: str) -> DataFrame:
+    o = Tables(spark, d).orders
+    text = (F.when(F.pmod("o_orderkey", F.lit(11)) == 0, F.lit("n/a"))
+            .when(F.pmod("o_orderkey", F.lit(5)) == 0, F.date_format("o_orderdate", "yyyy-MM-dd"))
+            .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")))
+    parsed = o.select("o_totalprice", parse_date_lenient(text).alias("d"))
+    out = (parsed.select(F.year("d").alias("year"), F.month("d").alias("month"), "o_totalprice")
+           .where(F.col("year").isNotNull())
+           .groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_orders"),
+                                         F.sum("o_totalprice").alias("revenue")))
+    return out.select("year", "month", "n_orders", round4("revenue").alias("revenue"))

@@ -98,3 +98,16 @@ def spread(df):
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared folder.
+
+    Used where one intermediate feeds several jobs (e.g. quantile bounds and
+    then the prefix sums over the same grouped table): the upstream work runs
+    once, and a lost executor re-reads the checkpoint instead of recomputing
+    the whole lineage.  Never ``localCheckpoint``: executor-local copies die
+    with the executor.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
