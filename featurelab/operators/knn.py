@@ -55,26 +55,38 @@ def _tile_topk(k: int, exclude_self: bool):
 
 
 def nearest(queries: DataFrame, corpus: DataFrame, k: int, exclude_self: bool = False,
-            query_block_rows: int = 2048, corpus_block_rows: int = 16384) -> DataFrame:
+            query_block_rows: int = 2048, corpus_block_rows: int = 16384,
+            group: str | None = None) -> DataFrame:
     """k nearest corpus rows per query (Euclidean), ties by smaller id.
 
-    ``queries``: (id bigint, v array<double>); ``corpus``: (id, v, label).
-    The corpus side is renamed so both cogroup sides never share column
-    names (a self-cogroup of one lineage would otherwise mix them up).
-    Block counts come from two counts; each query row is copied once per
-    corpus block and each corpus row once per query block.
+    ``queries``: (id bigint, v array<double>[, group]); ``corpus``: (id, v,
+    label[, group]).  With ``group`` only rows of the same group are
+    candidates (e.g. same-class neighbours for SMOTE) and all groups share
+    one tiled job.  The corpus side is renamed so both cogroup sides never
+    share column names (a self-cogroup of one lineage would otherwise mix
+    them up).  Block counts come from one small count per side.
     """
-    nq, nc = queries.count(), corpus.count()
+    g = [group] if group else []
+
+    def max_group_size(df: DataFrame) -> int:
+        if not group:
+            return df.count()
+        row = df.groupBy(group).count().agg(F.max("count").alias("m")).first()
+        return int(row["m"] or 0)
+
+    nq, nc = max_group_size(queries), max_group_size(corpus)
     qb = max(1, math.ceil(nq / query_block_rows))
     cb = max(1, math.ceil(nc / corpus_block_rows))
     q = (queries.withColumn("_qb", F.pmod(F.xxhash64("id"), F.lit(qb)))
-         .withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1)))).select("_qb", "_cb", "id", "v"))
+         .withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1))))
+         .select(*g, "_qb", "_cb", "id", "v"))
     c = (corpus.withColumn("_cb", F.pmod(F.xxhash64("id"), F.lit(cb)))
          .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1))))
-         .select("_qb", "_cb", F.col("id").alias("cid"), F.col("v").alias("cv"),
-                 F.col("label").cast("long").alias("clabel")))
-    tiles = q.groupBy("_qb", "_cb").cogroup(c.groupBy("_qb", "_cb")).applyInPandas(
-        _tile_topk(k, exclude_self), TILE_SCHEMA)
+         .select(*[F.col(x).alias("_grp") for x in g], "_qb", "_cb", F.col("id").alias("cid"),
+                 F.col("v").alias("cv"), F.col("label").cast("long").alias("clabel")))
+    qg = q.groupBy(*g, "_qb", "_cb")
+    cg = c.groupBy(*(["_grp"] if group else []), "_qb", "_cb")
+    tiles = qg.cogroup(cg).applyInPandas(_tile_topk(k, exclude_self), TILE_SCHEMA)
     w = Window.partitionBy("qid").orderBy("dist", "tid")
     return tiles.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

@@ -31,12 +31,8 @@ def smote(df: DataFrame, key: str, vec: str, label: str, k: int = 5, seed: int =
                 f"neighbour_id bigint, gap double")
     minority = df.where(F.col(label).isin(list(need))).select(
         F.col(key).alias("id"), F.col(vec).cast("array<double>").alias("v"), F.col(label).alias("label"))
-    # neighbours within the same class: one tiled search per class label
-    nn = None
-    for c in need:
-        part = minority.where(F.col("label") == c)
-        one = nearest(part.select("id", "v"), part, k, exclude_self=True)
-        nn = one if nn is None else nn.unionByName(one)
+    # neighbours within the same class: one tiled search, class in the tile key
+    nn = nearest(minority.select("id", "v", "label"), minority, k, exclude_self=True, group="label")
     nbrs = nn.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("rank", "tid"))).alias("_nb"))
     # copies per minority row: exact count rule, hash-ranked remainder
     n_map = F.create_map(*[x for c, n in counts.items() for x in (F.lit(c), F.lit(n))])
