@@ -60,11 +60,18 @@ def dedupe_rows(df: DataFrame) -> DataFrame:
 def fit_modes(df: DataFrame, cols: Sequence[str]) -> dict:
     """Per-column mode, lowest value on a tie, NULLs ignored (A5).
 
-    One aggregate for every column: the data is read once and the result is
-    a single row (the only thing that reaches the driver).
+    Each column is a ``groupBy(value).count()`` (partial counts before the
+    shuffle, so no task ever holds all distinct values of a column) followed
+    by a global ``min_by`` over (-count, value); only one value per column
+    reaches the driver.
     """
-    row = df.agg(*[F.mode(F.col(c), True).alias(c) for c in cols]).first()
-    return row.asDict() if row is not None else {c: None for c in cols}
+    out = {}
+    for c in cols:
+        counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
+        row = counts.agg(F.min_by(F.col(c), F.struct((-F.col("_n")).alias("n"), F.col(c).alias("v")))
+                         .alias("m")).first()
+        out[c] = row["m"] if row is not None else None
+    return out
 
 
 def apply_fill(df: DataFrame, values: Mapping) -> DataFrame:
