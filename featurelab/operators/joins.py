@@ -41,13 +41,14 @@ def vertical_slices(df: DataFrame, key: str, groups: Sequence[Sequence[str]]) ->
 def rejoin_slices(slices: Sequence[DataFrame], key: str) -> DataFrame:
     """Re-attach slices on their key.
 
-    Every slice is hash-partitioned on the key once; the joins then line up
-    partition by partition.  Column-wise concat by row index (J6) has no
-    Spark counterpart on purpose: columns stay in one projection instead.
+    Slices cut from one source that was hash-partitioned on the key once
+    (``vertical_slices(df.repartition(key), ...)``) already share that
+    partitioning, so the joins line up partition by partition with no
+    further exchange.  Column-wise concat by row index (J6) has no Spark
+    counterpart on purpose: columns stay in one projection instead.
     """
-    parts = [s.repartition(key) for s in slices]
-    out = parts[0]
-    for s in parts[1:]:
+    out = slices[0]
+    for s in slices[1:]:
         out = out.join(s, key, "inner")
     return out
 

@@ -491,8 +491,9 @@ SELECT c_custkey, c_name, c_nationkey, round(c_acctbal, 4) AS c_acctbal, c_mktse
 """)
 def slices_rejoined(spark: SparkSession, d: str) -> DataFrame:
     c = Tables(spark, d).customer
-    slices = J.vertical_slices(c, "c_custkey", [["c_name"], ["c_nationkey", "c_mktsegment"],
-                                                 ["c_acctbal"]])
+    # one hash partitioning of the source; every slice inherits it
+    slices = J.vertical_slices(c.repartition("c_custkey"), "c_custkey",
+                               [["c_name"], ["c_nationkey", "c_mktsegment"], ["c_acctbal"]])
     wide = J.rejoin_slices(slices, "c_custkey")
     return wide.select("c_custkey", "c_name", "c_nationkey", round4("c_acctbal").alias("c_acctbal"),
                        "c_mktsegment")

@@ -62,7 +62,7 @@ def table_load_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     IO.write_jsonl(spark.read.parquet(base + "/table"), base + "/export")
     back = IO.read_jsonl(spark, base + "/export",
                          "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double", "part-*.json")
-    return back.where(F.col("_corrupt_record").isNull()).select(
+    return IO.valid_rows(back, "s_suppkey").select(
         "s_suppkey", "s_name", "s_nationkey", round4("s_acctbal").alias("s_acctbal"),
         F.lit(n1).cast("bigint").alias("loaded_rows"))
 

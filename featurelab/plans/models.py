@@ -246,7 +246,8 @@ def predict_readback(spark: SparkSession, d: str) -> DataFrame:
     ex = ex.select("l_orderkey", "l_linenumber", "l_partkey",
                    *[F.col("attr_" + c) for c in TRAIN_FEATURES]).dropDuplicates(
         ["l_orderkey", "l_linenumber", "l_partkey"])
-    return back.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record").join(
+    from featurelab.sources.files import valid_rows
+    return valid_rows(back, "l_orderkey").join(
         ex, ["l_orderkey", "l_linenumber", "l_partkey"], "left")
 
 
