@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,8 +12,10 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from featurelab.session import build_session
-    ckpt = tempfile.mkdtemp(prefix="featurelab-test-ckpt-")
-    s = build_session("local[*]", 8, extra={"spark.checkpoint.dir": ckpt})
+    from featurelab.session import build_session, checkpoint_dir
+    s = build_session("local[*]", 8)
+    # the session's own spark.checkpoint.dir is used; a scratch folder is
+    # chosen only when none is configured
+    checkpoint_dir(s)
     yield s
     s.stop()
