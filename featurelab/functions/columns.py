@@ -143,3 +143,9 @@ def assert_rows(df, cond: Column, message: str, carrier: str):
     """
     t = df.schema[carrier].dataType
     return df.withColumn(carrier, F.coalesce(F.assert_true(cond, message).cast(t), F.col(carrier)))
+
+
+def qcol(name: str) -> Column:
+    """Column by exact name, dots included (``emp.var.rate`` is one column,
+    not a nested field)."""
+    return F.col("`" + name.replace("`", "``") + "`")

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featurelab.functions.columns import col_
+from featurelab.functions.columns import col_, qcol
 
 
 def group_sum(df: DataFrame, keys: Sequence[str], value: str | Column, alias: str,
@@ -54,7 +54,7 @@ def drop_any_null(df: DataFrame, subset: Sequence[str] | None = None) -> DataFra
 
 def dedupe_rows(df: DataFrame) -> DataFrame:
     """``drop_duplicates()`` over all columns (A4); any copy is the same."""
-    return df.dropDuplicates()
+    return df.distinct()
 
 
 def fit_modes(df: DataFrame, cols: Sequence[str]) -> dict:
@@ -67,8 +67,9 @@ def fit_modes(df: DataFrame, cols: Sequence[str]) -> dict:
     """
     out = {}
     for c in cols:
-        counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-        row = counts.agg(F.min_by(F.col(c), F.struct((-F.col("_n")).alias("n"), F.col(c).alias("v")))
+        counts = (df.where(qcol(c).isNotNull()).groupBy(qcol(c).alias("_v"))
+                  .agg(F.count(F.lit(1)).alias("_n")))
+        row = counts.agg(F.min_by(F.col("_v"), F.struct((-F.col("_n")).alias("n"), F.col("_v").alias("v")))
                          .alias("m")).first()
         out[c] = row["m"] if row is not None else None
     return out
@@ -76,7 +77,7 @@ def fit_modes(df: DataFrame, cols: Sequence[str]) -> dict:
 
 def apply_fill(df: DataFrame, values: Mapping) -> DataFrame:
     """Fill NULLs from fitted statistics (A6); works on any split."""
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in values.items()
+    return df.withColumns({c: F.coalesce(qcol(c), F.lit(v)) for c, v in values.items()
                            if v is not None})
 
 
