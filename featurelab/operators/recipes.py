@@ -126,3 +126,49 @@ def advertising_training_set(campaign: DataFrame, revenue: DataFrame, keep_keys:
     rev = A.group_sum(revenue, ["YEAR", "MONTH"], "REVENUE", "REVENUE")
     out = A.drop_any_null(rev.join(spend, ["YEAR", "MONTH"], "inner"))
     return out if keep_keys else out.drop("YEAR", "MONTH")
+
+
+# ---------------------------------------------------------------- credit
+
+# Credit code books (a value outside a book encodes as 0)
+CREDIT_CODES = {
+    "PURPOSE": {"Consumer Goods": 1, "Vehicle": 2, "Tuition": 3, "Business": 4, "Repairs": 5},
+    "OTHER_PARTIES": {"Guarantor": 1, "Co-Applicant": 2},
+    "QUALIFICATION": {"unskilled": 1, "skilled": 2, "highly skilled": 3},
+    "CREDIT_STANDING": {"good": 1},
+    "ASSETS": {"Vehicle": 1, "Investments": 2, "Home": 3},
+    "HOUSING": {"rent": 1, "own": 2},
+    "MARITAL_STATUS": {"Married": 1, "Single": 2},
+    "OTHER_PAYMENT_PLANS": {"bank": 1, "stores": 2},
+    "SEX": {"M": 1},
+}
+CREDIT_NUMERIC = ["CREDIT_AMOUNT", "CREDIT_DURATION", "INSTALLMENT_COMMITMENT", "CREDIT_SCORE",
+                  "CHECKING_BALANCE", "SAVINGS_BALANCE", "EXISTING_CREDITS", "JOB_HISTORY"]
+CREDIT_DEMOGRAPHIC = ["AGE", "NUM_DEPENDENTS", "RESIDENCE_SINCE"]
+
+
+def credit_features(df: DataFrame) -> DataFrame:
+    """Dictionary-encode the nine text columns to ``<NAME>_CODE`` (default
+    0) and drop the texts."""
+    codes = {f"{c}_CODE": map_lookup(qcol(c), book, 0).cast("int") for c, book in CREDIT_CODES.items()}
+    return df.withColumns(codes).drop(*CREDIT_CODES)
+
+
+def credit_store_rows(df: DataFrame, batch_ts) -> DataFrame:
+    """Feature-table rows (FS1, FS2): entity id from the request id, one
+    ingestion time for the batch, 20 double features in the table's order."""
+    from featurelab.operators.store import check_required
+    enc = credit_features(df)
+    feats = (CREDIT_NUMERIC + [f"{c}_CODE" for c in ["PURPOSE", "OTHER_PARTIES", "QUALIFICATION",
+                                                       "CREDIT_STANDING", "ASSETS", "HOUSING",
+                                                       "MARITAL_STATUS", "OTHER_PAYMENT_PLANS"]]
+             + CREDIT_DEMOGRAPHIC + ["SEX_CODE"])
+    out = enc.select(qcol("CREDIT_REQUEST_ID").cast("string").alias("entity_id"),
+                     F.lit(batch_ts).cast("timestamp").alias("feature_timestamp"),
+                     *[qcol(c).try_cast("double").alias(c.lower()) for c in feats])
+    return check_required(out)
+
+
+def credit_decode(prediction) -> "F.Column":
+    """1 -> 'Approved', anything else -> 'Denied' (P8)."""
+    return F.when(prediction == 1, "Approved").otherwise("Denied")

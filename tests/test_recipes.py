@@ -118,3 +118,24 @@ def test_advertising_training_set(spark):
     assert r == {"REVENUE": 15.0, "SEARCH_ENGINE": 1.0, "SOCIAL_MEDIA": 2.0, "VIDEO": 3.0, "EMAIL": 4.0}
     keyed = RC.advertising_training_set(camp, rev, keep_keys=True).first()
     assert (keyed["YEAR"], keyed["MONTH"]) == (2023, 1)
+
+
+def test_credit_recipe_and_store_rows(spark):
+    from featurelab.operators.store import feature_schema
+    row = {"CREDIT_REQUEST_ID": [1001, 1002], "CREDIT_AMOUNT": [1000, 2000], "CREDIT_DURATION": [12, 24],
+           "PURPOSE": ["Vehicle", "Holiday"], "INSTALLMENT_COMMITMENT": [2, 3],
+           "OTHER_PARTIES": ["none", "Guarantor"], "CREDIT_STANDING": ["good", "bad"], "CREDIT_SCORE": [1, 0],
+           "CHECKING_BALANCE": [10.5, 0.0], "SAVINGS_BALANCE": [100.0, 5.0], "EXISTING_CREDITS": [1, 2],
+           "ASSETS": ["Home", "Other"], "HOUSING": ["own", "free"], "QUALIFICATION": ["skilled", "x"],
+           "JOB_HISTORY": [3, 1], "AGE": [35, 50], "SEX": ["M", "F"], "MARITAL_STATUS": ["Single", "Married"],
+           "NUM_DEPENDENTS": [1, 0], "RESIDENCE_SINCE": [4, 2], "OTHER_PAYMENT_PLANS": ["bank", "none"]}
+    df = frame(spark, row)
+    enc = {r.CREDIT_REQUEST_ID: r for r in RC.credit_features(df).collect()}
+    assert enc[1001].PURPOSE_CODE == 2 and enc[1002].PURPOSE_CODE == 0
+    assert enc[1002].OTHER_PARTIES_CODE == 1 and enc[1001].CREDIT_STANDING_CODE == 1
+    rows = RC.credit_store_rows(df, dt.datetime(2024, 1, 1))
+    schema = feature_schema([c for c in rows.columns if c not in ("entity_id", "feature_timestamp")])
+    assert rows.columns == [f.name for f in schema.fields] and len(rows.columns) == 22
+    assert rows.where(F.col("entity_id") == "1001").first()["sex_code"] == 1.0
+    assert [r.d for r in spark.createDataFrame([(1,), (0,)], "p int")
+            .select(RC.credit_decode(F.col("p")).alias("d")).collect()] == ["Approved", "Denied"]
