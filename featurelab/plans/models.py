@@ -323,22 +323,41 @@ def tfidf_embed(spark: SparkSession, d: str) -> DataFrame:
 TRIAGE = ["toxic", "ok"]
 
 
-@query("ticket_triage", "K12 T15")
+@query("ticket_triage", "K12 T15 P18 P19 A7")
 def ticket_triage(spark: SparkSession, d: str) -> DataFrame:
+    """Batch triage end to end: build request lines (P18), run them through a
+    TF-IDF + logistic regression text classifier trained on the labelled
+    documents (T15), emit response lines in the batch-output shape, parse
+    them back (P19) and count per category in a fixed order (A7)."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer
     from featurelab.operators.aggregate import category_counts
+    from featurelab.plans.text import build_requests, parse_responses_df
     df = doc_frame(spark, d)
     pipe = Pipeline(stages=[RegexTokenizer(inputCol="text", outputCol="words", pattern=r"\W+"),
                             HashingTF(inputCol="words", outputCol="tf", numFeatures=1 << 14),
                             IDF(inputCol="tf", outputCol="features"),
                             LogisticRegression(maxIter=50, regParam=0.01)])
     m = pipe.fit(df.where(~F.col("is_test")))
-    docs = Tables(spark, d).documents.select("doc_id", "text")
-    pred = m.transform(docs).select(
-        "doc_id", F.when(F.col("prediction") == 1.0, "toxic").otherwise("ok").alias("category"))
-    return category_counts(pred, "category", TRIAGE)
+    # 1. requests, as they would be written to the batch input file
+    req = build_requests(spread(Tables(spark, d).documents), "doc_id", "text")
+    req_schema = ("request struct<contents: array<struct<role: string, parts: array<struct<text: string>>>>, "
+                  "labels: struct<ticket_id: string>>")
+    r = req.select(F.from_json("line", req_schema).alias("r")).select(
+        F.col("r.request.labels.ticket_id").alias("ticket_id"),
+        F.get(F.get(F.col("r.request.contents"), 0)["parts"], 0)["text"].alias("text"))
+    # 2. the job: score every request, answer in the batch-response shape
+    pred = m.transform(r).select("ticket_id", F.when(F.col("prediction") == 1.0, "toxic")
+                                 .otherwise("ok").alias("answer"))
+    resp = pred.select(F.to_json(F.struct(
+        F.struct(F.array(F.struct(F.struct(F.array(F.struct(F.col("answer").alias("text"))).alias("parts"))
+                                  .alias("content"))).alias("candidates")).alias("response"),
+        F.struct(F.struct(F.col("ticket_id").alias("ticket_id")).alias("labels")).alias("request")))
+        .alias("line"))
+    # 3. parse the response lines back and count in a fixed category order
+    cats = parse_responses_df(resp, TRIAGE)
+    return category_counts(cats, "category", TRIAGE)
 
 
 # ---------------------------------------------------------------- F10

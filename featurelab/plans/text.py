@@ -94,7 +94,7 @@ RESPONSE_SCHEMA = ("response struct<candidates: array<struct<content: struct<par
                    "array<struct<text: string>>>>>>, request struct<labels: struct<ticket_id: string>>")
 
 
-def parse_responses_df(lines: DataFrame) -> DataFrame:
+def parse_responses_df(lines: DataFrame, categories=None) -> DataFrame:
     """(ticket_id, category) per response line.
 
     ``get(array, 0)`` is NULL on an empty array (``arr[0]`` raises under
@@ -108,7 +108,7 @@ def parse_responses_df(lines: DataFrame) -> DataFrame:
     parsed = F.when(obj != "", F.get_json_object(obj, "$.category")).otherwise(raw)
     ticket = F.coalesce(F.col("r.request.labels.ticket_id"), F.lit("UNKNOWN"))
     return r.select(ticket.alias("ticket_id"),
-                    enum_or_other(F.coalesce(parsed, F.lit("")), CATEGORIES).alias("category"))
+                    enum_or_other(F.coalesce(parsed, F.lit("")), categories or CATEGORIES).alias("category"))
 
 
 RESP_CTE = """

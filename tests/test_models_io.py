@@ -164,3 +164,12 @@ def test_feature_sync_late_rows_do_not_win(spark):
                   ["total_price"], tie=["source_id"])
     s = {r.entity_id: r.total_price for r in read_serving(spark, base + "/serving").collect()}
     assert s == {"e1": 5.0, "e2": 2.0}
+
+
+def test_ticket_triage_counts_every_document(spark):
+    from featurelab.plans.registry import load_all
+    out = load_all()["ticket_triage"].fn(spark, SF_SMALL)
+    rows = {r.category: r.n for r in out.collect()}
+    assert list(rows) == ["toxic", "ok", "other"] or set(rows) == {"toxic", "ok", "other"}
+    assert sum(rows.values()) == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
+    assert rows["other"] == 0
