@@ -118,7 +118,7 @@ POLY = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
 
 
 def _poly_sql() -> str:
-    cols = ["1.0 AS poly_1"] + [f"round({c}, 4) AS poly_{c}" for c in POLY]
+    cols = ["CAST(1.0 AS DOUBLE) AS poly_1"] + [f"round({c}, 4) AS poly_{c}" for c in POLY]
     for i, a in enumerate(POLY):
         for b in POLY[i:]:
             name = f"poly_{a}_sq" if a == b else f"poly_{a}_x_{b}"
