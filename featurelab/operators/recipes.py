@@ -169,6 +169,6 @@ def credit_store_rows(df: DataFrame, batch_ts) -> DataFrame:
     return check_required(out)
 
 
-def credit_decode(prediction) -> "F.Column":
+def credit_decode(prediction):
     """1 -> 'Approved', anything else -> 'Denied' (P8)."""
     return F.when(prediction == 1, "Approved").otherwise("Denied")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurelab.functions.columns import (
@@ -520,7 +520,7 @@ def unprocessed_rows(spark: SparkSession, d: str) -> DataFrame:
 # Lenient date parsing of exported text dates
 # --------------------------------------------------------------------------
 
-def parse_date_lenient(c) -> "Column":
+def parse_date_lenient(c):
     """``pd.to_datetime(errors="coerce")``: unparseable text becomes NULL
     (``to_timestamp`` would raise under ANSI)."""
     return F.coalesce(F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss")),
