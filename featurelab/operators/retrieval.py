@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_QUERIES = 4096
 
 
 def centroids(df: DataFrame, key: str, vec: str) -> DataFrame:
@@ -31,20 +30,22 @@ def cosine(a: Column, b: Column) -> Column:
 
 def top_k_similar(corpus: DataFrame, corpus_id: str, corpus_vec: str, queries: DataFrame,
                   query_id: str, query_vec: str, k: int = 5,
-                  max_queries: int = MAX_QUERIES) -> DataFrame:
+                  max_literal_queries: int = 256) -> DataFrame:
     """Top-k corpus rows by cosine similarity for every query (K9).
 
-    The query set must be small (checked: at most ``max_queries`` rows); it
+    A small query set (checked: at most ``max_literal_queries`` rows)
     travels inside the plan as a literal array, so each corpus row is scored
     against all queries in one projection (no join, no pair table), and the
     per-query ``row_number() <= k`` keeps only k rows per map partition
-    before the shuffle.  Zero vectors score NULL and are dropped; ties go to
-    the smaller id.
+    before the shuffle.  A larger query set goes to the exact kNN tiles on
+    unit vectors, where the nearest Euclidean neighbours are the most cosine-
+    similar (cos = 1 - d^2 / 2).  Zero vectors score NULL and are dropped;
+    ties go to the smaller id.
     """
     rows = queries.select(query_id, F.col(query_vec).cast("array<double>").alias("q")) \
-        .limit(max_queries + 1).collect()
-    if len(rows) > max_queries:
-        raise ValueError(f"more than {max_queries} queries: score them in blocks")
+        .limit(max_literal_queries + 1).collect()
+    if len(rows) > max_literal_queries:
+        return _top_k_by_tiles(corpus, corpus_id, corpus_vec, queries, query_id, query_vec, k)
     if not rows:
         return corpus.sparkSession.createDataFrame(
             [], f"{query_id} string, rank int, {corpus_id} bigint, score double")
@@ -59,6 +60,28 @@ def top_k_similar(corpus: DataFrame, corpus_id: str, corpus_vec: str, queries: D
     return top.select(F.element_at(qmap, F.col("qi") + 1).alias(query_id), "rank", corpus_id, "score")
 
 
+def _unit(vec: Column) -> Column:
+    v = vec.cast("array<double>")
+    n = F.sqrt(_dot(v, v))
+    return F.when(n > 0, F.transform(v, lambda x: x / n))
+
+
+def _top_k_by_tiles(corpus: DataFrame, corpus_id: str, corpus_vec: str, queries: DataFrame,
+                    query_id: str, query_vec: str, k: int) -> DataFrame:
+    from featurelab.operators.knn import nearest
+    q = queries.select(F.col(query_id).alias("_qid"), _unit(F.col(query_vec)).alias("v")) \
+        .where(F.col("v").isNotNull())
+    # the tile search wants integer ids: number the queries by a stable hash
+    q = q.withColumn("id", F.xxhash64("_qid"))
+    c = corpus.select(F.col(corpus_id).alias("id"), _unit(F.col(corpus_vec)).alias("v"),
+                      F.lit(0).alias("label")).where(F.col("v").isNotNull())
+    nn = nearest(q.select("id", "v"), c, k)
+    ids = q.select(F.col("id").alias("qid"), "_qid")
+    return (nn.join(ids, "qid", "inner")
+            .select(F.col("_qid").alias(query_id), F.col("rank").cast("int").alias("rank"),
+                    F.col("tid").alias(corpus_id), (1.0 - F.col("dist") * F.col("dist") / 2.0).alias("score")))
+
+
 def citations(top: DataFrame, query_id: str, doc_id: str, extra: Sequence[str] = ()) -> DataFrame:
     """Answer assembly (K10): the ranked hits of each query as one citation
     string; at most k hits per query, so the list is bounded."""

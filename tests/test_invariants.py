@@ -160,3 +160,19 @@ def test_side_by_side_full_outer(spark):
     out = {r.k: r for r in J.side_by_side(a, b, "k", ["score"], ("v1", "v2")).collect()}
     assert out[1]["score_v2"] is None and out[3]["score_v1"] is None
     assert out[2]["score_delta"] == 1.0
+
+
+def test_topk_similar_tiles_equal_literal_path(spark):
+    from featurelab.operators.retrieval import top_k_similar
+    rng = np.random.default_rng(5)
+    corpus = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(400)]
+                                   + [(999, [0.0] * 8)], "id long, v array<double>")
+    queries = spark.createDataFrame([(f"q{j}", rng.normal(size=8).tolist()) for j in range(12)],
+                                    "qid string, v array<double>")
+    a = top_k_similar(corpus, "id", "v", queries, "qid", "v", k=5).toPandas()
+    b = top_k_similar(corpus, "id", "v", queries, "qid", "v", k=5, max_literal_queries=3).toPandas()
+    key = ["qid", "rank"]
+    a, b = a.sort_values(key).reset_index(drop=True), b.sort_values(key).reset_index(drop=True)
+    assert (a["id"] == b["id"]).all() and len(a) == 60
+    assert np.allclose(a["score"], b["score"], atol=1e-9)
+    assert 999 not in set(a["id"])
