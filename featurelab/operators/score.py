@@ -114,3 +114,52 @@ def shapley_error(df: DataFrame, features: Sequence[str], prefix: str = "attr_")
     for c in features:
         total = total + F.col(prefix + c)
     return F.abs(total - (F.col("instance_score") - F.col("baseline_score")))
+
+
+def sampled_shapley_model(model, df: DataFrame, key: str, features: Sequence[str],
+                          baseline: Mapping[str, float], paths: int = 25, seed: int = 42,
+                          output: str = "prediction", prefix: str = "attr_") -> DataFrame:
+    """Sampled Shapley attributions (K5, K6) for any fitted model whose
+    ``transform`` reads the feature columns (a ``PipelineModel`` that
+    assembles them, a tree ensemble, ...).
+
+    Every row is expanded to ``paths`` hash-seeded feature orders x features
+    x {with, without}: the coalition points are built as plain columns,
+    scored in one ``model.transform`` (the model stays in the JVM), and the
+    gains are averaged per row and feature by an aggregate whose partial
+    step runs in the expanding task.  ``output`` names the scored column; a
+    vector column (e.g. ``probability``) is read at index 1.
+    """
+    from pyspark.ml.functions import vector_to_array
+    d = len(features)
+    base = {c: F.lit(float(baseline[c])) for c in features}
+    x = df.select(key, *[F.col(c).cast("double").alias(c) for c in features])
+    x = x.withColumn("_path", F.explode(F.sequence(F.lit(0), F.lit(paths - 1))))
+    x = x.withColumns({f"_h{j}": F.xxhash64(F.col(key), F.col("_path"), F.lit(j), F.lit(seed))
+                       for j in range(d)})
+    pos = {}
+    for i in range(d):
+        p_i = F.lit(0)
+        for j in range(d):
+            if j != i:
+                hj, hi = F.col(f"_h{j}"), F.col(f"_h{i}")
+                p_i = p_i + ((hj < hi) | ((hj == hi) & F.lit(j < i))).cast("int")
+        pos[i] = p_i
+    x = x.withColumns({f"_p{i}": pos[i] for i in range(d)})
+    # one row per (path, feature i, with/without)
+    x = x.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(d - 1))))
+    x = x.withColumn("_with", F.explode(F.array(F.lit(True), F.lit(False))))
+    pi = F.element_at(F.array(*[F.col(f"_p{i}") for i in range(d)]), F.col("_i") + 1)
+    point = {}
+    for k, c in enumerate(features):
+        pk = F.col(f"_p{k}")
+        inside = F.when(F.col("_with"), pk <= pi).otherwise(pk < pi)
+        point[c] = F.when(inside, F.col(c)).otherwise(base[c])
+    pts = x.select(key, "_path", "_i", "_with", *[point[c].alias(c) for c in features])
+    scored = model.transform(pts)
+    out_type = dict(scored.dtypes)[output]
+    y = F.element_at(vector_to_array(F.col(output)), 2) if out_type == "vector" else F.col(output)
+    signed = F.when(F.col("_with"), y).otherwise(-y)
+    agg = scored.groupBy(key).agg(*[(F.sum(F.when(F.col("_i") == i, signed)) / F.lit(float(paths)))
+                                    .alias(prefix + c) for i, c in enumerate(features)])
+    return agg

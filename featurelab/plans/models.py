@@ -396,3 +396,17 @@ def gated_publish(spark: SparkSession, d: str) -> DataFrame:
     gate passes.  Returns the step log."""
     from featurelab.operators.flow import gated_run
     return gated_run(spark, d)
+
+
+@query("tree_attributions", "K5 K6 T3")
+def tree_attributions(spark: SparkSession, d: str) -> DataFrame:
+    """Sampled Shapley (25 paths) of the gradient-boosted classifier's
+    P(toxic) for every test document, baseline = training means; the
+    prediction and its attributions side by side (K6)."""
+    df = doc_frame(spark, d)
+    train, test = df.where(~F.col("is_test")), df.where("is_test")
+    m = T.fit(train, DOC_FEATURES, "gbt_classifier", n_estimators=40, max_depth=5, learning_rate=0.2)
+    means = train.agg(*[F.avg(c).alias(c) for c in DOC_FEATURES]).first().asDict()
+    attrs = K.sampled_shapley_model(m, test, "doc_id", DOC_FEATURES, means, paths=25, output="probability")
+    pred = m.transform(test).select("doc_id", "prediction", T.probability_of_one().alias("p_toxic"))
+    return pred.join(attrs, "doc_id", "inner")

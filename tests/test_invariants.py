@@ -176,3 +176,19 @@ def test_topk_similar_tiles_equal_literal_path(spark):
     assert (a["id"] == b["id"]).all() and len(a) == 60
     assert np.allclose(a["score"], b["score"], atol=1e-9)
     assert 999 not in set(a["id"])
+
+
+def test_shapley_model_additivity_on_forest(spark):
+    from featurelab.operators import models as T
+    rng = np.random.default_rng(11)
+    rows = [(i, float(a), float(b), float(c), float(2 * a - b + (c > 0.5)))
+            for i, (a, b, c) in enumerate(rng.random((300, 3)))]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, label double")
+    m = T.fit(df, ["a", "b", "c"], "random_forest_regressor", n_estimators=10, max_depth=5)
+    base = {"a": 0.5, "b": 0.5, "c": 0.5}
+    attrs = K.sampled_shapley_model(m, df.limit(40), "id", ["a", "b", "c"], base, paths=6)
+    fx = m.transform(df.limit(40)).select("id", F.col("prediction").alias("fx"))
+    fb = m.transform(spark.createDataFrame([(0.5, 0.5, 0.5)], "a double, b double, c double")).first()["prediction"]
+    j = attrs.join(fx, "id").select((F.col("attr_a") + F.col("attr_b") + F.col("attr_c") - (F.col("fx") - fb))
+                                    .alias("err"))
+    assert j.agg(F.max(F.abs("err"))).first()[0] < 1e-9
