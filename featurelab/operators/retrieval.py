@@ -103,19 +103,27 @@ def extractive_summary(docs: DataFrame, id_col: str, text_col: str, n: int = 3)
 
     Term weight = how often the word occurs in the whole document.  Work is
     per (document, word) and per (document, sentence): linear in the text.
+    The word weights come from a window over (document, word) rather than an
+    aggregate joined back, and the sentence count, the ranking and the final
+    assembly share one partitioning by document.
     """
     sents = (docs.select(id_col, F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(SENTENCE_RE), 0))
                          .alias("pos", "s"))
              .select(id_col, "pos", F.trim("s").alias("s")).where(F.col("s") != ""))
     words = sents.select(id_col, "pos", F.explode(
         F.regexp_extract_all(F.lower("s"), F.lit(WORD_RE), 0)).alias("w"))
-    tf = words.groupBy(id_col, "w").agg(F.count(F.lit(1)).alias("tf"))
-    score = (words.join(tf, [id_col, "w"], "inner").groupBy(id_col, "pos")
-             .agg(F.avg("tf").alias("score")))
-    n_sent = sents.groupBy(id_col).agg(F.count(F.lit(1)).alias("n_sentences"))
-    scored = sents.join(score, [id_col, "pos"], "inner")
-    w = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("pos"))
-    top = scored.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n)
-    summ = top.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "s"))).alias("_t"))
-    out = summ.select(id_col, F.array_join(F.transform("_t", lambda x: x["s"]), " ").alias("summary"))
-    return n_sent.join(out, id_col, "left")
+    tf = F.count(F.lit(1)).over(Window.partitionBy(id_col, "w"))
+    score = (words.withColumn("tf", tf).groupBy(id_col, "pos").agg(F.avg("tf").alias("score")))
+    # sentences without a word stay (unscored): they count, but never rank
+    scored = sents.join(score, [id_col, "pos"], "left")
+    by_doc = Window.partitionBy(id_col)
+    rank_w = by_doc.orderBy(F.col("score").desc_nulls_last(), F.col("pos"))
+    ranked = scored.withColumns({"_r": F.row_number().over(rank_w),
+                                 "n_sentences": F.count(F.lit(1)).over(by_doc)})
+    keep = (F.col("_r") <= n) & F.col("score").isNotNull()
+    out = ranked.groupBy(id_col).agg(
+        F.first("n_sentences").alias("n_sentences"),
+        F.array_sort(F.collect_list(F.when(keep, F.struct("pos", "s")))).alias("_t"))
+    return out.select(id_col, F.col("n_sentences").cast("bigint").alias("n_sentences"),
+                      F.when(F.size("_t") > 0, F.array_join(F.transform("_t", lambda x: x["s"]), " "))
+                      .alias("summary"))
