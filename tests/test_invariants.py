@@ -192,3 +192,28 @@ def test_shapley_model_additivity_on_forest(spark):
     j = attrs.join(fx, "id").select((F.col("attr_a") + F.col("attr_b") + F.col("attr_c") - (F.col("fx") - fb))
                                     .alias("err"))
     assert j.agg(F.max(F.abs("err"))).first()[0] < 1e-9
+
+
+def test_rank_windows_are_bucketed(spark):
+    """Every row-level window of the H1-based queries is partitioned by a
+    bucket as well as the key, so a hot key is not one task."""
+    import re
+    from featurelab.plans.registry import load_all
+    q = load_all()
+    for name in ["stratified_split", "random_oversample", "conversation_history", "global_rank"]:
+        df = q[name].fn(spark, SF_SMALL)
+        df.write.format("noop").mode("overwrite").save()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        specs = re.findall(r"row_number\(\) windowspecdefinition\(([^)]*)\)", plan)
+        assert specs, name
+        assert all("_bucket" in s for s in specs), (name, specs)
+
+
+def test_hot_class_stratified_split_exact(spark):
+    # one class holds 90% of the rows
+    df = spark.range(0, 20000).select(F.col("id").alias("k"),
+                                      F.when(F.col("id") % 10 == 0, "rare").otherwise("hot").alias("y"))
+    from featurelab.operators.split import stratified_split
+    s = stratified_split(df, "k", "y", 0.2)
+    got = {r.y: r.n for r in s.where("split = 'test'").groupBy("y").agg(F.count("*").alias("n")).collect()}
+    assert got == {"hot": 3600, "rare": 400}
