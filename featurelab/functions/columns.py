@@ -76,13 +76,30 @@ def md5_prefix_int(c: Column, hex_digits: int = 8) -> Column:
     return F.conv(F.substring(F.md5(c), 1, hex_digits), 16, 10).cast("bigint")
 
 
-def md5_mod(c: Column, n: int) -> Column:
-    """``int(md5(text).hexdigest(), 16) % n`` without 128-bit integers.
-
-    The 128-bit value is read as four 32-bit digits d0..d3 and reduced by
+def md5_mod_sql(text_sql: str, n: int) -> str:
+    """SQL text of ``int(md5(text).hexdigest(), 16) % n`` without 128-bit
+    integers: the digest is read as four 32-bit digits d0..d3 and reduced by
     Horner's rule, ``r <- (r * 2^32 + d) mod n``; every intermediate stays
-    below ``n * 2^32``, well inside a bigint.
-    """
+    below ``n * 2^32``, well inside a bigint."""
+    h = f"md5({text_sql})"
+    r = "CAST(0 AS BIGINT)"
+    for i in range(4):
+        d = f"CAST(conv(substring({h}, {1 + 8 * i}, 8), 16, 10) AS BIGINT)"
+        r = f"pmod({r} * {1 << 32} + {d}, {n})"
+    return r
+
+
+def md5_mod(c: Column | str, n: int) -> Column:
+    """``int(md5(text).hexdigest(), 16) % n`` (see ``md5_mod_sql``).
+
+    Built from one SQL text (a single expression parse) rather than dozens
+    of separate column calls; ``c`` is a column name or a Column."""
+    if isinstance(c, str):
+        return F.expr(md5_mod_sql(quote(c), n))
+    return _md5_mod_column(c, n)
+
+
+def _md5_mod_column(c: Column, n: int) -> Column:
     h = F.md5(c)
     r = F.lit(0).cast("bigint")
     for i in range(4):
@@ -91,6 +108,11 @@ def md5_mod(c: Column, n: int) -> Column:
     return r
 
 
+def quote(name: str) -> str:
+    """Back-quoted column name for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def stable_unit(key: Column, seed: int = 42, resolution: int = 1_000_000) -> Column:
     """Deterministic value in [0, resolution) from md5(key || seed).
 

@@ -73,21 +73,22 @@ def quantile_bounds(df: DataFrame, col: str, buckets: int = 256,
 def range_bucket(col: str, bounds: Sequence) -> Column:
     """Number of bounds <= value: a monotone bucket id in [0, len(bounds)].
 
-    Written as a balanced binary search of ``when`` comparisons (depth
-    log2 of the bound count), so it compiles into whole-stage codegen
-    instead of running a per-row lambda.
+    Written as a balanced binary search of CASE comparisons (depth log2 of
+    the bound count), so it compiles into whole-stage codegen instead of
+    running a per-row lambda; built as one SQL text.
     """
-    x = F.col(col).cast("double")
+    x = f"CAST(`{col}` AS DOUBLE)"
     bs = [float(b) for b in bounds]
 
-    def search(lo: int, hi: int) -> Column:
-        # bucket id for values known to lie in [bs[lo-1], bs[hi]) (open ends)
+    def search(lo: int, hi: int) -> str:
+        # bucket id for values known to lie between bs[lo-1] and bs[hi]
         if lo > hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi) // 2
-        return F.when(x < F.lit(bs[mid]), search(lo, mid - 1)).otherwise(search(mid + 1, hi))
+        bound = f"CAST('{bs[mid]!r}' AS DOUBLE)"
+        return f"CASE WHEN {x} < {bound} THEN {search(lo, mid - 1)} ELSE {search(mid + 1, hi)} END"
 
-    return search(0, len(bs) - 1)
+    return F.expr(search(0, len(bs) - 1))
 
 
 def prefix_sums(df: DataFrame, order: str, values: Sequence[str], buckets: int = 256,
