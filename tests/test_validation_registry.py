@@ -87,3 +87,15 @@ def test_beat_the_last_without_history(spark):
     log = spark.createDataFrame([("knn", 1, 0.99)], "algo string, run int, metric double")
     r = G.beat_the_last(log, "algo", ["run"], "metric", 0.98).first()
     assert r.passes and r.previous_metric is None
+
+
+def test_run_log_append_and_summary(spark):
+    from featurelab.sources.logs import append_log, run_log_entries
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    path = scratch_path(spark, "runlog")
+    entries = run_log_entries(ev)
+    append_log(entries, path)
+    append_log(entries, path)  # a second run appends, nothing is rewritten
+    back = spark.read.schema("keyword string, ts timestamp, message string, status int").json(path)
+    assert back.count() == 2 * ev.count()
+    assert set(r.status for r in back.select("status").distinct().collect()) <= {0, 1}
