@@ -550,3 +550,45 @@ def date_parse_lenient(spark: SparkSession, d: str) -> DataFrame:
            .groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_orders"),
                                          F.sum("o_totalprice").alias("revenue")))
     return out.select("year", "month", "n_orders", round4("revenue").alias("revenue"))
+
+
+# --------------------------------------------------------------------------
+# Schema report of every input table against its declared columns
+# --------------------------------------------------------------------------
+
+def _schema_sql() -> str:
+    from featurelab.sources.tables import TABLE_COLUMNS
+    names = ", ".join(f"'{t}'" for t in TABLE_COLUMNS)
+    expected = " ".join(f"WHEN '{t}' THEN '{','.join(c)}'" for t, c in TABLE_COLUMNS.items())
+    counts = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in TABLE_COLUMNS)
+    return f"""
+WITH c AS (SELECT table_name, string_agg(column_name, ',' ORDER BY ordinal_position) AS cols, count(*) AS n
+           FROM information_schema.columns WHERE table_name IN ({names}) GROUP BY table_name),
+e AS (SELECT *, CASE table_name {expected} END AS expected FROM c),
+l AS (SELECT *, string_split(cols, ',') AS a, string_split(expected, ',') AS x FROM e),
+r AS ({counts})
+SELECT l.table_name, CAST(n AS INTEGER) AS n_columns, r.n_rows, cols = expected AS ordered_match,
+       list_sort(a) = list_sort(x) AS set_match,
+       array_to_string(list_filter(x, lambda v: NOT list_contains(a, v)), ',') AS missing,
+       array_to_string(list_filter(a, lambda v: NOT list_contains(x, v)), ',') AS unexpected
+FROM l JOIN r ON l.table_name = r.table_name
+"""
+
+
+@query("schema_diff_report", "S1 S2 S3", sql=_schema_sql())
+def schema_diff_report(spark: SparkSession, d: str) -> DataFrame:
+    """Ordered (S1) and set (S2) column checks of every input table plus the
+    missing / unexpected lists (S3, always reported) and the row count."""
+    from featurelab.sources.tables import TABLE_COLUMNS, table
+    out = None
+    for name, expected in TABLE_COLUMNS.items():
+        df = table(spark, d, name)
+        rep = S.column_set_report(df, expected)
+        ordered = list(df.columns) == list(expected)
+        one = df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("table_name"), F.lit(rep.n_actual).cast("int").alias("n_columns"), "n_rows",
+            F.lit(ordered).alias("ordered_match"),
+            F.lit(not rep.missing and not rep.unexpected).alias("set_match"),
+            F.lit(",".join(rep.missing)).alias("missing"), F.lit(",".join(rep.unexpected)).alias("unexpected"))
+        out = one if out is None else out.unionByName(one)
+    return out
