@@ -1,10 +1,13 @@
 """Streaming feature sync (FS4): newest row per entity into a serving table.
 
-Each micro-batch is merged with the current serving table and the result is
-written as a new version folder named by the batch id; readers take the
-highest version.  The merge compares feature timestamps, so a late file with
-older rows never replaces a newer value, and replaying a batch rewrites the
-same version.  The state lives in the target table, not in the stream.
+Each micro-batch writes only its own newest row per entity, under a folder
+named by its batch id (``overwrite``, so a replayed batch rewrites the same
+folder instead of duplicating it).  Reading the serving table takes the
+newest row per entity across all batch folders: feature time decides, so a
+late file with older rows never replaces a newer value.  A batch costs work
+proportional to the batch, not to the table; ``compact`` folds the batch
+folders into one snapshot when the log grows long.  The state lives in the
+target table, not in the stream.
 """
 
 from __future__ import annotations
@@ -16,40 +19,31 @@ from pyspark.sql import DataFrame, SparkSession
 from featurelab.operators.store import KEY, TS, latest_features
 
 
-def current_version(spark: SparkSession, serving: str) -> str | None:
-    from featurelab.sources.files import list_files
-    try:
-        files = list_files(spark, serving, ".parquet")
-    except Exception:  # noqa: BLE001 - no table yet
-        return None
-    vers = sorted({int(f.split("/v=")[1].split("/")[0]) for f in files if "/v=" in f})
-    return f"{serving}/v={vers[-1]}" if vers else None
-
-
 def sync_features(spark: SparkSession, landing: str, schema: str, serving: str, checkpoint: str,
                   features: Sequence[str], tie: Sequence[str] = (), max_files_per_trigger: int = 4) -> None:
     stream = (spark.readStream.format("parquet").schema(schema)
               .option("maxFilesPerTrigger", max_files_per_trigger).load(landing))
     cols = [KEY, TS, *features, *tie]
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        cur = current_version(spark, serving)
-        prev_id = int(cur.split("/v=")[1]) if cur else -1
-        if cur and prev_id >= batch_id:  # replay of an already merged batch
-            return
-        incoming = batch.select(*cols)
-        if cur:
-            incoming = incoming.unionByName(spark.read.parquet(cur).select(*cols))
-        merged = latest_features(incoming, [*features, *tie], tie)
-        merged.write.mode("overwrite").parquet(f"{serving}/v={batch_id}")
-
-    q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        newest = latest_features(batch.select(*cols), [*features, *tie], tie)
+        newest.write.mode("overwrite").parquet(f"{serving}/batch_id={batch_id}")
+
+    q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
-def read_serving(spark: SparkSession, serving: str) -> DataFrame:
-    cur = current_version(spark, serving)
-    if cur is None:
-        raise FileNotFoundError(serving)
-    return spark.read.parquet(cur)
+def read_serving(spark: SparkSession, serving: str, features: Sequence[str],
+                 tie: Sequence[str] = ()) -> DataFrame:
+    """Newest row per entity over every batch folder (partial ``max_by``
+    before the shuffle, so a hot entity costs one row per map task)."""
+    log = spark.read.parquet(serving).drop("batch_id")
+    return latest_features(log, [*features, *tie], tie)
+
+
+def compact(spark: SparkSession, serving: str, snapshot: str, features: Sequence[str],
+            tie: Sequence[str] = ()) -> None:
+    """Write the current serving state as one snapshot folder (to a new path;
+    the log being read is never overwritten)."""
+    read_serving(spark, serving, features, tie).write.mode("overwrite").parquet(snapshot)

@@ -162,8 +162,13 @@ def test_feature_sync_late_rows_do_not_win(spark):
     old.write.mode("append").parquet(base + "/landing")  # arrives later, holds older rows
     sync_features(spark, base + "/landing", schema, base + "/serving", base + "/ckpt",
                   ["total_price"], tie=["source_id"])
-    s = {r.entity_id: r.total_price for r in read_serving(spark, base + "/serving").collect()}
+    s = {r.entity_id: r.total_price for r in
+         read_serving(spark, base + "/serving", ["total_price"], ["source_id"]).collect()}
     assert s == {"e1": 5.0, "e2": 2.0}
+    # a third run finds no new file and changes nothing
+    sync_features(spark, base + "/landing", schema, base + "/serving", base + "/ckpt",
+                  ["total_price"], tie=["source_id"])
+    assert read_serving(spark, base + "/serving", ["total_price"], ["source_id"]).count() == 2
 
 
 def test_ticket_triage_counts_every_document(spark):
