@@ -131,3 +131,30 @@ def stream_feature_sync(spark: SparkSession, d: str) -> DataFrame:
                   ["total_price"], tie=["source_id"], max_files_per_trigger=3)
     s = read_serving(spark, base + "/serving", ["total_price"], tie=["source_id"])
     return s.select("entity_id", "feature_timestamp", round4("total_price").alias("total_price"))
+
+
+@query("csv_batch_scoring", "K1 IO1 IO7 IO8", sql="""
+SELECT o_orderkey, round(0.001 * o_totalprice + 0.5 * CAST(substr(o_orderpriority, 1, 1) AS DOUBLE), 4) AS prediction
+FROM orders
+""")
+def csv_batch_scoring(spark: SparkSession, d: str) -> DataFrame:
+    """Batch prediction from CSV files written the way the reference's batch
+    inputs are (a space after every comma) to JSON Lines, then read back.
+
+    Without trimming, a typed schema would turn every number into NULL; the
+    reader trims, the scorer stays a column expression, and the read-back
+    takes only the part files."""
+    from featurelab.operators.score import linear_scorer
+    from featurelab.plans.models import V1
+    o = Tables(spark, d).orders
+    base = scratch_path(spark, "csv-batch")
+    inst = o.select("o_orderkey", "o_totalprice",
+                    F.substring("o_orderpriority", 1, 1).cast("double").alias("priority_code"))
+    inst.write.option("sep", ", ").option("header", True).csv(base + "/instances")
+    back = IO.read_csv(spark, base + "/instances", "o_orderkey bigint, o_totalprice double, priority_code double",
+                       sep=",", trim_spaces=True)
+    x = {c: F.col(c) for c in ("o_totalprice", "priority_code")}
+    scored = back.select("o_orderkey", linear_scorer(V1)(x).alias("prediction"))
+    IO.write_jsonl(scored, base + "/predictions")
+    out = IO.read_jsonl(spark, base + "/predictions", "o_orderkey bigint, prediction double", "part-*.json")
+    return IO.valid_rows(out, "o_orderkey").select("o_orderkey", round4("prediction").alias("prediction"))
