@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featurelab.functions.columns import copy_ids, stable_unit
@@ -20,6 +20,30 @@ def class_counts(df: DataFrame, label: str, max_classes: int = 10_000) -> dict:
     return {r[label]: r["n"] for r in rows}
 
 
+COPY_CHUNK = 1_000_000
+
+
+def explode_copies(df: DataFrame, copies: Column, out: str, max_copies: int, key: str,
+                   chunk: int = COPY_CHUNK) -> DataFrame:
+    """One output row per copy id ``0 .. copies-1`` of every input row.
+
+    When a row may need more than ``chunk`` copies (a tiny class grown to a
+    huge majority size), the copies are first cut into chunk ids, the chunks
+    are spread over tasks by (key, chunk), and only then exploded, so no task
+    has to emit an unbounded number of rows.  ``max_copies`` is known on the
+    driver from the class counts, so the extra shuffle happens only then.
+    """
+    d = df.withColumn("_copies", copies)
+    if max_copies <= chunk:
+        return d.withColumn(out, F.explode(copy_ids(F.col("_copies")))).drop("_copies")
+    n_chunks = F.ceil(F.col("_copies") / F.lit(chunk)).cast("int")
+    d = d.withColumn("_chunk", F.explode(copy_ids(n_chunks))).repartition(F.col(key), F.col("_chunk"))
+    lo = F.col("_chunk") * F.lit(chunk)
+    hi = F.least(lo + F.lit(chunk), F.col("_copies"))
+    return (d.withColumn(out, F.explode(F.sequence(lo.cast("int"), (hi - 1).cast("int"))))
+            .drop("_copies", "_chunk"))
+
+
 def random_oversample(df: DataFrame, key: str, label: str, seed: int = 42,
                       max_classes: int = 10_000) -> DataFrame:
     """Every class grows to the majority size M.
@@ -41,5 +65,5 @@ def random_oversample(df: DataFrame, key: str, label: str, seed: int = 42,
     ranked = hash_rank(d, [label], "_h", key, RES, out="_rank")
     copies = F.floor(F.lit(m) / n) + F.when(
         F.col("_rank") <= F.pmod(F.lit(m), n), 1).otherwise(0)
-    return (ranked.withColumn("copy_id", F.explode(copy_ids(copies)))
-            .drop("_h", "_rank"))
+    max_copies = max(-(-m // c) for c in counts.values())
+    return explode_copies(ranked, copies, "copy_id", max_copies, key).drop("_h", "_rank")

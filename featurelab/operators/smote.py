@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurelab.functions.columns import copy_ids, stable_unit
+from featurelab.functions.columns import stable_unit
 from featurelab.operators.balance import class_counts
 from featurelab.operators.knn import nearest
 from featurelab.operators.rank import hash_rank
@@ -41,7 +41,9 @@ def smote(df: DataFrame, key: str, vec: str, label: str, k: int = 5, seed: int =
     r = hash_rank(r, ["label"], "_h", "id", RES, out="_rank")
     n_c, need_c = F.element_at(n_map, F.col("label")), F.element_at(need_map, F.col("label"))
     copies = F.floor(need_c / n_c) + F.when(F.col("_rank") <= F.pmod(need_c, n_c), 1).otherwise(0)
-    base = r.withColumn("copy", F.explode(copy_ids(copies)))
+    from featurelab.operators.balance import explode_copies
+    max_copies = max(-(-need[c] // counts[c]) for c in need)
+    base = explode_copies(r, copies, "copy", max_copies, "id")
     base = base.join(nbrs, base.id == nbrs.qid, "inner").drop("qid")
     pick = F.pmod(F.xxhash64(F.col("id"), F.col("copy"), F.lit(seed)), F.size("_nb")) + 1
     base = base.withColumn("neighbour_id", F.element_at("_nb", pick.cast("int"))["tid"])

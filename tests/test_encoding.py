@@ -111,3 +111,14 @@ def test_too_many_categories(spark):
     df = spark.range(50).select(F.col("id").cast("string").alias("v"))
     with pytest.raises(E.TooManyCategories):
         E.fit_categories(df, ["v"], max_categories=10)
+
+
+def test_explode_copies_chunked_equals_plain(spark):
+    from featurelab.operators.balance import explode_copies
+    df = spark.createDataFrame([(1, 7), (2, 0), (3, 25)], "k long, n int")
+    plain = explode_copies(df, F.col("n"), "c", 25, "k", chunk=100)
+    chunked = explode_copies(df, F.col("n"), "c", 25, "k", chunk=4)
+    a = sorted((r.k, r.c) for r in plain.collect())
+    b = sorted((r.k, r.c) for r in chunked.collect())
+    assert a == b and len(a) == 32
+    assert {r.k: r.m for r in chunked.groupBy("k").agg(F.max("c").alias("m")).collect()} == {1: 6, 3: 24}
