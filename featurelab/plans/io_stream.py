@@ -158,3 +158,13 @@ def csv_batch_scoring(spark: SparkSession, d: str) -> DataFrame:
     IO.write_jsonl(scored, base + "/predictions")
     out = IO.read_jsonl(spark, base + "/predictions", "o_orderkey bigint, prediction double", "part-*.json")
     return IO.valid_rows(out, "o_orderkey").select("o_orderkey", round4("prediction").alias("prediction"))
+
+
+@query("prediction_preview", "K2 A15 A14", sql="""
+SELECT o_orderkey, round(0.001 * o_totalprice + 0.5 * CAST(substr(o_orderpriority, 1, 1) AS DOUBLE), 4) AS prediction
+FROM orders ORDER BY o_orderkey LIMIT 5
+""")
+def prediction_preview(spark: SparkSession, d: str) -> DataFrame:
+    """Read predictions back and show the first five by key (K2): a preview
+    whose limit is the feature; ``orderBy + limit`` is a distributed top-k."""
+    return csv_batch_scoring(spark, d).orderBy("o_orderkey").limit(5)

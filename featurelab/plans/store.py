@@ -138,3 +138,20 @@ def asof_join_q(spark: SparkSession, d: str) -> DataFrame:
     j = asof_join(inst, feats, "custkey", "l_shipdate", "o_orderdate", ["o_totalprice", "o_orderkey"])
     return j.select("custkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey",
                     round4("o_totalprice").alias("feature_total"), F.col("o_orderkey").alias("feature_order"))
+
+
+@query("feature_pit_history", "FS7 P15 P14", sql=FEATURE_SQL + """
+SELECT entity_id, feature_timestamp, round(total_price, 4) AS total_price, status_code
+FROM f WHERE feature_timestamp <= TIMESTAMP '1998-01-01 00:00:00'
+  AND entity_id IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_mktsegment = 'MACHINERY')
+""")
+def feature_pit_history(spark: SparkSession, d: str) -> DataFrame:
+    """The filter-only point-in-time read: every row at or before the
+    cut-off for the requested entities (several rows per entity), as the
+    warehouse query returns them."""
+    keys = Tables(spark, d).customer.where(F.col("c_mktsegment") == "MACHINERY").select(
+        F.col("c_custkey").cast("string").alias(FS.KEY))
+    rows = FS.point_in_time(order_features(spark, d), PIT_CUTOFF, FEATURES, newest_only=False)
+    from featurelab.operators.joins import semi_by_keys
+    out = semi_by_keys(rows, keys, FS.KEY)
+    return out.select(FS.KEY, FS.TS, round4("total_price").alias("total_price"), "status_code")
