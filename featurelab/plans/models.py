@@ -308,8 +308,7 @@ def tfidf_embed(spark: SparkSession, d: str) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
     from featurelab.operators import text as X
     docs = Tables(spark, d).documents
-    chunks = docs.select("doc_id", F.explode(X.chunk_tokens(X.tokens(F.lower("text")))).alias("c")).select(
-        "doc_id", F.col("c.chunk_id").alias("chunk_id"), F.col("c.tokens").alias("tokens"))
+    chunks = X.chunk_rows(docs, ["doc_id"], F.lower("text")).select("doc_id", "chunk_id", "tokens")
     pipe = Pipeline(stages=[HashingTF(inputCol="tokens", outputCol="tf", numFeatures=1 << 14),
                             IDF(inputCol="tf", outputCol="tfidf"),
                             Normalizer(inputCol="tfidf", outputCol="embedding", p=2.0)])

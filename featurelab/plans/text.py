@@ -200,11 +200,11 @@ FROM s
 """)
 def chunk_documents(spark: SparkSession, d: str) -> DataFrame:
     docs = spread(Tables(spark, d).documents)
-    ch = docs.select("doc_id", F.explode(X.chunk_tokens(X.tokens(F.col("text")))).alias("c"))
-    return ch.select("doc_id", F.col("c.chunk_id").cast("int").alias("chunk_id"),
-                     F.col("c.start").cast("int").alias("start"),
-                     F.size("c.tokens").cast("int").alias("n_tokens"),
-                     F.md5(F.array_join("c.tokens", " ")).alias("chunk_md5"))
+    ch = X.chunk_rows(docs, ["doc_id"], F.col("text"))
+    return ch.select("doc_id", F.col("chunk_id").cast("int").alias("chunk_id"),
+                     F.col("start").cast("int").alias("start"),
+                     F.size("tokens").cast("int").alias("n_tokens"),
+                     F.md5(F.array_join("tokens", " ")).alias("chunk_md5"))
 
 
 # ---------------------------------------------------------------- K9 K10

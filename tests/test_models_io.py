@@ -178,3 +178,23 @@ def test_ticket_triage_counts_every_document(spark):
     assert list(rows) == ["toxic", "ok", "other"] or set(rows) == {"toxic", "ok", "other"}
     assert sum(rows.values()) == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
     assert rows["other"] == 0
+
+
+def test_tfidf_vectors_unit_norm(spark):
+    from featurelab.plans.registry import load_all
+    out = load_all()["tfidf_embed"].fn(spark, SF_SMALL)
+    bad = out.where((F.abs(F.col("sq_norm") - 1.0) > 1e-9) & (F.col("sq_norm") != 0.0))
+    assert out.count() > 0 and bad.count() == 0
+
+
+def test_chunks_overlap_and_cover(spark):
+    from featurelab.operators import text as X
+    df = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(1000))), (2, "   "), (3, "a b")],
+                               "id long, t string")
+    rows = X.chunk_rows(df, ["id"], F.col("t"), 512, 100).orderBy("id", "chunk_id").collect()
+    doc1 = [r for r in rows if r.id == 1]
+    assert [r.start for r in doc1] == [0, 412, 824]
+    assert doc1[0].tokens[-100:] == doc1[1].tokens[:100]  # 100-token overlap
+    assert doc1[-1].tokens[-1] == "w999" and len(doc1[-1].tokens) == 176
+    assert not [r for r in rows if r.id == 2]
+    assert [r.tokens for r in rows if r.id == 3] == [["a", "b"]]
