@@ -99,3 +99,26 @@ def test_run_log_append_and_summary(spark):
     back = spark.read.schema("keyword string, ts timestamp, message string, status int").json(path)
     assert back.count() == 2 * ev.count()
     assert set(r.status for r in back.select("status").distinct().collect()) <= {0, 1}
+
+
+def test_category_counts_zero_rows_and_other(spark):
+    from featurelab.operators.aggregate import category_counts
+    df = spark.createDataFrame([("billing",), ("bug",), ("bug",), ("weird",)], "c string")
+    rows = [(r.category, r.position, r.n) for r in category_counts(df, "c", ["billing", "account", "bug"])
+            .orderBy("position").collect()]
+    assert rows == [("billing", 0, 1), ("account", 1, 0), ("bug", 2, 2), ("other", 3, 1)]
+
+
+def test_confusion_matrix_has_every_class(spark):
+    from featurelab.operators.metrics import confusion_matrix
+    df = spark.createDataFrame([(1, 1), (1, 1)], "label int, prediction int")
+    rows = {r.truth: (r.pred_0, r.pred_1) for r in confusion_matrix(df).collect()}
+    assert rows == {0: (0, 0), 1: (0, 2)}
+
+
+def test_lookup_join_broadcasts_only_small_sides(spark):
+    from featurelab.operators.joins import broadcast_if_small, is_small
+    small = spark.range(10)
+    assert is_small(small, 10) and not is_small(small, 9)
+    plan = spark.range(100).join(broadcast_if_small(small, 10), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
