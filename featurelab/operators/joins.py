@@ -82,8 +82,8 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_t
     2. a left row with no right row before it in its own bucket takes the
        newest right row of an earlier bucket: the one-row-per-(key, bucket)
        summaries are carried forward along the buckets of their key.
-    The union is shuffled once (both levels read the same exchange); no
-    pairs are formed.  Right rows with equal (key, time) resolve to the
+    The wide union (with the left rows' payload) is shuffled once; level 2
+    re-reads only keys, times and feature values.  No pairs are formed.  Right rows with equal (key, time) resolve to the
     largest struct of values, so the result is deterministic.  Left rows
     with a NULL key or time get NULL values.
     """
