@@ -41,10 +41,11 @@ def vertical_slices(df: DataFrame, key: str, groups: Sequence[Sequence[str]]) ->
 def rejoin_slices(slices: Sequence[DataFrame], key: str) -> DataFrame:
     """Re-attach slices on their key.
 
-    Slices cut from one source that was hash-partitioned on the key once
-    (``vertical_slices(df.repartition(key), ...)``) already share that
-    partitioning, so the joins line up partition by partition with no
-    further exchange.  Column-wise concat by row index (J6) has no Spark
+    Slices cut from a source hash-partitioned on the key
+    (``vertical_slices(df.repartition(key), ...)``) share that partitioning:
+    each slice's exchange carries only its own columns (the projection is
+    pushed below it) and the sort-merge joins line up partition by partition
+    with no further exchange.  Column-wise concat by row index (J6) has no Spark
     counterpart on purpose: columns stay in one projection instead.
     """
     out = slices[0]
