@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurelab.functions.columns import stable_unit
+from featurelab.functions.columns import md5_prefix_int, stable_unit
 from featurelab.operators.balance import class_counts
 from featurelab.operators.knn import nearest
 from featurelab.operators.rank import hash_rank
@@ -45,7 +45,9 @@ def smote(df: DataFrame, key: str, vec: str, label: str, k: int = 5, seed: int =
     max_copies = max(-(-need[c] // counts[c]) for c in need)
     base = explode_copies(r, copies, "copy", max_copies, "id")
     base = base.join(nbrs, base.id == nbrs.qid, "inner").drop("qid")
-    pick = F.pmod(F.xxhash64(F.col("id"), F.col("copy"), F.lit(seed)), F.size("_nb")) + 1
+    # md5 of "id|copy|seed" (not xxhash64): a SQL engine can redo the choice
+    pick = F.pmod(md5_prefix_int(F.concat_ws("|", F.col("id").cast("string"), F.col("copy").cast("string"),
+                                             F.lit(str(seed)))), F.size("_nb")) + 1
     base = base.withColumn("neighbour_id", F.element_at("_nb", pick.cast("int"))["tid"])
     base = base.withColumn("gap", stable_unit(F.concat_ws("|", F.col("id").cast("string"),
                                                           F.col("copy").cast("string")), seed + 1, RES) / RES)

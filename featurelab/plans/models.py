@@ -362,11 +362,44 @@ def ticket_triage(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- F10
 
 
-@query("smote", "F10")
+SMOTE_SQL = """
+WITH e AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+cnt AS (SELECT label, count(*) AS n FROM e GROUP BY label),
+mx AS (SELECT max(n) AS m FROM cnt),
+mino AS (SELECT e.*, cnt.n, mx.m - cnt.n AS need FROM e JOIN cnt ON e.label = cnt.label CROSS JOIN mx
+         WHERE cnt.n < mx.m AND cnt.n > 1),
+rk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY
+                 ((('0x' || substr(md5(CAST(id AS VARCHAR) || '42'), 1, 8))::BIGINT) % 1000000), id) AS rn FROM mino),
+cp AS (SELECT rk.id, rk.label, rk.v, c.copy FROM rk, LATERAL (SELECT unnest(range(0, CAST(floor(rk.need / rk.n)
+          + CASE WHEN rk.rn <= rk.need % rk.n THEN 1 ELSE 0 END AS BIGINT))) AS copy) c),
+d AS (SELECT a.id AS qid, b.id AS tid, list_distance(a.v, b.v) AS dist
+      FROM mino a JOIN mino b ON a.label = b.label AND a.id <> b.id),
+nb AS (SELECT qid, tid, row_number() OVER (PARTITION BY qid ORDER BY dist, tid) AS r FROM d),
+nb5 AS (SELECT * FROM nb WHERE r <= 5),
+nn AS (SELECT qid, count(*) AS nnb FROM nb5 GROUP BY qid),
+pk AS (SELECT cp.*,
+              ((('0x' || substr(md5(CAST(cp.id AS VARCHAR) || '|' || CAST(cp.copy AS VARCHAR) || '|42'), 1, 8))::BIGINT)
+                % nn.nnb) + 1 AS pick,
+              ((('0x' || substr(md5(CAST(cp.id AS VARCHAR) || '|' || CAST(cp.copy AS VARCHAR) || '43'), 1, 8))::BIGINT)
+                % 1000000) / 1000000.0 AS gap
+       FROM cp JOIN nn ON cp.id = nn.qid),
+s AS (SELECT pk.*, nb5.tid AS neighbour_id FROM pk JOIN nb5 ON nb5.qid = pk.id AND nb5.r = pk.pick),
+o AS (SELECT s.*, list_transform(range(1, len(s.v) + 1), lambda i: s.v[i] + s.gap * (w.v[i] - s.v[i])) AS sv
+      FROM s JOIN e w ON w.id = s.neighbour_id)
+SELECT 's' || CAST(id AS VARCHAR) || '_' || CAST(copy AS VARCHAR) AS synthetic_id, label, id AS base_id, neighbour_id,
+       CAST(gap AS DOUBLE) AS gap, round(list_sum(sv), 4) AS vec_sum, round(sv[1], 4) AS vec_first
+FROM o
+"""
+
+
+@query("smote", "F10", sql=SMOTE_SQL)
 def smote_q(spark: SparkSession, d: str) -> DataFrame:
     from featurelab.operators.smote import smote
     e = Tables(spark, d).embeddings
-    return smote(e, "vec_id", "embedding", "label", k=5)
+    s = smote(e, "vec_id", "embedding", "label", k=5)
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)
+    return s.select("synthetic_id", "label", "base_id", "neighbour_id", "gap",
+                    round4(total).alias("vec_sum"), round4(F.element_at("embedding", 1)).alias("vec_first"))
 
 
 # ---------------------------------------------------------------- H1
