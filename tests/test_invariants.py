@@ -217,3 +217,20 @@ def test_hot_class_stratified_split_exact(spark):
     s = stratified_split(df, "k", "y", 0.2)
     got = {r.y: r.n for r in s.where("split = 'test'").groupBy("y").agg(F.count("*").alias("n")).collect()}
     assert got == {"hot": 3600, "rare": 400}
+
+
+def test_point_in_time_cutoff_reaches_the_scan(spark):
+    from featurelab.plans.registry import load_all
+    q = load_all()
+    plan = q["feature_pit"].fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(o_orderdate" in plan  # pushed into the parquet scan
+    plan = q["feature_pit_history"].fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(c_mktsegment,MACHINERY)" in plan
+
+
+def test_scans_read_only_needed_columns(spark):
+    from featurelab.plans.registry import load_all
+    plan = load_all()["monthly_spend_revenue"].fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    import re
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    assert schemas and all("l_partkey" not in s and "o_custkey" not in s for s in schemas)
