@@ -24,7 +24,16 @@ def round4(c: str | Column, scale: int = 4) -> Column:
     with us.
     """
     m = float(10 ** scale)
-    return F.round(col_(c).cast("double") * F.lit(m), 0) / F.lit(m)
+    r = F.round(col_(c).cast("double") * F.lit(m), 0) / F.lit(m)
+    # a zero is always +0.0: engines disagree on the sign of a rounded
+    # near-zero value whose last bits differ
+    return F.when(r == 0, F.lit(0.0)).otherwise(r)
+
+
+def round4_sql(expr: str, scale: int = 4) -> str:
+    """SQL twin of ``round4``: rounded, with the zero's sign normalised."""
+    r = f"round({expr}, {scale})"
+    return f"(CASE WHEN {r} = 0 THEN CAST(0 AS DOUBLE) ELSE {r} END)"
 
 
 def bround_py(c: str | Column, scale: int = 2) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurelab.functions.columns import round4, stable_unit
+from featurelab.functions.columns import round4, round4_sql, stable_unit
 from featurelab.operators import balance as B
 from featurelab.operators import encode as E
 from featurelab.operators import split as SP
@@ -96,13 +96,13 @@ def hashing_encode(spark: SparkSession, d: str) -> DataFrame:
 SCALED = ["l_quantity", "l_extendedprice", "l_discount"]
 
 
-@query("standard_scale", "F4", sql="""
+@query("standard_scale", "F4", sql=f"""
 WITH s AS (SELECT avg(l_quantity) mq, stddev_pop(l_quantity) sq, avg(l_extendedprice) mp,
                   stddev_pop(l_extendedprice) sp, avg(l_discount) md, stddev_pop(l_discount) sd FROM lineitem)
 SELECT l_orderkey, l_linenumber,
-       round((l_quantity - mq) / sq, 4) AS l_quantity,
-       round((l_extendedprice - mp) / sp, 4) AS l_extendedprice,
-       round((l_discount - md) / sd, 4) AS l_discount
+       {round4_sql("(l_quantity - mq) / sq")} AS l_quantity,
+       {round4_sql("(l_extendedprice - mp) / sp")} AS l_extendedprice,
+       {round4_sql("(l_discount - md) / sd")} AS l_discount
 FROM lineitem, s
 """)
 def standard_scale(spark: SparkSession, d: str) -> DataFrame:

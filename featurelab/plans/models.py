@@ -387,7 +387,9 @@ s AS (SELECT pk.*, nb5.tid AS neighbour_id FROM pk JOIN nb5 ON nb5.qid = pk.id A
 o AS (SELECT s.*, list_transform(range(1, len(s.v) + 1), lambda i: s.v[i] + s.gap * (w.v[i] - s.v[i])) AS sv
       FROM s JOIN e w ON w.id = s.neighbour_id)
 SELECT 's' || CAST(id AS VARCHAR) || '_' || CAST(copy AS VARCHAR) AS synthetic_id, label, id AS base_id, neighbour_id,
-       CAST(gap AS DOUBLE) AS gap, round(list_sum(sv), 4) AS vec_sum, round(sv[1], 4) AS vec_first
+       CAST(gap AS DOUBLE) AS gap,
+       CASE WHEN round(list_sum(sv), 4) = 0 THEN CAST(0 AS DOUBLE) ELSE round(list_sum(sv), 4) END AS vec_sum,
+       CASE WHEN round(sv[1], 4) = 0 THEN CAST(0 AS DOUBLE) ELSE round(sv[1], 4) END AS vec_first
 FROM o
 """
 
