@@ -84,17 +84,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return p
 
 
-def spread(df):
-    """Spread rows over all cores before CPU-heavy per-row work.
+SPREAD_MAX = 64
+
+
+def spread(df, max_partitions: int = SPREAD_MAX):
+    """Spread rows over the cores before CPU-heavy per-row work.
 
     A small input stored as one file with one row group is a single scan
     task; heavy projections (regexes over whole texts, hashing, path
     expansion) would then run on one core.  When the input has fewer
-    partitions than the default parallelism it is round-robin repartitioned;
-    a large input (thousands of splits) is returned unchanged, so no shuffle
-    is added at scale.
+    partitions than min(default parallelism, ``max_partitions``) it is
+    round-robin repartitioned to that many (round-robin repartitioning sorts
+    first, so a retried task gets the same rows); a large input (thousands
+    of splits) is returned unchanged, so no shuffle is added at scale, and a
+    small file on a big cluster is not cut into thousands of slivers.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
+    target = min(df.sparkSession.sparkContext.defaultParallelism, max_partitions)
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
