@@ -51,18 +51,11 @@ def chunk_starts(n_tokens: Column, size: int, overlap: int) -> Column:
         F.sequence(F.lit(0), last * F.lit(stride), F.lit(stride)))
 
 
-def chunk_tokens(tok: Column, size: int = 512, overlap: int = 100) -> Column:
-    """Array of (chunk_id, start, tokens) structs for a whole token array
-    (a per-row lambda; ``chunk_rows`` is the faster, codegen'd form)."""
-    starts = chunk_starts(F.size(tok), size, overlap)
-    return F.transform(starts, lambda s, i: F.struct(
-        i.alias("chunk_id"), s.alias("start"), F.slice(tok, s + 1, size).alias("tokens")))
-
-
 def chunk_rows(df, keys, text: Column, size: int = 512, overlap: int = 100):
     """One row per chunk of the whole text's whitespace tokens (K7):
     (keys..., chunk_id, start, tokens).  The start offsets are exploded and
-    each chunk is a ``slice``, so everything runs in generated code."""
+    each chunk is a ``slice``, so everything runs in generated code (no
+    per-row lambda)."""
     t = df.select(*keys, tokens(text).alias("_tok"))
     st = t.select(*keys, "_tok", F.posexplode(chunk_starts(F.size("_tok"), size, overlap))
                   .alias("chunk_id", "start"))
