@@ -49,6 +49,24 @@ def bucketed_row_number(df: DataFrame, keys: Sequence[str], bucket: Column,
     return out_df.drop(b, "_rn", "_off_n", "_tot_n")
 
 
+def bucketed_running_sums(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[Column],
+                          values: dict[str, Column]) -> DataFrame:
+    """Per-key running totals over all *earlier* rows (exclusive), e.g. how
+    many user turns came before this one (A16), computed like
+    ``bucketed_row_number``: a window inside (key, bucket) plus the totals of
+    earlier buckets from the small (key x bucket) table.  Adds one column
+    per entry of ``values`` (name -> per-row amount)."""
+    b = "_bucket"
+    d = df.withColumn(b, bucket).withColumns({f"_x_{n}": v for n, v in values.items()})
+    offsets = _bucket_offsets(d, keys, b, {n: F.col(f"_x_{n}") for n in values}).drop(
+        *[f"_tot_{n}" for n in values])
+    w = Window.partitionBy(*keys, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumns({f"_in_{n}": F.coalesce(F.sum(f"_x_{n}").over(w), F.lit(0)) for n in values})
+    out = d.join(offsets, [*keys, b], "inner")
+    return out.select(*df.columns, *[(F.col(f"_off_{n}") + F.col(f"_in_{n}")).cast("bigint").alias(n)
+                                     for n in values])
+
+
 def hash_rank(df: DataFrame, keys: Sequence[str], h: str, tie: str,
               resolution: int = 1_000_000, buckets: int = 1024,
               out: str = "rank", size_col: str | None = None) -> DataFrame:

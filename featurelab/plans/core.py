@@ -418,18 +418,28 @@ WITH c AS (
   SELECT conv_id, turn, role, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM conversations)
 SELECT conv_id, turn,
        CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS prior_turns,
+       CAST(coalesce(sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS prior_user_turns,
+       CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS prior_assistant_turns,
        '[' || role || '] ' || CASE WHEN length(t) <= 80 THEN t ELSE substr(t, 1, 79) || '...' END AS line
 FROM c
 """)
 def conversation_history(spark: SparkSession, d: str) -> DataFrame:
+    """Ordered, role-tagged history lines with the running context of each
+    turn (turns, user turns and assistant turns before it).  Both the
+    position and the running counts are H1 computations: a conversation with
+    a huge number of turns is spread over turn buckets, not one task; no
+    turn ever carries the whole earlier conversation."""
     c = Tables(spark, d).conversations
     line = F.concat(F.lit("["), F.col("role"), F.lit("] "), short_text(F.col("text"), 80))
-    # the position inside the conversation is an H1 rank: a conversation
-    # with a huge number of turns is spread over turn buckets, not one task
-    ranked = H.bucketed_row_number(c.select("conv_id", "turn", line.alias("line")), ["conv_id"],
-                                   F.floor(F.col("turn") / 4096).cast("bigint"), [F.col("turn")],
-                                   "pos")
-    return ranked.select("conv_id", "turn", (F.col("pos") - 1).alias("prior_turns"), "line")
+    base = c.select("conv_id", "turn", "role", line.alias("line"))
+    bucket = F.floor(F.col("turn") / 4096).cast("bigint")
+    counted = H.bucketed_running_sums(base, ["conv_id"], bucket, [F.col("turn")], {
+        "prior_turns": F.lit(1).cast("bigint"),
+        "prior_user_turns": (F.col("role") == "user").cast("bigint"),
+        "prior_assistant_turns": (F.col("role") == "assistant").cast("bigint")})
+    return counted.select("conv_id", "turn", "prior_turns", "prior_user_turns", "prior_assistant_turns", "line")
 
 
 # --------------------------------------------------------------------------
