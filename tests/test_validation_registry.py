@@ -122,3 +122,12 @@ def test_lookup_join_broadcasts_only_small_sides(spark):
     assert is_small(small, 10) and not is_small(small, 9)
     plan = spark.range(100).join(broadcast_if_small(small, 10), "id")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_cli_lists_every_query(capsys):
+    from featurelab.__main__ import main
+    from featurelab.plans.registry import load_all
+    assert main(["list"]) == 0
+    lines = [line for line in capsys.readouterr().out.splitlines() if line.strip()]
+    assert len(lines) == len(load_all())
+    assert main([]) == 2
