@@ -48,4 +48,5 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if new == state:
             break
         state = new
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    stars = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())

@@ -12,8 +12,8 @@ check of question and answer.
   passage.  The terms' block maxima, summed, bound the score of every item of
   a block; blocks below the threshold are skipped, the items of the rest are
   scored exactly.  Every item at or above the threshold is retrieved.
-* Check.  Five-word shingles of the question and of the answer must be in the
-  passage: ``min_overlap`` of both together, ``min_part`` of each.
+* Check.  Five-word shingles of the question and of the answer (a shorter part as
+  a whole) must be in the passage: ``min_overlap`` of both together, ``min_part`` of each.
 
 Document frequencies and the mean length are counted over all items in Spark.
 The index itself goes to the workers in parts of at most ``part_bytes`` of item
@@ -48,8 +48,15 @@ def words_of(text: str | None) -> list[str]:
 
 
 def shingles(words: list[str], n: int = SHINGLE) -> set[tuple]:
-    """n-word shingles; a shorter list is one shingle, an empty one none."""
-    return {tuple(words[i:i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+    """The n-word shingles of a list that has n words, else none."""
+    return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)} if n else set()
+
+
+def part_shingles(text: str) -> set[tuple]:
+    """Five-word shingles of a question or an answer; a shorter one is one
+    shingle of all its words, an empty one has none."""
+    words = words_of(text)
+    return shingles(words, min(SHINGLE, len(words)))
 
 
 @dataclass
@@ -85,7 +92,7 @@ def build_index(items: list[tuple], df: dict, n_items: int, mean_words: float, l
         own = sum(w.values())
         posts += [(t, len(kept), x / own) for t, x in w.items()]
         question, _, answer = text.partition("\n")
-        kept.append((item, shingles(words_of(question)), shingles(words_of(answer))))
+        kept.append((item, part_shingles(question), part_shingles(answer)))
     term = {t: i for i, t in enumerate(sorted({t for t, _, _ in posts}))}
     t = np.array([term[p[0]] for p in posts], dtype=np.int64)
     i = np.array([p[1] for p in posts], dtype=np.int64)
@@ -135,8 +142,19 @@ def wand(index: Index, passage: np.ndarray, term: np.ndarray, n_passages: int,
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _overlap(part: set, seen: set) -> float:
-    return len(part & seen) / len(part) if part else 1.0
+def found_in(part: set, words: list[str]) -> int:
+    """How many shingles of ``part`` (all of one length) the words hold."""
+    return len(part & shingles(words, len(next(iter(part))))) if part else 0
+
+
+def is_leak(question: set, answer: set, words: list[str], min_overlap: float,
+            min_part: float) -> tuple[bool, float, float]:
+    """(verified, question overlap, answer overlap) of an item in a passage;
+    a part without a word does not count."""
+    q, a = found_in(question, words), found_in(answer, words)
+    both = len(question) + len(answer)
+    qo, ao = (n / len(part) if part else 1.0 for n, part in ((q, question), (a, answer)))
+    return bool(both) and (q + a) / both >= min_overlap and min(qo, ao) >= min_part, qo, ao
 
 
 def search_texts(index: Index, texts: list, threshold: float, min_overlap: float,
@@ -173,11 +191,8 @@ def search_texts(index: Index, texts: list, threshold: float, min_overlap: float
     for p, i, s in zip(*(x.tolist() for x in found)):
         d = owners[p]
         lo = (p - firsts[d]) * half
-        seen = shingles(lists[d][lo:lo + 2 * half])
-        q, a = index.question[i], index.answer[i]
-        qo, ao = _overlap(q, seen), _overlap(a, seen)
-        both = len(q) + len(a)
-        if both and (len(q & seen) + len(a & seen)) / both >= min_overlap and min(qo, ao) >= min_part:
+        sure, qo, ao = is_leak(index.question[i], index.answer[i], lists[d][lo:lo + 2 * half], min_overlap, min_part)
+        if sure:
             new = (s, qo, ao)
             if new > best.get((d, i), (-1.0,)):
                 best[d, i] = new

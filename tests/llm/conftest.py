@@ -1,0 +1,11 @@
+import os
+import sys
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.join(ROOT, "tests"))
+
+
+def rows(df):
+    """All rows as a list of dicts, in a fixed order."""
+    return sorted((r.asDict(recursive=True) for r in df.collect()), key=str)
