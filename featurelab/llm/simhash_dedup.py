@@ -145,7 +145,8 @@ def vp_shards(points: DataFrame, max_bits: int, shard_rows: int = 4096, depth: i
     holds anything that grows with the data.
     """
     tree_type = "shard string, vantage array<long>, bound array<int>"
-    open_ = points.select("fp", F.lit("").alias("shard"))
+    # written, so that the joins by shard see a column and not a constant
+    open_ = shared_table(points.select("fp", F.lit("").alias("shard")), "vp-root")
     done = open_.limit(0)
     while True:
         sizes = open_.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
