@@ -57,28 +57,38 @@ def dedupe_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
+def _is_missing(c: str, kind: str) -> Column:
+    gone = qcol(c).isNull()
+    return gone | F.isnan(qcol(c)) if kind in ("double", "float") else gone
+
+
 def fit_modes(df: DataFrame, cols: Sequence[str]) -> dict:
-    """Per-column mode, lowest value on a tie, NULLs ignored (A5).
+    """Per-column mode, lowest value on a tie, NULL and NaN ignored (A5).
 
-    Each column is a ``groupBy(value).count()`` (partial counts before the
-    shuffle, so no task ever holds all distinct values of a column) followed
-    by a global ``min_by`` over (-count, value); only one value per column
-    reaches the driver.
+    One job for all columns: grouping sets count each column's values with
+    partial counts before the shuffle, so no task ever holds all distinct
+    values of a column; then a global ``min_by`` over (-count, value) per
+    column.  Only one value per column reaches the driver.
     """
-    out = {}
-    for c in cols:
-        counts = (df.where(qcol(c).isNotNull()).groupBy(qcol(c).alias("_v"))
-                  .agg(F.count(F.lit(1)).alias("_n")))
-        row = counts.agg(F.min_by(F.col("_v"), F.struct((-F.col("_n")).alias("n"), F.col("_v").alias("v")))
-                         .alias("m")).first()
-        out[c] = row["m"] if row is not None else None
-    return out
+    kinds = dict(df.dtypes)
+    names = [f"_m{j}" for j in range(len(cols))]
+    d = df.select(*[F.when(~_is_missing(c, kinds[c]), qcol(c)).alias(n) for c, n in zip(cols, names)])
+    counts = d.groupingSets([[F.col(n)] for n in names], *names).agg(
+        F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_set"))
+    every = (1 << len(names)) - 1
+    picks = []
+    for j, n in enumerate(names):
+        mine = (F.col("_set") == every - (1 << len(names) - 1 - j)) & F.col(n).isNotNull()
+        picks.append(F.min_by(F.col(n), F.when(mine, F.struct((-F.col("_n")).alias("n"), F.col(n).alias("v")))).alias(n))
+    row = counts.agg(*picks).first()
+    return {c: row[n] for c, n in zip(cols, names)}
 
 
 def apply_fill(df: DataFrame, values: Mapping) -> DataFrame:
-    """Fill NULLs from fitted statistics (A6); works on any split."""
-    return df.withColumns({c: F.coalesce(qcol(c), F.lit(v)) for c, v in values.items()
-                           if v is not None})
+    """Fill NULLs and NaNs from fitted statistics (A6); works on any split."""
+    kinds = dict(df.dtypes)
+    return df.withColumns({c: F.when(_is_missing(c, kinds[c]), F.lit(v)).otherwise(qcol(c))
+                           for c, v in values.items() if v is not None})
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],

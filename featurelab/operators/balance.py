@@ -9,33 +9,22 @@ from featurelab.functions.columns import copy_ids, stable_unit
 from featurelab.operators.rank import hash_rank
 
 RES = 1_000_000
+COPY_CHUNK = 1_000_000
 
 
-def class_counts(df: DataFrame, label: str, max_classes: int = 10_000) -> dict:
-    """Rows per class; the number of classes is checked before collecting."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.limit(max_classes + 1).collect()
-    if len(rows) > max_classes:
-        raise ValueError(f"more than {max_classes} classes")
-    return {r[label]: r["n"] for r in rows}
-
-
-COPY_CHUNK = 1_000_000
+def class_sizes(df: DataFrame, label: str) -> DataFrame:
+    """(label, n): rows per class as a table, a NULL label one class."""
+    return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
 
-def explode_copies(df: DataFrame, copies: Column, out: str, max_copies: int, key: str,
-                   chunk: int = COPY_CHUNK) -> DataFrame:
+def explode_copies(df: DataFrame, copies: Column, out: str, key: str, chunk: int = COPY_CHUNK) -> DataFrame:
     """One output row per copy id ``0 .. copies-1`` of every input row.
 
-    When a row may need more than ``chunk`` copies (a tiny class grown to a
-    huge majority size), the copies are first cut into chunk ids, the chunks
-    are spread over tasks by (key, chunk), and only then exploded, so no task
-    has to emit an unbounded number of rows.  ``max_copies`` is known on the
-    driver from the class counts, so the extra shuffle happens only then.
+    The copies are first cut into chunk ids, the chunks are spread over tasks
+    by (key, chunk), and only then exploded: no task has to emit an unbounded
+    number of rows when a tiny class grows to a huge majority size.
     """
     d = df.withColumn("_copies", copies)
-    if max_copies <= chunk:
-        return d.withColumn(out, F.explode(copy_ids(F.col("_copies")))).drop("_copies")
     n_chunks = F.ceil(F.col("_copies") / F.lit(chunk)).cast("int")
     d = d.withColumn("_chunk", F.explode(copy_ids(n_chunks))).repartition(F.col(key), F.col("_chunk"))
     lo = F.col("_chunk") * F.lit(chunk)
@@ -44,26 +33,22 @@ def explode_copies(df: DataFrame, copies: Column, out: str, max_copies: int, key
             .drop("_copies", "_chunk"))
 
 
-def random_oversample(df: DataFrame, key: str, label: str, seed: int = 42,
-                      max_classes: int = 10_000) -> DataFrame:
+def random_oversample(df: DataFrame, key: str, label: str, seed: int = 42) -> DataFrame:
     """Every class grows to the majority size M.
 
     A class of n rows gets ``M // n`` copies of every row plus one more copy
     of the ``M % n`` rows with the smallest (hash, key): the counts are exact
     and the choice is deterministic (sampling with replacement, made
-    repeatable).  Copies are produced by ``explode(sequence(...))`` on the
-    executors; the per-class numbers are a literal map of class -> count.
+    repeatable).  Each row's rank and its class size come from the same
+    bucket counts; only M reaches the driver, so there may be any number of
+    classes.  Rows with a NULL label are a class of their own, a NULL key is
+    a key.
     """
-    counts = class_counts(df, label, max_classes)
-    if not counts:
+    m = class_sizes(df, label).agg(F.max("n")).first()[0]
+    if m is None:
         return df.withColumn("copy_id", F.lit(0))
-    m = max(counts.values())
-    n_map = F.create_map(*[x for k, v in counts.items() for x in (F.lit(k), F.lit(v))])
-    n = F.element_at(n_map, F.col(label))
-    d = df.withColumn("_h", stable_unit(F.col(key), seed, RES))
-    # only classes that need a partial extra copy need a rank
-    ranked = hash_rank(d, [label], "_h", key, RES, out="_rank")
-    copies = F.floor(F.lit(m) / n) + F.when(
-        F.col("_rank") <= F.pmod(F.lit(m), n), 1).otherwise(0)
-    max_copies = max(-(-m // c) for c in counts.values())
-    return explode_copies(ranked, copies, "copy_id", max_copies, key).drop("_h", "_rank")
+    d = df.withColumn("_h", F.coalesce(stable_unit(F.col(key), seed, RES), F.lit(0)))
+    ranked = hash_rank(d, [label], "_h", key, RES, out="_rank", size_col="_n")
+    copies = F.floor(F.lit(m) / F.col("_n")) + F.when(
+        F.col("_rank") <= F.pmod(F.lit(m), F.col("_n")), 1).otherwise(0)
+    return explode_copies(ranked, copies, "copy_id", key).drop("_h", "_rank", "_n")

@@ -26,11 +26,19 @@ def op_expr(op: Column, value: Column, bound: Column) -> Column:
 
 def threshold_gate(metrics: DataFrame, gates: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Gate table (metric, op, bound) joined to long metrics (keys, metric,
-    value); every gate must hold (``bool_and``).  A missing metric fails.
-    The gate table is a handful of rows: it is broadcast by construction.
+    value); every gate must hold (``bool_and``).  A missing or NULL metric
+    fails: each key of the metrics is checked against every gate, whether or
+    not the metric was logged for it.
     """
-    j = F.broadcast(gates).join(metrics, "metric", "left") if not keys else \
-        metrics.join(F.broadcast(gates), "metric", "inner")
+    if keys:
+        # the gates are configuration, a handful of rows: literals beside each key
+        rules = F.array(*[F.struct(F.lit(r["metric"]).alias("metric"), F.lit(r["op"]).alias("op"),
+                                   F.lit(float(r["bound"])).alias("bound"))
+                          for r in gates.select("metric", "op", "bound").collect()])
+        asked = metrics.select(*keys).distinct().select(*keys, F.explode(rules).alias("_g")).select(*keys, "_g.*")
+        j = asked.join(metrics, [*keys, "metric"], "left")
+    else:
+        j = gates.join(metrics, "metric", "left")
     ok = F.coalesce(op_expr(F.col("op"), F.col("value"), F.col("bound")), F.lit(False))
     return j.groupBy(*keys).agg(F.bool_and(ok).alias("passes"),
                                 F.count(F.lit(1)).alias("n_checks"))
@@ -41,13 +49,16 @@ def beat_the_last(log: DataFrame, key: str, order: Sequence[str], metric: str,
     """Newest run per key must reach ``threshold`` and be >= the run before it.
 
     With no earlier run the threshold alone decides (the reference would
-    crash on an empty history).  The two newest runs per key come from a
-    ``row_number() <= 2`` window, which Spark limits map-side.
+    crash on an empty history); a NULL newest metric fails, and a NULL earlier
+    one is no bar.  The history is read once: the two newest runs per key come
+    from a ``row_number() <= 2`` window, which Spark limits map-side, and are
+    folded into one row.
     """
     top2 = top_k_within(log, [key], [F.col(c).desc() for c in order], 2, "_rn")
-    last = top2.where("_rn = 1").select(key, F.col(order[-1]), F.col(metric))
-    prev = top2.where("_rn = 2").select(key, F.col(metric).alias("previous_metric"))
-    j = last.join(prev, key, "left")
-    passes = (F.col(metric) >= threshold) & (
-        F.col("previous_metric").isNull() | (F.col(metric) >= F.col("previous_metric")))
+    first, second = F.col("_rn") == 1, F.col("_rn") == 2
+    j = top2.groupBy(key).agg(F.max(F.when(first, F.col(order[-1]))).alias(order[-1]),
+                              F.max(F.when(first, F.col(metric))).alias(metric),
+                              F.max(F.when(second, F.col(metric))).alias("previous_metric"))
+    passes = F.coalesce((F.col(metric) >= threshold) & (
+        F.col("previous_metric").isNull() | (F.col(metric) >= F.col("previous_metric"))), F.lit(False))
     return j.select(key, order[-1], metric, "previous_metric", passes.alias("passes"))

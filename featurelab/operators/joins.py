@@ -1,8 +1,7 @@
 """Joins (J-group): size-checked lookups, slices, anti-joins, as-of.
 
-A side is broadcast only after a bounded count proves it small
-(``limit(max_rows + 1).count()`` reads at most ``max_rows + 1`` rows);
-otherwise the join is left to the planner (sort-merge / AQE).
+Lookup joins carry no broadcast hint: the planner and AQE broadcast a side by
+its measured bytes and sort-merge join anything larger.
 """
 
 from __future__ import annotations
@@ -12,25 +11,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from featurelab.operators.rank import buckets_for, with_range_bucket
 
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
 
+def lookup_join(df: DataFrame, lookup: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """Left lookup join."""
+    return df.join(lookup, on, "left")
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    return F.broadcast(df) if is_small(df, max_rows) else df
 
-
-def lookup_join(df: DataFrame, lookup: DataFrame, on: str | Sequence[str],
-                max_rows: int = 1_000_000) -> DataFrame:
-    """Left lookup join (P23, J2); the lookup side is broadcast if proven small."""
-    return df.join(broadcast_if_small(lookup, max_rows), on, "left")
-
-
-def semi_by_keys(df: DataFrame, keys: DataFrame, on: str, max_rows: int = 1_000_000) -> DataFrame:
+def semi_by_keys(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     """Multi-key point read (J4, P14): ``left_semi`` against the key list."""
-    return df.join(broadcast_if_small(keys.dropDuplicates(), max_rows), on, "left_semi")
+    return df.join(keys, on, "left_semi")
 
 
 def vertical_slices(df: DataFrame, key: str, groups: Sequence[Sequence[str]]) -> list[DataFrame]:
@@ -71,47 +62,50 @@ def side_by_side(a: DataFrame, b: DataFrame, key: str, cols: Sequence[str],
 
 
 def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
-              value_cols: Sequence[str], time_bucket: str = "month") -> DataFrame:
+              value_cols: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Point-in-time join (J3): every left row gets the newest right row of
     the same key with ``right_ts <= left_ts`` (equal times match).
 
-    Two levels, so that a key holding a third of all rows is not one task:
-    1. both sides are cut into (key, time bucket) and unioned; one window
-       over each (key, bucket), ordered by time, carries the newest right
-       row forward to each left row (right rows sort first at equal time)
-       and also yields the newest right row of the whole bucket;
-    2. a left row with no right row before it in its own bucket takes the
-       newest right row of an earlier bucket: the one-row-per-(key, bucket)
-       summaries are carried forward along the buckets of their key.
-    The wide union (with the left rows' payload) is shuffled once; level 2
-    re-reads only keys, times and feature values.  No pairs are formed.  Right rows with equal (key, time) resolve to the
-    largest struct of values, so the result is deterministic.  Left rows
-    with a NULL key or time get NULL values.
+    Both sides are unioned and cut into ranges of (key, time) of about equal
+    row counts, so a hot key, even with all its rows in one hour, spreads
+    over as many tasks as its rows need:
+    1. one window over each (range, key), ordered by time, carries the newest
+       right row forward to each left row (right rows first at equal time);
+    2. a left row with no right row before it in its own range takes the
+       newest right row of an earlier range of its key, from a small table of
+       one row per (range, key).
+    A table of one range needs only step 1 and reads each side once; more
+    ranges are written once by the range cut and read from there.  No pairs
+    are formed.  Right rows with equal (key, time) resolve to the largest
+    struct of values, so the result is deterministic.  Left rows with a NULL
+    key or time get NULL values and skip the window.
     """
-    bucket = lambda c: F.date_trunc(time_bucket, F.col(c))
     r = (right.where(F.col(key).isNotNull() & F.col(right_ts).isNotNull())
          .select(F.col(key).alias("_k"), F.col(right_ts).alias("_t"),
                  F.struct(*[F.col(c) for c in value_cols]).alias("_v")))
     lcols = left.columns
-    l = left.select(F.col(key).alias("_k"), F.col(left_ts).alias("_t"),
-                    F.struct(*[F.col(c) for c in lcols]).alias("_row"))
+    dated = F.col(key).isNotNull() & F.col(left_ts).isNotNull()
+    l = left.where(dated).select(F.col(key).alias("_k"), F.col(left_ts).alias("_t"),
+                                 F.struct(*[F.col(c) for c in lcols]).alias("_row"))
     vtype, rtype = r.schema["_v"].dataType, l.schema["_row"].dataType
     u = (r.select("_k", "_t", F.lit(0).alias("_side"), "_v", F.lit(None).cast(rtype).alias("_row"))
          .unionByName(l.select("_k", "_t", F.lit(1).alias("_side"),
-                               F.lit(None).cast(vtype).alias("_v"), "_row"))
-         .withColumn("_b", bucket("_t")))
-    order = Window.partitionBy("_k", "_b").orderBy("_t", "_side", "_v")
-    u = u.withColumns({
-        "_in": F.last("_v", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)),
-        "_bl": F.last("_v", ignorenulls=True).over(
-            order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
-    hits = u.where(F.col("_side") == 1)
-    # level 2: the window output is already partitioned by (key, bucket), so
-    # the per-bucket summary needs no new shuffle of the big side
-    per_bucket = u.groupBy("_k", "_b").agg(F.first("_bl", ignorenulls=True).alias("_bl"))
-    wb = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bucket.select("_k", "_b", F.last("_bl", ignorenulls=True).over(wb).alias("_prev"))
-    j = hits.join(carry, ["_k", "_b"], "left")
-    v = F.coalesce(F.col("_in"), F.col("_prev"))
-    return j.select(*[F.col("_row")[c].alias(c) for c in lcols],
-                    *[v[c].alias(c) for c in value_cols])
+                               F.lit(None).cast(vtype).alias("_v"), "_row")))
+    if buckets is None:
+        buckets = buckets_for(right.count() + left.count())
+    u, buckets = with_range_bucket(u, ["_k", "_t", "_side"], buckets)
+    order = Window.partitionBy("_range", "_k").orderBy("_t", "_side", "_v")
+    newest = F.last("_v", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    j = u.withColumn("_in", newest).where(F.col("_side") == 1)
+    v = F.col("_in")
+    if buckets > 1:
+        last = u.where(F.col("_side") == 0).groupBy("_k", "_range").agg(
+            F.max_by("_v", F.struct("_t", "_v")).alias("_last"))
+        here = u.select("_k", "_range").distinct().join(last, ["_k", "_range"], "left")
+        before = Window.partitionBy("_k").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        carry = here.select("_k", "_range", F.last("_last", ignorenulls=True).over(before).alias("_prev"))
+        j = j.join(carry, ["_k", "_range"], "left")
+        v = F.coalesce(F.col("_in"), F.col("_prev"))
+    found = j.select(*[F.col("_row")[c].alias(c) for c in lcols], *[v[c].alias(c) for c in value_cols])
+    undated = left.where(~dated).select(*lcols, *[F.lit(None).cast(vtype[c].dataType).alias(c) for c in value_cols])
+    return found.unionByName(undated)

@@ -29,28 +29,22 @@ def _tile_topk(k: int, exclude_self: bool):
         qids = q["id"].to_numpy(dtype=np.int64)
         cids = c["cid"].to_numpy(dtype=np.int64)
         clab = c["clabel"].to_numpy(dtype=np.int64)
-        out = []
-        step = 256
-        for s in range(0, len(qv), step):
-            a = qv[s:s + step]
+        out: dict[str, list] = {"qid": [], "tid": [], "dist": [], "tlabel": []}
+        for r in range(len(qv)):
             # direct differences (not |a|^2 + |b|^2 - 2ab): no cancellation,
             # so near-ties order the same way as an exact computation
-            d2 = np.stack([((cv - r) ** 2).sum(1) for r in a])
+            dist = np.sqrt(((cv - qv[r]) ** 2).sum(1))
             if exclude_self:
-                d2 = np.where(qids[s:s + step, None] == cids[None, :], np.inf, d2)
-            kk = min(k, d2.shape[1])
-            for r in range(d2.shape[0]):
-                row = d2[r]
-                idx = np.argpartition(row, kk - 1)[:kk] if kk < len(row) else np.arange(len(row))
-                # keep every candidate tied with the k-th distance: the final
-                # merge breaks ties by id
-                kth = row[idx].max()
-                idx = np.nonzero(row <= kth)[0]
-                idx = idx[np.isfinite(row[idx])]
-                out.append(pd.DataFrame({"qid": qids[s + r], "tid": cids[idx],
-                                         "dist": np.sqrt(row[idx]), "tlabel": clab[idx]}))
-        return pd.concat(out, ignore_index=True) if out else pd.DataFrame(
-            {"qid": [], "tid": [], "dist": [], "tlabel": []})
+                dist[cids == qids[r]] = np.inf
+            near = np.argpartition(dist, k - 1)[:k] if k < len(dist) else np.arange(len(dist))
+            # rows tied with the k-th distance compete by id, and k of them leave
+            at = np.flatnonzero((dist <= dist[near].max()) & np.isfinite(dist))
+            at = at[np.lexsort((cids[at], dist[at]))[:k]]
+            out["qid"].append(np.full(len(at), qids[r]))
+            out["tid"].append(cids[at])
+            out["dist"].append(dist[at])
+            out["tlabel"].append(clab[at])
+        return pd.DataFrame({c: np.concatenate(x) for c, x in out.items()})
     return fn
 
 

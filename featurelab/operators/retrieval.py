@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-
 def centroids(df: DataFrame, key: str, vec: str) -> DataFrame:
     """Mean vector per key: one (key, dim) partial aggregate, re-assembled
     in dimension order."""
@@ -18,68 +20,56 @@ def centroids(df: DataFrame, key: str, vec: str) -> DataFrame:
         F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias(vec))
 
 
-def _dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+def _cosine_tile(k: int):
+    """The k most similar corpus rows of one tile for each of its queries."""
 
+    def fn(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        out: dict[str, list] = {"qid": [], "tid": [], "score": []}
+        if len(q) and len(c):
+            cv = np.stack(c["cv"].to_numpy()).astype(np.float64)
+            norm = np.sqrt((cv * cv).sum(1))
+            tid = c["tid"].to_numpy()
+            for qid, v in zip(q["qid"], q["v"]):
+                v = np.asarray(v, dtype=np.float64)
+                scale = norm * np.sqrt((v * v).sum())
+                at = np.flatnonzero(scale > 0)
+                score = (cv[at] * v).sum(1) / scale[at]
+                best = np.lexsort((tid[at], -score))[:k]
+                out["qid"] += [qid] * len(best)
+                out["tid"] += tid[at][best].tolist()
+                out["score"] += score[best].tolist()
+        return pd.DataFrame(out)
 
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine similarity of two arrays; NULL when either has zero norm."""
-    na, nb = F.sqrt(_dot(a, a)), F.sqrt(_dot(b, b))
-    return F.when((na > 0) & (nb > 0), _dot(a, b) / (na * nb))
+    return fn
 
 
 def top_k_similar(corpus: DataFrame, corpus_id: str, corpus_vec: str, queries: DataFrame,
-                  query_id: str, query_vec: str, k: int = 5,
-                  max_literal_queries: int = 256) -> DataFrame:
+                  query_id: str, query_vec: str, k: int = 5, query_block: int = 1024,
+                  corpus_block: int = 16384) -> DataFrame:
     """Top-k corpus rows by cosine similarity for every query (K9).
 
-    A small query set (checked: at most ``max_literal_queries`` rows)
-    travels inside the plan as a literal array, so each corpus row is scored
-    against all queries in one projection (no join, no pair table), and the
-    per-query ``row_number() <= k`` keeps only k rows per map partition
-    before the shuffle.  A larger query set goes to the exact kNN tiles on
-    unit vectors, where the nearest Euclidean neighbours are the most cosine-
-    similar (cos = 1 - d^2 / 2).  Zero vectors score NULL and are dropped;
-    ties go to the smaller id.
+    Queries and corpus are dealt into blocks; each (query block, corpus
+    block) tile is one group of bounded size that keeps k rows per query, and
+    ``row_number() <= k`` merges the tiles.  The same path serves any number
+    of queries, and ids keep their own type.  Zero vectors have no score and
+    are left out; ties go to the smaller id.
     """
-    rows = queries.select(query_id, F.col(query_vec).cast("array<double>").alias("q")) \
-        .limit(max_literal_queries + 1).collect()
-    if len(rows) > max_literal_queries:
-        return _top_k_by_tiles(corpus, corpus_id, corpus_vec, queries, query_id, query_vec, k)
-    if not rows:
-        return corpus.sparkSession.createDataFrame(
-            [], f"{query_id} string, rank int, {corpus_id} bigint, score double")
-    qids = [r[query_id] for r in rows]
-    qarr = F.array(*[F.array(*[F.lit(float(x)) for x in r["q"]]) for r in rows])
-    v = F.col(corpus_vec).cast("array<double>")
-    scored = corpus.select(corpus_id, F.posexplode(F.transform(qarr, lambda q: cosine(q, v))).alias("qi", "score"))
-    scored = scored.where(F.col("score").isNotNull())
-    qmap = F.array(*[F.lit(q) for q in qids])
-    w = Window.partitionBy("qi").orderBy(F.col("score").desc(), F.col(corpus_id))
-    top = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return top.select(F.element_at(qmap, F.col("qi") + 1).alias(query_id), "rank", corpus_id, "score")
-
-
-def _unit(vec: Column) -> Column:
-    v = vec.cast("array<double>")
-    n = F.sqrt(_dot(v, v))
-    return F.when(n > 0, F.transform(v, lambda x: x / n))
-
-
-def _top_k_by_tiles(corpus: DataFrame, corpus_id: str, corpus_vec: str, queries: DataFrame,
-                    query_id: str, query_vec: str, k: int) -> DataFrame:
-    from featurelab.operators.knn import nearest
-    q = queries.select(F.col(query_id).alias("_qid"), _unit(F.col(query_vec)).alias("v")) \
-        .where(F.col("v").isNotNull())
-    # the tile search wants integer ids: number the queries by a stable hash
-    q = q.withColumn("id", F.xxhash64("_qid"))
-    c = corpus.select(F.col(corpus_id).alias("id"), _unit(F.col(corpus_vec)).alias("v"),
-                      F.lit(0).alias("label")).where(F.col("v").isNotNull())
-    nn = nearest(q.select("id", "v"), c, k)
-    ids = q.select(F.col("id").alias("qid"), "_qid")
-    return (nn.join(ids, "qid", "inner")
-            .select(F.col("_qid").alias(query_id), F.col("rank").cast("int").alias("rank"),
-                    F.col("tid").alias(corpus_id), (1.0 - F.col("dist") * F.col("dist") / 2.0).alias("score")))
+    qb = max(1, math.ceil(queries.count() / query_block))
+    cb = max(1, math.ceil(corpus.count() / corpus_block))
+    q = (queries.where(F.col(query_vec).isNotNull())
+         .select(F.col(query_id).alias("qid"), F.col(query_vec).cast("array<double>").alias("v"))
+         .withColumn("_qb", F.pmod(F.xxhash64("qid"), F.lit(qb)))
+         .withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1)))))
+    c = (corpus.where(F.col(corpus_vec).isNotNull())
+         .select(F.col(corpus_id).alias("tid"), F.col(corpus_vec).cast("array<double>").alias("cv"))
+         .withColumn("_cb", F.pmod(F.xxhash64("tid"), F.lit(cb)))
+         .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
+    schema = (f"qid {q.schema['qid'].dataType.simpleString()}, "
+              f"tid {c.schema['tid'].dataType.simpleString()}, score double")
+    tiles = q.groupBy("_qb", "_cb").cogroup(c.groupBy("_qb", "_cb")).applyInPandas(_cosine_tile(k), schema)
+    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("tid"))
+    top = tiles.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return top.select(F.col("qid").alias(query_id), "rank", F.col("tid").alias(corpus_id), "score")
 
 
 def citations(top: DataFrame, query_id: str, doc_id: str, extra: Sequence[str] = ()) -> DataFrame:

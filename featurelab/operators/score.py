@@ -54,58 +54,69 @@ def compare_versions(df: DataFrame, key: str, scorers: Mapping[str, tuple[ScoreF
     return side_by_side(a, b, key, ["score"], (na, nb))
 
 
+def _path_points(df: DataFrame, key: str, features: Sequence[str], baseline: Mapping[str, float],
+                 paths: int, seed: int) -> DataFrame:
+    """Every row x path x prefix length: the point whose first ``_p`` features
+    of the path are the row's and the rest the baseline's, with ``_cur`` and
+    ``_next``, the numbers of the last feature taken and of the one to come.
+
+    A path is the order of the hashes ``xxhash64(key, path, j, seed)``, sorted
+    once; each feature then only compares its place with the prefix length,
+    so a point costs d comparisons and a path d + 1 scores.
+    """
+    d = len(features)
+    kept = [c for c in df.columns if c not in features]
+    x = df.select(*kept, F.array(*[F.col(c).cast("double") for c in features]).alias("_x"))
+    x = x.withColumn("_path", F.explode(F.sequence(F.lit(0), F.lit(paths - 1))))
+    order = F.transform(F.array_sort(F.array(*[
+        F.struct(F.xxhash64(F.col(key), F.col("_path"), F.lit(j), F.lit(seed)).alias("h"), F.lit(j).alias("j"))
+        for j in range(d)])), lambda s: s["j"])
+    # one-element explodes keep the sorted order and the places as columns, so
+    # the points below read them instead of sorting again
+    x = x.withColumn("_order", F.explode(F.array(order)))
+    place = F.transform(F.sequence(F.lit(0), F.lit(d - 1)), lambda j: F.array_position("_order", j))
+    x = x.withColumn("_place", F.explode(F.array(place)))
+    x = x.withColumn("_p", F.explode(F.sequence(F.lit(0), F.lit(d))))
+    return x.select(
+        *kept, *[F.when(F.col("_place")[k] <= F.col("_p"), F.col("_x")[k]).otherwise(F.lit(float(baseline[c]))).alias(c)
+                 for k, c in enumerate(features)],
+        F.when(F.col("_p") > 0, F.try_element_at("_order", F.greatest(F.col("_p"), F.lit(1)))).alias("_cur"),
+        F.try_element_at("_order", F.col("_p") + 1).alias("_next"),
+        ((F.col("_path") == 0) & (F.col("_p") == d)).alias("_whole"))
+
+
+def _gains(features: Sequence[str], score: Column, paths: int, prefix: str) -> list[Column]:
+    """Mean gain of each feature: the score after it came in less the one before."""
+    return [(F.sum(F.when(F.col("_cur") == i, score).otherwise(F.lit(0.0))
+                   - F.when(F.col("_next") == i, score).otherwise(F.lit(0.0))) / F.lit(float(paths))).alias(prefix + c)
+            for i, c in enumerate(features)]
+
+
 def sampled_shapley(df: DataFrame, key: str, features: Sequence[str], score: ScoreFn,
                     baseline: Mapping[str, float], paths: int = 25, seed: int = 42,
                     prefix: str = "attr_") -> DataFrame:
     """Sampled Shapley attributions (K5) for a model given as a column
-    expression.
-
-    Every row is expanded to ``paths`` hash-seeded feature orders.  In a
-    path, the position of feature i is the number of features whose hash
-    ``xxhash64(key, path, j, seed)`` sorts before it; the marginal gain of i
-    is f(x on {features before i} + i, baseline elsewhere) - f(x on
-    {features before i}).  Everything is plain column arithmetic (whole-stage
-    codegen); the per-row average is an aggregate whose partial step runs in
-    the same task as the expansion, so only one row per key is shuffled.
-    Per path the gains add up to f(x) - f(baseline), so the averages do too.
+    expression; ``key`` must be unique.
+
+    Every row is expanded to ``paths`` hash-seeded feature orders and each
+    order to its d + 1 prefixes, which are scored once; the gain of a feature
+    is the score after it came in less the score before.  The per-row average
+    is an aggregate whose partial step runs in the same task as the expansion,
+    so only one row per key is shuffled.  Per path the gains add up to
+    f(x) - f(baseline), so the averages do too.
     """
-    d = len(features)
-    fx = [F.col(c).cast("double") for c in features]
-    base = [F.lit(float(baseline[c])) for c in features]
-    keep = [c for c in df.columns]
-    x = df.withColumn("_path", F.explode(F.sequence(F.lit(0), F.lit(paths - 1))))
-    h = [F.xxhash64(F.col(key), F.col("_path"), F.lit(j), F.lit(seed)) for j in range(d)]
-    x = x.withColumns({f"_h{j}": h[j] for j in range(d)})
-    pos = []
-    for i in range(d):
-        p_i = F.lit(0)
-        for j in range(d):
-            if j == i:
-                continue
-            hj, hi = F.col(f"_h{j}"), F.col(f"_h{i}")
-            before = (hj < hi) | ((hj == hi) & F.lit(j < i))
-            p_i = p_i + before.cast("int")
-        pos.append(p_i)
-    x = x.withColumns({f"_p{i}": pos[i] for i in range(d)})
-
-    def point(i: int, include: bool) -> dict:
-        z = {}
-        for k, c in enumerate(features):
-            pk, pi = F.col(f"_p{k}"), F.col(f"_p{i}")
-            cond = (pk <= pi) if include else (pk < pi)
-            z[c] = F.when(cond, fx[k]).otherwise(base[k])
-        return z
-
-    gains = {f"_g{i}": score(point(i, True)) - score(point(i, False)) for i in range(d)}
-    x = x.withColumns(gains)
+    keep = df.columns
+    points = _path_points(df, key, features, baseline, paths, seed)
+    scored = points.withColumn("_score", score({c: F.col(c) for c in features}))
     # the other columns ride along with first(): the key is unique per row,
     # so no second scan and no join back are needed
-    agg = x.groupBy(key).agg(*[F.first(c).alias(c) for c in keep if c != key],
-                             *[F.avg(f"_g{i}").alias(prefix + c) for i, c in enumerate(features)])
-    base_score = score({c: b for c, b in zip(features, base)})
-    inst = score({c: v for c, v in zip(features, fx)})
-    return agg.select(*keep, *[prefix + c for c in features], base_score.alias("baseline_score"),
-                      inst.alias("instance_score"))
+    kept = [c for c in keep if c not in features and c != key]
+    agg = scored.groupBy(key).agg(
+        *[F.first(c).alias(c) for c in kept], *[F.max(F.when(F.col("_whole"), F.col(c))).alias(c) for c in features],
+        *_gains(features, F.col("_score"), paths, prefix))
+    base = {c: F.lit(float(baseline[c])) for c in features}
+    return agg.select(*keep, *[prefix + c for c in features], score(base).alias("baseline_score"),
+                      score({c: F.col(c) for c in features}).alias("instance_score"))
 
 
 def shapley_error(df: DataFrame, features: Sequence[str], prefix: str = "attr_") -> Column:
@@ -123,43 +134,14 @@ def sampled_shapley_model(model, df: DataFrame, key: str, features: Sequence[str
     ``transform`` reads the feature columns (a ``PipelineModel`` that
     assembles them, a tree ensemble, ...).
 
-    Every row is expanded to ``paths`` hash-seeded feature orders x features
-    x {with, without}: the coalition points are built as plain columns,
-    scored in one ``model.transform`` (the model stays in the JVM), and the
-    gains are averaged per row and feature by an aggregate whose partial
-    step runs in the expanding task.  ``output`` names the scored column; a
-    vector column (e.g. ``probability``) is read at index 1.
+    The points are those of ``sampled_shapley``, scored in one
+    ``model.transform`` (the model stays in the JVM); the gains are averaged
+    per row and feature by an aggregate whose partial step runs in the
+    expanding task.  ``output`` names the scored column; a vector column
+    (e.g. ``probability``) is read at index 1.
     """
     from pyspark.ml.functions import vector_to_array
-    d = len(features)
-    base = {c: F.lit(float(baseline[c])) for c in features}
-    x = df.select(key, *[F.col(c).cast("double").alias(c) for c in features])
-    x = x.withColumn("_path", F.explode(F.sequence(F.lit(0), F.lit(paths - 1))))
-    x = x.withColumns({f"_h{j}": F.xxhash64(F.col(key), F.col("_path"), F.lit(j), F.lit(seed))
-                       for j in range(d)})
-    pos = {}
-    for i in range(d):
-        p_i = F.lit(0)
-        for j in range(d):
-            if j != i:
-                hj, hi = F.col(f"_h{j}"), F.col(f"_h{i}")
-                p_i = p_i + ((hj < hi) | ((hj == hi) & F.lit(j < i))).cast("int")
-        pos[i] = p_i
-    x = x.withColumns({f"_p{i}": pos[i] for i in range(d)})
-    # one row per (path, feature i, with/without)
-    x = x.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(d - 1))))
-    x = x.withColumn("_with", F.explode(F.array(F.lit(True), F.lit(False))))
-    pi = F.element_at(F.array(*[F.col(f"_p{i}") for i in range(d)]), F.col("_i") + 1)
-    point = {}
-    for k, c in enumerate(features):
-        pk = F.col(f"_p{k}")
-        inside = F.when(F.col("_with"), pk <= pi).otherwise(pk < pi)
-        point[c] = F.when(inside, F.col(c)).otherwise(base[c])
-    pts = x.select(key, "_path", "_i", "_with", *[point[c].alias(c) for c in features])
-    scored = model.transform(pts)
+    scored = model.transform(_path_points(df.select(key, *features), key, features, baseline, paths, seed))
     out_type = dict(scored.dtypes)[output]
     y = F.element_at(vector_to_array(F.col(output)), 2) if out_type == "vector" else F.col(output)
-    signed = F.when(F.col("_with"), y).otherwise(-y)
-    agg = scored.groupBy(key).agg(*[(F.sum(F.when(F.col("_i") == i, signed)) / F.lit(float(paths)))
-                                    .alias(prefix + c) for i, c in enumerate(features)])
-    return agg
+    return scored.groupBy(key).agg(*_gains(features, y, paths, prefix))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featurelab.functions.columns import md5_prefix_int, stable_unit
-from featurelab.operators.balance import class_counts
+from featurelab.operators.balance import class_sizes, explode_copies
 from featurelab.operators.knn import nearest
 from featurelab.operators.rank import hash_rank
 
@@ -22,28 +22,20 @@ RES = 1_000_000
 
 def smote(df: DataFrame, key: str, vec: str, label: str, k: int = 5, seed: int = 42) -> DataFrame:
     """Synthetic rows only: (synthetic_id, label, vec, base_id, neighbour_id, gap)."""
-    counts = class_counts(df, label)
-    m = max(counts.values())
-    need = {c: m - n for c, n in counts.items() if n < m and n > 1}
-    if not need:
-        return df.sparkSession.createDataFrame(
-            [], f"synthetic_id string, {label} int, {vec} array<double>, base_id bigint, "
-                f"neighbour_id bigint, gap double")
-    minority = df.where(F.col(label).isin(list(need))).select(
-        F.col(key).alias("id"), F.col(vec).cast("array<double>").alias("v"), F.col(label).alias("label"))
+    sizes = class_sizes(df, label)
+    m = sizes.agg(F.max("n")).first()[0] or 0
+    small = sizes.where((F.col("n") < m) & (F.col("n") > 1)).select(F.col(label).alias("_label"), F.col("n").alias("_n"))
+    minority = df.join(small, F.col(label).eqNullSafe(F.col("_label"))).select(
+        F.col(key).alias("id"), F.col(vec).cast("array<double>").alias("v"), F.col(label).alias("label"), "_n")
     # neighbours within the same class: one tiled search, class in the tile key
-    nn = nearest(minority.select("id", "v", "label"), minority, k, exclude_self=True, group="label")
+    nn = nearest(minority.select("id", "v", "label"), minority.drop("_n"), k, exclude_self=True, group="label")
     nbrs = nn.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("rank", "tid"))).alias("_nb"))
     # copies per minority row: exact count rule, hash-ranked remainder
-    n_map = F.create_map(*[x for c, n in counts.items() for x in (F.lit(c), F.lit(n))])
-    need_map = F.create_map(*[x for c, n in need.items() for x in (F.lit(c), F.lit(n))])
     r = minority.withColumn("_h", stable_unit(F.col("id"), seed, RES))
     r = hash_rank(r, ["label"], "_h", "id", RES, out="_rank")
-    n_c, need_c = F.element_at(n_map, F.col("label")), F.element_at(need_map, F.col("label"))
-    copies = F.floor(need_c / n_c) + F.when(F.col("_rank") <= F.pmod(need_c, n_c), 1).otherwise(0)
-    from featurelab.operators.balance import explode_copies
-    max_copies = max(-(-need[c] // counts[c]) for c in need)
-    base = explode_copies(r, copies, "copy", max_copies, "id")
+    need = F.lit(m) - F.col("_n")
+    copies = F.floor(need / F.col("_n")) + F.when(F.col("_rank") <= F.pmod(need, F.col("_n")), 1).otherwise(0)
+    base = explode_copies(r, copies, "copy", "id")
     base = base.join(nbrs, base.id == nbrs.qid, "inner").drop("qid")
     # md5 of "id|copy|seed" (not xxhash64): a SQL engine can redo the choice
     pick = F.pmod(md5_prefix_int(F.concat_ws("|", F.col("id").cast("string"), F.col("copy").cast("string"),

@@ -316,7 +316,7 @@ def lookup_default(spark: SparkSession, d: str) -> DataFrame:
     nation, region = t.nation, t.region
     lookup = nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select(
         F.col("n_nationkey").alias("nk"), "n_name", F.lower("r_name").alias("region_lc"))
-    j = J.lookup_join(c, lookup, "nk", max_rows=1_000_000)
+    j = J.lookup_join(c, lookup, "nk")
     return j.select("c_custkey", F.coalesce("n_name", F.lit("UNKNOWN")).alias("nation"),
                     F.coalesce("region_lc", F.lit("unknown")).alias("region"))
 

@@ -21,13 +21,14 @@ TOXIC_RE = "|".join(TOXIC_WORDS)
 
 
 def toxic_rule_predictions(spark: SparkSession, d: str) -> DataFrame:
-    """labels joined to a keyword rule over the whole document text."""
+    """A keyword rule over the whole text of the labelled documents: the join
+    comes first, so the pattern runs on labelled text only."""
     t = Tables(spark, d)
-    docs = spread(t.documents).select("doc_id", F.regexp_count(F.lower("text"), F.lit(TOXIC_RE)).alias("hits"))
-    j = t.labels.join(docs, "doc_id", "inner")
-    return j.select("doc_id", F.col("toxic").alias("label"),
-                    (F.col("hits") > 0).cast("int").alias("prediction"),
-                    F.col("hits").cast("double").alias("score"), "quality")
+    j = spread(t.documents.select("doc_id", "text")).join(t.labels, "doc_id", "inner")
+    hits = F.regexp_count("text", F.lit(f"(?i){TOXIC_RE}"))
+    return j.select("doc_id", F.col("toxic").alias("label"), "quality", hits.alias("hits")).select(
+        "doc_id", "label", (F.col("hits") > 0).cast("int").alias("prediction"),
+        F.col("hits").cast("double").alias("score"), "quality")
 
 
 RULE_CTE = f"""

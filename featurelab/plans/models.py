@@ -41,12 +41,10 @@ def doc_frame(spark: SparkSession, d: str) -> DataFrame:
     """Documents with labels: simple text features and the toxic label."""
     from featurelab.plans.evaluation import TOXIC_RE
     t = Tables(spark, d)
-    docs = spread(t.documents).select(
-        "doc_id", "text",
-        F.col("n_chars").cast("double").alias("n_chars"),
-        F.regexp_count(F.lower("text"), F.lit(TOXIC_RE)).cast("double").alias("hits"),
-        (F.size(F.split("text", "\n"))).cast("double").alias("n_lines"))
-    j = docs.join(t.labels, "doc_id", "inner")
+    j = spread(t.documents.select("doc_id", "text", "n_chars")).join(t.labels, "doc_id", "inner").select(
+        "doc_id", "text", F.col("n_chars").cast("double").alias("n_chars"),
+        F.regexp_count("text", F.lit(f"(?i){TOXIC_RE}")).cast("double").alias("hits"),
+        F.size(F.split("text", "\n")).cast("double").alias("n_lines"), "quality", "toxic")
     return j.withColumn("label", F.col("toxic").cast("double")).withColumn(
         "is_test", stable_unit(F.col("doc_id")) < 300_000)
 
@@ -160,7 +158,8 @@ def huber_regression(spark: SparkSession, d: str) -> DataFrame:
 @query("kfold_cv", "T10")
 def kfold_cv(spark: SparkSession, d: str) -> DataFrame:
     df = price_frame(spark, d)
-    _, avg_rmse = T.cross_validate(df, TRAIN_FEATURES, "linear_regression", folds=10)
+    _, avg_rmse = T.cross_validate(df, TRAIN_FEATURES, "linear_regression", folds=10,
+                                   fold_key=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
     return spark.createDataFrame([(10, avg_rmse)], "folds int, avg_rmse double")
 
 
@@ -232,23 +231,21 @@ def predict_readback(spark: SparkSession, d: str) -> DataFrame:
     T.save(m, mpath)
     loaded = T.load(mpath)
     out = scratch_path(spark, "predictions")
-    K.batch_predict(loaded, df.where("is_test"), ["l_orderkey", "l_linenumber", "l_partkey", "label"], out)
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]  # unique in price_frame
+    K.batch_predict(loaded, df.where("is_test"), [*keys, "label"], out)
     back = K.read_predictions(spark, out, "l_orderkey bigint, l_linenumber int, l_partkey bigint, "
-                                          "label double, prediction double", "*.json")
+                                          "l_suppkey bigint, label double, prediction double", "*.json")
     # explanations next to the predictions (K6): the fitted linear model's
     # coefficients make an exact column-expression scorer
     lr = loaded.stages[-1]
     w = dict(zip(TRAIN_FEATURES, lr.coefficients.toArray().tolist()))
     means = df.where(~F.col("is_test")).agg(*[F.avg(c).alias(c) for c in TRAIN_FEATURES]).first().asDict()
-    inst = df.where("is_test").select("l_orderkey", "l_linenumber", "l_partkey", *TRAIN_FEATURES)
-    ex = K.sampled_shapley(inst.withColumn("_k", F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey")),
-                           "_k", TRAIN_FEATURES, K.linear_scorer(w, lr.intercept), means, paths=5)
-    ex = ex.select("l_orderkey", "l_linenumber", "l_partkey",
-                   *[F.col("attr_" + c) for c in TRAIN_FEATURES]).dropDuplicates(
-        ["l_orderkey", "l_linenumber", "l_partkey"])
+    inst = df.where("is_test").select(*keys, *TRAIN_FEATURES)
+    ex = K.sampled_shapley(inst.withColumn("_k", F.concat_ws("|", *keys)),
+                           "_k", TRAIN_FEATURES, K.linear_scorer(w, lr.intercept), means, paths=25)
+    ex = ex.select(*keys, *[F.col("attr_" + c) for c in TRAIN_FEATURES])
     from featurelab.sources.files import valid_rows
-    return valid_rows(back, "l_orderkey").join(
-        ex, ["l_orderkey", "l_linenumber", "l_partkey"], "left")
+    return valid_rows(back, "l_orderkey").join(ex, keys, "left")
 
 
 # ---------------------------------------------------------------- K5
@@ -411,13 +408,11 @@ def smote_q(spark: SparkSession, d: str) -> DataFrame:
 SELECT o_orderkey, CAST(row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT) AS rank FROM orders
 """)
 def global_rank(spark: SparkSession, d: str) -> DataFrame:
-    """Global row number without a single-partition window: quantile
-    buckets of the sort key, numbered inside, offset by earlier buckets."""
-    from featurelab.operators.rank import bucketed_row_number, quantile_bounds, range_bucket
+    """Global row number without a single-partition window: range
+    partitions of the sort key, numbered inside, offset by earlier ones."""
+    from featurelab.operators.rank import range_rank
     o = Tables(spark, d).orders.select("o_orderkey", (-F.col("o_totalprice")).alias("neg_price"))
-    bounds = quantile_bounds(o, "neg_price", 64)
-    ranked = bucketed_row_number(o.withColumn("_all", F.lit(0)), ["_all"], range_bucket("neg_price", bounds),
-                                 [F.col("neg_price"), F.col("o_orderkey")], "rank")
+    ranked = range_rank(o, ["neg_price", "o_orderkey"], "rank")
     return ranked.select("o_orderkey", "rank")
 
 

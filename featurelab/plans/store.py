@@ -11,6 +11,7 @@ from featurelab.functions.columns import map_lookup, round4
 from featurelab.operators import store as FS
 from featurelab.operators.joins import asof_join
 from featurelab.plans.registry import query
+from featurelab.session import scratch_path
 from featurelab.sources.tables import Tables
 
 BATCH_TS = dt.datetime(2024, 1, 1, 0, 0, 0)
@@ -140,6 +141,29 @@ def asof_join_q(spark: SparkSession, d: str) -> DataFrame:
                     round4("o_totalprice").alias("feature_total"), F.col("o_orderkey").alias("feature_order"))
 
 
+@query("historical_serving", "FS8 FS2 FS1 J3", sql=FEATURE_SQL + """,
+r AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entity_id, feature_timestamp
+        ORDER BY total_price DESC, priority_code DESC, status_code DESC) AS rn FROM f) WHERE rn = 1),
+l AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS entity_id,
+             CAST(o_orderdate - INTERVAL 30 DAY AS TIMESTAMP) AS read_at FROM orders)
+SELECT l.o_orderkey, l.entity_id, round(r.total_price, 4) AS total_price, r.priority_code, r.status_code
+FROM l ASOF LEFT JOIN r ON l.entity_id = r.entity_id AND l.read_at >= r.feature_timestamp
+""")
+def historical_serving_q(spark: SparkSession, d: str) -> DataFrame:
+    """What each customer's features were 30 days before each order, read
+    from an offline table appended in two batches."""
+    path = scratch_path(spark, "offline")
+    feats = order_features(spark, d)
+    early = F.col(FS.TS) < F.lit("1996-01-01").cast("timestamp")
+    FS.write_offline(feats.where(early), path)
+    FS.write_offline(feats.where(~early), path)
+    reads = Tables(spark, d).orders.select(
+        "o_orderkey", F.col("o_custkey").cast("string").alias("customer"),
+        F.date_sub("o_orderdate", 30).cast("timestamp").alias("read_at"))
+    out = FS.historical_serving(reads, spark.read.parquet(path), FEATURES, "customer", "read_at")
+    return out.select("o_orderkey", FS.KEY, round4("total_price").alias("total_price"), "priority_code", "status_code")
+
+
 @query("feature_pit_history", "FS7 P15 P14", sql=FEATURE_SQL + """
 SELECT entity_id, feature_timestamp, round(total_price, 4) AS total_price, status_code
 FROM f WHERE feature_timestamp <= TIMESTAMP '1998-01-01 00:00:00'

@@ -162,7 +162,7 @@ def test_side_by_side_full_outer(spark):
     assert out[2]["score_delta"] == 1.0
 
 
-def test_topk_similar_tiles_equal_literal_path(spark):
+def test_topk_similar_blocks_give_the_same(spark):
     from featurelab.operators.retrieval import top_k_similar
     rng = np.random.default_rng(5)
     corpus = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(400)]
@@ -170,7 +170,7 @@ def test_topk_similar_tiles_equal_literal_path(spark):
     queries = spark.createDataFrame([(f"q{j}", rng.normal(size=8).tolist()) for j in range(12)],
                                     "qid string, v array<double>")
     a = top_k_similar(corpus, "id", "v", queries, "qid", "v", k=5).toPandas()
-    b = top_k_similar(corpus, "id", "v", queries, "qid", "v", k=5, max_literal_queries=3).toPandas()
+    b = top_k_similar(corpus, "id", "v", queries, "qid", "v", k=5, query_block=3, corpus_block=37).toPandas()
     key = ["qid", "rank"]
     a, b = a.sort_values(key).reset_index(drop=True), b.sort_values(key).reset_index(drop=True)
     assert (a["id"] == b["id"]).all() and len(a) == 60
@@ -178,6 +178,83 @@ def test_topk_similar_tiles_equal_literal_path(spark):
     assert 999 not in set(a["id"])
 
 
+def test_equal_vectors_leave_k_rows_per_query(spark):
+    tr = spark.createDataFrame([(i, [1.0, 2.0], i % 2) for i in range(500)], "id long, v array<double>, label int")
+    te = spark.createDataFrame([(1000 + i, [1.0, 2.0]) for i in range(20)], "id long, v array<double>")
+    nn = nearest(te, tr, 5, query_block_rows=7, corpus_block_rows=100).toPandas()
+    assert all(g.sort_values("rank")["tid"].tolist() == [0, 1, 2, 3, 4] for _, g in nn.groupby("qid")) and len(nn) == 100
+
+
+def test_modes_ignore_null_and_nan_in_one_pass(spark):
+    from featurelab.operators.aggregate import apply_fill, fit_modes
+    nan = float("nan")
+    df = spark.createDataFrame([(nan, "b", 1), (nan, "a", None), (1.0, None, 2), (nan, "a", 2), (2.0, "b", None)],
+                               "x double, s string, n int")
+    modes = fit_modes(df, ["x", "s", "n"])
+    assert modes == {"x": 1.0, "s": "a", "n": 2}
+    filled = apply_fill(df, modes).collect()
+    assert [r["x"] for r in filled] == [1.0, 1.0, 1.0, 1.0, 2.0] and all(r["s"] and r["n"] for r in filled)
+
+
+def test_running_numbers_keep_null_rows(spark):
+    from featurelab.operators.rank import bucketed_running_sums, range_rank
+    df = spark.createDataFrame([(None, 1), ("a", None), ("a", 2), (None, None), ("a", 1)], "k string, t int")
+    out = bucketed_running_sums(df, ["k"], F.floor(F.col("t") / 2).cast("bigint"), [F.col("t")], {"n": F.lit(1)})
+    assert sorted(((r["k"], r["t"], r["n"]) for r in out.collect()), key=str) == sorted(
+        [(None, None, 0), (None, 1, 1), ("a", None, 0), ("a", 1, 1), ("a", 2, 2)], key=str)
+    nums = spark.createDataFrame([(x,) for x in [5, None, 3, 3, -1, None, 8]], "x int")
+    for buckets in (1, 3):
+        ranks = sorted((r["r"], r["x"]) for r in range_rank(nums, ["x"], "r", buckets=buckets).collect() if r["x"] is not None)
+        assert ranks == [(3, -1), (4, 3), (5, 3), (6, 5), (7, 8)]
+
+
+def test_asof_in_ranges_equals_one_window(spark):
+    rng = random.Random(2)
+    day = lambda n: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=n)
+    # one hot key whose rows all lie within an hour, and many NULL keys and times
+    right = [(1 if rng.random() < 0.7 else rng.choice([2, 3, None]), day(rng.randint(0, 3600)), i) for i in range(600)]
+    left = [(1 if rng.random() < 0.6 else rng.choice([2, 4, None]),
+             day(rng.randint(-60, 3700)) if rng.random() < 0.9 else None, i) for i in range(800)]
+    r = spark.createDataFrame(right, "k long, t timestamp, v long")
+    l = spark.createDataFrame(left, "k long, lt timestamp, lid long")
+    one, many = (sorted(map(tuple, J.asof_join(l, r, "k", "lt", "t", ["v"], buckets=b).collect()), key=lambda x: x[2])
+                 for b in (1, 7))
+    assert one == many and len(one) == 800
+    assert all(x[3] is None for x in one if x[0] is None or x[1] is None)
+
+
+def test_asof_reads_each_side_once(spark):
+    from featurelab.plans.registry import load_all
+    plan = load_all()["asof_join"].fn(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == 1
+
+
+def test_wide_shapley_ends_in_seconds(spark):
+    import time
+    d = 50
+    rows = [(i, *[float((i * 7 + j) % 11) for j in range(d)]) for i in range(4)]
+    names = [f"f{j}" for j in range(d)]
+    df = spark.createDataFrame(rows, "id long, " + ", ".join(f"{n} double" for n in names))
+    w = {n: 0.1 * j for j, n in enumerate(names)}
+    t = time.time()
+    out = K.sampled_shapley(df, "id", names, K.linear_scorer(w), {n: 1.0 for n in names}, paths=25).collect()
+    assert time.time() - t < 60
+    for r in out:
+        for n in names:
+            assert r["attr_" + n] == pytest.approx(w[n] * (r[n] - 1.0), abs=1e-9)
+
+
+def test_shapley_of_a_product_nears_the_exact_values(spark):
+    # f = a * b + c from the origin: the gain of a and b is half the product each
+    df = spark.createDataFrame([(i, float(i), 2.0, 5.0) for i in range(1, 4)], "id long, a double, b double, c double")
+    out = K.sampled_shapley(df, "id", ["a", "b", "c"], lambda x: x["a"] * x["b"] + x["c"],
+                            {"a": 0.0, "b": 0.0, "c": 0.0}, paths=600).collect()
+    for r in out:
+        assert r["attr_c"] == pytest.approx(5.0)
+        assert r["attr_a"] + r["attr_b"] == pytest.approx(r["a"] * 2)
+        assert r["attr_a"] == pytest.approx(r["a"], rel=0.15)
+
+
 def test_shapley_model_additivity_on_forest(spark):
     from featurelab.operators import models as T
     rng = np.random.default_rng(11)
@@ -200,7 +277,7 @@ def test_rank_windows_are_bucketed(spark):
     import re
     from featurelab.plans.registry import load_all
     q = load_all()
-    for name in ["stratified_split", "random_oversample", "conversation_history", "global_rank"]:
+    for name in ["stratified_split", "random_oversample", "conversation_history"]:
         df = q[name].fn(spark, SF_SMALL)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()

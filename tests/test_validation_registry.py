@@ -83,6 +83,31 @@ def test_threshold_gate_ops_are_data(spark):
     assert G.threshold_gate(metrics, loose, ["model"]).first().passes
 
 
+def test_a_missing_or_null_metric_fails_the_gate(spark):
+    metrics = spark.createDataFrame([("a", "acc", 0.9), ("a", "f1", 0.9), ("b", "f1", 0.9), ("c", "acc", None), ("c", "f1", 0.9)],
+                                    "model string, metric string, value double")
+    gates = spark.createDataFrame([("acc", ">", 0.5), ("f1", ">", 0.5)], "metric string, op string, bound double")
+    got = {r.model: (r.passes, r.n_checks) for r in G.threshold_gate(metrics, gates, ["model"]).collect()}
+    assert got == {"a": (True, 2), "b": (False, 2), "c": (False, 2)}
+    assert not G.threshold_gate(metrics.where("model = 'b'").drop("model"), gates).first().passes
+
+
+def test_beat_the_last_with_a_null_metric(spark):
+    log = spark.createDataFrame([("a", 1, 0.9), ("a", 2, None), ("b", 1, None), ("b", 2, 0.8), ("c", 1, 0.9), ("c", 2, 0.8)],
+                                "algo string, run int, metric double")
+    got = {r.algo: r.passes for r in G.beat_the_last(log, "algo", ["run"], "metric", 0.5).collect()}
+    assert got == {"a": False, "b": True, "c": False}
+
+
+def test_an_unreadable_metrics_log_stops_the_run(spark, tmp_path):
+    from featurelab.operators.flow import last_metric
+    assert last_metric(spark, str(tmp_path / "none"), "x", "f1") is None
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        last_metric(spark, str(tmp_path / "log"), "x", "f1")
+
+
 def test_beat_the_last_without_history(spark):
     log = spark.createDataFrame([("knn", 1, 0.99)], "algo string, run int, metric double")
     r = G.beat_the_last(log, "algo", ["run"], "metric", 0.98).first()
@@ -116,12 +141,11 @@ def test_confusion_matrix_has_every_class(spark):
     assert rows == {0: (0, 0), 1: (0, 2)}
 
 
-def test_lookup_join_broadcasts_only_small_sides(spark):
-    from featurelab.operators.joins import broadcast_if_small, is_small
-    small = spark.range(10)
-    assert is_small(small, 10) and not is_small(small, 9)
-    plan = spark.range(100).join(broadcast_if_small(small, 10), "id")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
+def test_lookup_join_lets_the_planner_choose(spark):
+    from featurelab.operators.joins import lookup_join
+    out = lookup_join(spark.range(100), spark.range(10).withColumn("x", F.lit(1)), "id")
+    assert out.count() == 100 and out.where("x = 1").count() == 10
+    assert "ResolvedHint" not in out._jdf.queryExecution().analyzed().toString()
 
 
 def test_cli_lists_every_query(capsys):
