@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from featurelab.functions.columns import stable_unit
 from featurelab.operators.aggregate import latest_per_key
+from featurelab.operators.rank import range_rank
+from featurelab.session import materialize
 
 
 def resolve_aliases(alias_events: DataFrame) -> DataFrame:
@@ -25,6 +27,23 @@ def resolve_aliases(alias_events: DataFrame) -> DataFrame:
     return latest.where(F.col("action") == "add").drop("action")
 
 
+def list_versions(versions: DataFrame, alias_events: DataFrame) -> DataFrame:
+    """Version list (R3): every registered (model, version, created_at) with
+    its number within the model, its parent (the version before it) and the
+    aliases that point at it now, sorted by name; '' for none.
+
+    Numbers come from range buckets, so a model with very many versions is not
+    one task; the parent is a join on the number before.
+    """
+    numbered = materialize(range_rank(versions.select("model", "version", "created_at"), ["created_at", "version"],
+                                      "number", keys=["model"]))
+    parent = numbered.select("model", (F.col("number") + 1).alias("number"), F.col("version").alias("parent"))
+    labels = resolve_aliases(alias_events).groupBy("model", "version").agg(
+        F.array_join(F.array_sort(F.collect_set("alias")), ",").alias("aliases"))
+    return (numbered.join(parent, ["model", "number"], "left").join(labels, ["model", "version"], "left")
+            .select("model", "number", "version", "created_at", "parent", F.coalesce("aliases", F.lit("")).alias("aliases")))
+
+
 def swap_alias_events(spark, model: str, alias: str, old_version, new_version, at) -> DataFrame:
     """The two events of an alias swap (remove old, add new), to append."""
     return spark.createDataFrame(

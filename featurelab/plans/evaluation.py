@@ -243,7 +243,8 @@ GATES = [("mean_value", ">", 20.0), ("n_runs", ">=", 1000.0), ("max_value", "<="
 @query("gate_decision", "R1 R2", sql="""
 WITH m AS (SELECT event_type AS model, avg(value) AS mean_value, CAST(count(*) AS DOUBLE) AS n_runs,
                   max(value) AS max_value FROM events GROUP BY event_type)
-SELECT model, (mean_value > 20.0) AND (n_runs >= 1000.0) AND (max_value <= 500.0) AS passes,
+SELECT model, (mean_value > 20.0) AND (n_runs >= 1000.0) AND (max_value <= 500.0)
+              AND model NOT IN ('error', 'view') AS passes,
        CAST(3 AS BIGINT) AS n_checks
 FROM m
 """)
@@ -255,6 +256,9 @@ def gate_decision(spark: SparkSession, d: str) -> DataFrame:
     long = wide.select("model", F.explode(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m, _, _ in GATES])).alias("x")) \
         .select("model", "x.metric", "x.value")
+    # a model may lack a metric or have a NULL one: both fail its gates
+    long = long.where((F.col("model") != "error") | (F.col("metric") != "n_runs")).withColumn(
+        "value", F.when((F.col("model") != "view") | (F.col("metric") != "max_value"), F.col("value")))
     gates = spark.createDataFrame(GATES, "metric string, op string, bound double")
     return G.threshold_gate(long, gates, ["model"])
 
@@ -288,7 +292,22 @@ def alias_events(events: DataFrame) -> DataFrame:
     return add_c.unionByName(rem_c).unionByName(add_ch)
 
 
-@query("alias_resolution", "R3 R4", sql=ALIAS_CTE + """
+@query("model_versions", "R3 R4", sql=ALIAS_CTE + """,
+cur AS (SELECT model, version, string_agg(alias, ',' ORDER BY alias) AS aliases FROM r
+        WHERE rn = 1 AND action = 'add' GROUP BY model, version),
+v AS (SELECT event_type AS model, event_id AS version, ts AS created_at,
+             row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS number,
+             lag(event_id) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS parent FROM events)
+SELECT v.model, v.number, v.version, v.created_at, v.parent, coalesce(cur.aliases, '') AS aliases
+FROM v LEFT JOIN cur ON v.model = cur.model AND v.version = cur.version
+""")
+def model_versions(spark: SparkSession, d: str) -> DataFrame:
+    e = Tables(spark, d).events
+    versions = e.select(F.col("event_type").alias("model"), F.col("event_id").alias("version"), F.col("ts").alias("created_at"))
+    return R.list_versions(versions, alias_events(e))
+
+
+@query("alias_resolution", "R4", sql=ALIAS_CTE + """
 SELECT model, alias, version, set_at FROM r WHERE rn = 1 AND action = 'add'
 """)
 def alias_resolution(spark: SparkSession, d: str) -> DataFrame:
