@@ -88,6 +88,20 @@ SENTENCE_RE = r"[^.!?]+[.!?]*"
 WORD_RE = r"\p{L}+"
 
 
+def lead_summary(docs: DataFrame, id_col: str, text_col: str, sentences: int = 5,
+                 max_words: int = 50) -> DataFrame:
+    """The first ``sentences`` sentences, cut to ``max_words`` words (K11, P24):
+    a projection, each document on its own.  A text without a sentence gives
+    an empty summary, a null text a null one."""
+    found = F.transform(F.regexp_extract_all(F.col(text_col), F.lit(SENTENCE_RE), 0), lambda s: F.trim(s))
+    lead = F.array_join(F.slice(F.filter(found, lambda s: s != ""), 1, sentences), " ")
+    # the one-element explode makes the words a column, read twice below
+    words = docs.select(id_col, F.explode(F.array(F.filter(F.split(lead, r"[ \t\n\r\f]+"), lambda w: w != ""))).alias("_w"))
+    return words.select(id_col, F.array_join(F.slice("_w", 1, max_words), " ").alias("summary"),
+                        F.least(F.size("_w"), F.lit(max_words)).alias("n_words"),
+                        (F.size("_w") > max_words).alias("was_cut"))
+
+
 def extractive_summary(docs: DataFrame, id_col: str, text_col: str, n: int = 3) -> DataFrame:
     """Top-n sentences by mean term weight, in document order.
 

@@ -168,6 +168,43 @@ def null_and_range_audit(spark: SparkSession, d: str) -> DataFrame:
     return c.agg(F.count(F.lit(1)).alias("n_rows"), *nulls, *bad)
 
 
+# --------------------------------------------------------------------------
+# Extracted line items as an array of structs
+# --------------------------------------------------------------------------
+
+ITEM_SCHEMA = "order_id bigint, total double, line_items array<struct<line: int, part: bigint, quantity: double, amount: double>>"
+
+
+@query("nested_line_items", "P21 P22 S9", sql="""
+WITH li AS (SELECT l_orderkey, count(*) AS n, count(DISTINCT l_partkey) AS parts,
+                   sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS amount, max(l_quantity) AS top
+            FROM lineitem GROUP BY l_orderkey)
+SELECT o_orderkey AS order_id, CAST(coalesce(n, 0) AS INTEGER) AS item_count, CAST(coalesce(parts, 0) AS INTEGER) AS n_parts,
+       CAST(coalesce(amount, 0) AS DOUBLE) AS items_amount, round(top, 4) AS max_quantity,
+       CAST(o_totalprice AS DECIMAL(18, 2)) = coalesce(amount, 0) AS reconciles
+FROM orders LEFT JOIN li ON o_orderkey = l_orderkey
+""")
+def nested_line_items(spark: SparkSession, d: str) -> DataFrame:
+    """Order documents whose line items are an array of structs, as extraction
+    returns them: written as JSON text, parsed with a declared schema, and
+    flattened inside the record (size and folds over the array, no explode)."""
+    t = Tables(spark, d)
+    item = F.struct(F.col("l_linenumber").cast("int").alias("line"), F.col("l_partkey").alias("part"),
+                    F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("amount"))
+    items = t.lineitem.groupBy("l_orderkey").agg(F.collect_list(item).alias("line_items"))  # one order's items
+    docs = t.orders.join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(F.to_json(F.struct(
+        F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("total"), "line_items")).alias("json"))
+    r = docs.select(F.from_json("json", ITEM_SCHEMA).alias("r")).select("r.*")
+    found = F.coalesce("line_items", F.array().cast("array<struct<line:int,part:bigint,quantity:double,amount:double>>"))
+    amount = F.aggregate(found, F.lit(0).cast("decimal(28,2)"),
+                         lambda a, x: (a + x["amount"].cast("decimal(18,2)")).cast("decimal(28,2)"))
+    return r.select("order_id", F.size(found).alias("item_count"),
+                    F.size(F.array_distinct(F.transform(found, lambda x: x["part"]))).alias("n_parts"),
+                    amount.cast("double").alias("items_amount"),
+                    round4(F.array_max(F.transform(found, lambda x: x["quantity"]))).alias("max_quantity"),
+                    (F.col("total").cast("decimal(18,2)") == amount).alias("reconciles"))
+
+
 # --------------------------------------------------------------------------
 # Stated order total vs the sum of its line items
 # --------------------------------------------------------------------------

@@ -250,6 +250,19 @@ def retrieval_citations(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- K11
 
 
+@query("lead_summary", "K11 P24", sql="""
+WITH a AS (SELECT doc_id, list_filter(list_transform(regexp_extract_all(text, '[^.!?]+[.!?]*'), lambda x: trim(x)),
+                                      lambda x: x <> '')[1:5] AS sents FROM documents),
+b AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(array_to_string(sents, ' '), ''), '[ \\t\\n\\r\\f]+'),
+                                 lambda x: x <> '') AS ws FROM a)
+SELECT doc_id, coalesce(array_to_string(ws[1:50], ' '), '') AS summary, CAST(least(len(ws), 50) AS INTEGER) AS n_words,
+       len(ws) > 50 AS was_cut FROM b
+""")
+def lead_summary(spark: SparkSession, d: str) -> DataFrame:
+    from featurelab.operators.retrieval import lead_summary as lead
+    return lead(spread(Tables(spark, d).documents.select("doc_id", "text")), "doc_id", "text")
+
+
 @query("extractive_summary", "K11", sql="""
 WITH s AS (SELECT doc_id, unnest(regexp_extract_all(text, '[^.!?]+[.!?]*')) AS s0,
                   unnest(range(len(regexp_extract_all(text, '[^.!?]+[.!?]*')))) AS pos FROM documents),
