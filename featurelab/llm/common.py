@@ -34,6 +34,13 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_side(df: DataFrame, row_bytes: int, max_bytes: int = 16 << 20) -> DataFrame:
+    """``df`` with a broadcast hint if its counted rows, at ``row_bytes`` each,
+    take at most ``max_bytes``; else as it is, for a shuffled join of the same
+    rows."""
+    return F.broadcast(df) if df.count() * row_bytes <= max_bytes else df
+
+
 def semi_join_small(df: DataFrame, keys: DataFrame, on: str, row_bytes: int = 16,
                     max_bytes: int = 16 << 20) -> DataFrame:
     """Rows of ``df`` whose ``on`` is among ``keys`` (distinct, few columns).
@@ -41,8 +48,7 @@ def semi_join_small(df: DataFrame, keys: DataFrame, on: str, row_bytes: int = 16
     The keys are broadcast only when their counted size is at most
     ``max_bytes``; a larger list takes the shuffled semi-join, same rows.
     """
-    small = keys.count() * row_bytes <= max_bytes
-    return df.join(F.broadcast(keys) if small else keys, on, "left_semi")
+    return df.join(small_side(keys, row_bytes, max_bytes), on, "left_semi")
 
 
 def text_rows(df: DataFrame) -> DataFrame:
