@@ -42,7 +42,7 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with one occurrence of each group of similar lines."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.dedup_lines(docs)
+    return line_dedup.dedup_lines(docs, whole=True)
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
