@@ -183,8 +183,8 @@ def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     t = F.col("t")
     k = F.lit(key)
     src = text_rows(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")))
-    # one cheap look for the characters that any shape needs spares most texts the full pattern
-    found = src.withColumn("m", F.when(t.rlike("[0-9@]"), F.regexp_extract_all(t, F.lit(PATTERN), F.lit(0)))
+    # one cheap look for what any shape needs spares some texts the full pattern
+    found = src.withColumn("m", F.when(t.rlike("[0-9@=:]|AKIA"), F.regexp_extract_all(t, F.lit(PATTERN), F.lit(0)))
                            .otherwise(F.array().cast("array<string>")))
     new = found.withColumn("p", F.transform("m", lambda m: pseudonym(m, k)))
     gaps = F.split(t, PATTERN, -1)
