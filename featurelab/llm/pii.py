@@ -24,15 +24,37 @@ FIRST_DAY, DATE_L, DATE_R = "1800-01-01", 27, 5411
 SSN_AREAS, SSN_REST = 898, 99 * 9999
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+MONTH = (r"(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sep(?:tember)?"
+         r"|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)")
+# Written dates: shape and the patterns it is read by, the first that gives a
+# day; a/b/yyyy is read month first where it can be
+DATES = [
+    (r"\d{4}/\d{2}/\d{2}", ["yyyy/MM/dd"]),
+    (r"\d{2}/\d{2}/\d{4}", ["MM/dd/yyyy", "dd/MM/yyyy"]),
+    (r"\d{1,2}/\d{1,2}/\d{4}", ["M/d/yyyy", "d/M/yyyy"]),
+    (r"\d{2}\.\d{2}\.\d{4}", ["dd.MM.yyyy", "MM.dd.yyyy"]),
+    (r"\d{1,2}\.\d{1,2}\.\d{4}", ["d.M.yyyy", "M.d.yyyy"]),
+    (r"\d{2}-\d{2}-\d{4}", ["dd-MM-yyyy", "MM-dd-yyyy"]),
+    (rf"\d{{1,2}} {MONTH} \d{{4}}", ["d MMMM yyyy", "d MMM yyyy"]),
+    (rf"{MONTH} \d{{1,2}}, \d{{4}}", ["MMMM d, yyyy", "MMM d, yyyy"]),
+]
+NATIONAL = r"(?:1[ .-])?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]\d{4}"
+SECRET_KEY = (r"(?i:password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?)")
+# the key, then a quoted value after = or :, or an unquoted one right after =
+SECRET_HEAD = rf"{SECRET_KEY}(?:[\"']? ?[=:] ?[\"']|=)"
 SHAPES = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+)++",
-    "phone": r"(?<![\w+])\+1 ?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)",
+    "phone": r"(?<![\w+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)",
     "ip": rf"(?<![\w.]){OCTET}(?:\.{OCTET}){{3}}(?![\w]|\.\d)",
-    "date": r"(?<![\w-])\d{4}-\d{2}-\d{2}(?![\w-])",
+    "date": r"(?<![\w-])\d{4}-\d{2}-\d{2}(?:(?=T\d)|(?![\w-]))",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{13,19})(?![\w-])",
     "aws_key": r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)",
-    "secret": r"(?<!\w)(?:password=|token = \")[0-9a-f]{16,64}+(?!\w)",
+    "secret": rf"{SECRET_HEAD}(?:(?<=[\"'])[^\"'\n]{{1,256}}|(?<==)[^\s\"'`,;&<>(){{}}\[\]]{{4,256}}+)",
+    "international": r"(?<![\w+])\+[2-9](?:\)?[ .-]?\(?\d){7,14}(?!\d)",
+    "national": rf"(?<![\w+.-]){NATIONAL}(?![\w-])",
+    "card_4_6_5": r"(?<![\w-])\d{4}(?<gap>[ -])\d{6}\k<gap>\d{5}(?![\w-])",
+    "written_date": rf"(?<![\w/.-])(?:{'|'.join(shape for shape, _ in DATES)})(?![\w/-]|\.\d)",
 }
 PATTERN = "|".join(SHAPES.values())
 
@@ -87,6 +109,9 @@ def _card(m: Column, key: Column) -> Column:
     shaped = F.transform(whole, lambda d: F.when(
         gap.isin(" ", "-"), F.concat_ws("", F.substr(d, F.lit(1), F.lit(4)), gap, F.substr(d, F.lit(5), F.lit(4)), gap,
                                         F.substr(d, F.lit(9), F.lit(4)), gap, F.substr(d, F.lit(13), F.lit(4)))).otherwise(d))
+    shaped = F.when(F.length(digits) == 15, F.transform(whole, lambda d: F.when(
+        gap.isin(" ", "-"), F.concat_ws("", F.substr(d, F.lit(1), F.lit(4)), gap, F.substr(d, F.lit(5), F.lit(6)), gap,
+                                        F.substr(d, F.lit(11), F.lit(5)))).otherwise(d))).otherwise(shaped)
     return F.when(F.pmod(luhn_sum(digits), F.lit(10)) == 0, shaped[0]).otherwise(m)
 
 
@@ -111,6 +136,26 @@ def _phone(m: Column, key: Column) -> Column:
     return F.transform(F.array(pair), lambda p: _in_place(m, F.concat(_padded(p["l"], 5), _padded(p["r"], 5)), 1))[0]
 
 
+def _national(m: Column, key: Column) -> Column:
+    """Area code and exchange stay within 200-999."""
+    digits = F.regexp_replace(m, "[^0-9]", "")
+    ten = F.substr(digits, F.length(digits) - 9, F.lit(10))
+    pair = feistel(_long(F.substring(ten, 1, 3)) - 200, _long(F.substring(ten, 4, 7)) - 2_000_000,
+                   F.lit(800).cast("bigint"), F.lit(8_000_000).cast("bigint"), key, "national")
+    new = F.transform(F.array(pair), lambda p: F.concat((p["l"] + 200).cast("string"), (p["r"] + 2_000_000).cast("string")))
+    return F.transform(new, lambda d: F.when(F.length(digits) == 11, _in_place(m, d, 1)).otherwise(_in_place(m, d, 0)))[0]
+
+
+def _international(m: Column, key: Column) -> Column:
+    """The first two digits, which hold the country or its zone, stay."""
+    digits = F.substring(F.regexp_replace(m, "[^0-9]", ""), 3, 13)
+    half = F.floor(F.length(digits) / 2).cast("int")
+    rest = (F.length(digits) - half).cast("int")
+    pair = feistel(_long(F.substr(digits, F.lit(1), half)), _long(F.substr(digits, half + 1, rest)),
+                   F.pow(F.lit(10), half).cast("bigint"), F.pow(F.lit(10), rest).cast("bigint"), key, "international")
+    return F.transform(F.array(pair), lambda p: _in_place(m, F.concat(_padded(p["l"], half), _padded(p["r"], rest)), 2))[0]
+
+
 def _ip(m: Column, key: Column) -> Column:
     o = F.transform(F.split(m, r"\."), lambda x: x.cast("bigint"))
     word = F.lit(65_536).cast("bigint")
@@ -120,16 +165,31 @@ def _ip(m: Column, key: Column) -> Column:
         F.floor(p["r"] / 256).cast("string"), F.pmod(p["r"], F.lit(256)).cast("string")))[0]
 
 
-def _date(m: Column, key: Column) -> Column:
-    day = F.date_diff(F.try_to_date(m, "yyyy-MM-dd"), F.to_date(F.lit(FIRST_DAY))).cast("bigint")
+def _date(m: Column, key: Column, form: str = "yyyy-MM-dd") -> Column:
+    day = F.date_diff(F.try_to_date(m, form), F.to_date(F.lit(FIRST_DAY))).cast("bigint")
     inside = day.between(0, DATE_L * DATE_R - 1)
     pair = feistel(F.floor(day / DATE_R), F.pmod(day, F.lit(DATE_R)), F.lit(DATE_L).cast("bigint"),
                    F.lit(DATE_R).cast("bigint"), key, "date")
     moved = F.transform(F.array(pair), lambda p: F.date_format(
-        F.date_add(F.to_date(F.lit(FIRST_DAY)), (p["l"] * DATE_R + p["r"]).cast("int")), "yyyy-MM-dd"))[0]
+        F.date_add(F.to_date(F.lit(FIRST_DAY)), (p["l"] * DATE_R + p["r"]).cast("int")), form))[0]
     return F.when(inside, moved).otherwise(m)
 
 
+def _written_date(m: Column, key: Column) -> Column:
+    """Moved as the same day in ISO form is, and written as it was."""
+    out = m
+    for shape, forms in reversed(DATES):
+        read = F.coalesce(*[F.when(F.try_to_date(m, f).isNotNull(), _date(m, key, f)) for f in forms], m)
+        out = F.when(m.rlike(f"^{shape}$"), read).otherwise(out)
+    return out
+
+
+def _secret(m: Column, key: Column) -> Column:
+    head = F.regexp_extract(m, f"^{SECRET_HEAD}", 0)
+    value = F.substr(m, F.length(head) + 1, F.length(m))
+    return F.concat(head, F.substr(_hex(value, key, "secret"), F.lit(1), F.greatest(F.length(value), F.lit(16))))
+
+
 def _ssn(m: Column, key: Column) -> Column:
     area, group, serial = (_long(F.substring(m, a, n)) for a, n in ((1, 3), (5, 2), (8, 4)))
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
@@ -151,31 +211,34 @@ def _hex(m: Column, key: Column, kind: str) -> Column:
 def pseudonym(m: Column, key: Column) -> Column:
     """Pseudonym of one match, by its shape; ``m`` itself if not valid."""
     digits = r"^\d+$"
-    return (F.when(F.contains(m, F.lit("@")), F.concat(
+    return (F.when(m.rlike(f"^{SECRET_HEAD}"), _secret(m, key))
+            .when(F.contains(m, F.lit("@")), F.concat(
                 F.lit("u"), F.substring(_hex(F.lower(m), key, "email"), 1, 16), F.lit("@example.invalid")))
-            .when(F.startswith(m, F.lit("+")), _phone(m, key))
+            .when(F.startswith(m, F.lit("+1")), _phone(m, key))
+            .when(F.startswith(m, F.lit("+")), _international(m, key))
+            .when(m.rlike(f"^{NATIONAL}$"), _national(m, key))
+            .when(m.rlike("^(?:" + "|".join(shape for shape, _ in DATES) + ")$"), _written_date(m, key))
             .when(F.startswith(m, F.lit("AKIA")), F.concat(
                 F.lit("AKIA"), F.upper(F.substring(_hex(m, key, "aws"), 1, 16))))
             .when(F.contains(m, F.lit(".")), _ip(m, key))
             .when(m.rlike(r"^\d{4}-\d{2}-\d{2}$"), _date(m, key))
             .when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), _ssn(m, key))
-            .when(m.rlike(r"^\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}$")
+            .when(m.rlike(r"^\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}$") | m.rlike(r"^\d{4}[ -]\d{6}[ -]\d{5}$")
                   | (m.rlike(digits) & F.length(m).between(13, 19) & (F.pmod(luhn_sum(m), F.lit(10)) == 0)),
                   _card(m, key))
-            .when(F.contains(m, F.lit("=")), F.concat(
-                F.regexp_extract(m, "^[^=]*=[ \"]*", 0),
-                F.substr(_hex(F.regexp_extract(m, "[0-9a-f]+$", 0), key, "secret"), F.lit(1),
-                         F.length(F.regexp_extract(m, "[0-9a-f]+$", 0)))))
             .otherwise(m))
 
 
 def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, text, n_found, n_replaced) of every whole text.
 
-    Handled: card numbers (Luhn), +1 phone numbers, social security numbers,
-    IPv4 addresses and ISO dates by permutation within the format; e-mail
-    addresses, access keys and passwords or tokens by a keyed digest of the
-    same shape.  A pseudonymised card is again a valid card, a date a date.
+    Handled: card numbers (Luhn; also in groups of 4-4-4-4 and 4-6-5), phone
+    numbers (+1, other +country, North American without country code), social
+    security numbers, IPv4 addresses and dates (ISO, also before a time;
+    ``DATES``) by permutation within the format; e-mail addresses, access keys
+    and the values of password, token or key settings by a keyed digest.  A
+    date of two readings (03/04/2024) is read as ``DATES`` says, so in that one
+    form two values may share a pseudonym.  A pseudonymised card is again a valid card, a date a date.
     A null text stays null with counts 0, an empty one empty; repeated rows
     are kept; an empty table gives an empty result; other columns are not
     read.

@@ -1,6 +1,45 @@
-"""Further forms of personal data."""
+"""Further forms of personal data, each found, moved within its form and linked."""
 
-from test_pii import run
+import re
+
+import pytest
+from test_pii import luhn_ok, run
+
+FORMS = ["+1-682-555-7369", "+1.682.555.7369", "(682) 555-7369", "682-555-7369", "682.555.7369", "1-682-555-7369",
+         "+44 20 7946 0958", "+442079460958", "+49 (30) 1234567", "01/02/2024", "25/12/2024", "2024/01/02", "01.02.2024", "1.2.2024",
+         "25-12-2024", "2 January 2024", "Mar 2, 2024", "3782 822463 10005", "3782-822463-10005"]
+
+
+def test_forms(spark):
+    got = run(spark, *[f"see {x}, or {x}." for x in FORMS])
+    for x, r in zip(FORMS, got):
+        assert (r["n_found"], r["n_replaced"]) == (2, 2), x
+        a, b = re.fullmatch(r"see (.+), or (.+)\.", r["text"]).groups()
+        assert a == b and a != x
+        if x[0].isdigit() and " J" not in x and not re.fullmatch(r"\d\.\d\.\d{4}", x) or x[0] in "+(":
+            assert re.sub(r"\d", "9", a) == re.sub(r"\d", "9", x)
+        if x.startswith("3782"):
+            assert luhn_ok(re.sub(r"\D", "", a))
+
+
+def test_dates_in_all_forms_stay_linked(spark):
+    iso, stamp, slash, dots = (r["text"] for r in run(spark, "2024-01-02", "2024-01-02T10:00:00Z", "01/02/2024", "02.01.2024"))
+    y, m, d = iso.split("-")
+    assert iso != "2024-01-02"
+    assert stamp == iso + "T10:00:00Z" and slash == f"{m}/{d}/{y}" and dots == f"{d}.{m}.{y}"
+
+
+@pytest.mark.parametrize("head,value", [("password=", "Hunter2secret99"), ("token=", "04dbeb0011223344aabb"), ("API_KEY: '", "x@y!z"),
+                                        ('"client_secret": "', "Ab-Cd-Ef"), ("db_passwd=", "häslich")])
+def test_secrets(spark, head, value):
+    r = run(spark, f"a {head}{value}' b")[0]
+    assert value not in r["text"] and r["text"].startswith(f"a {head}") and r["text"].endswith("' b")
+    assert (r["n_found"], r["n_replaced"]) == (1, 1)
+
+
+def test_what_is_no_personal_data_stays(spark):
+    text = "1234 822463 10005, 123-555-7369, 682-155-7369, 13/32/2024, 31.02.2024, token = next(it), the secret: none, 1.2.3.2024"
+    assert run(spark, text)[0]["text"] == text
 
 
 def test_keys_without_a_digit_are_found_without_digits_around(spark):
