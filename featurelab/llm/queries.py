@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurelab.llm import (bpe, decontaminate, language_id, line_dedup, pii, quality_gam, simhash_dedup,
-                            suffix_dedup, token_count, topk_search)
+                            suffix_dedup, token_count, topk_search, warc)
 from featurelab.llm.common import workers_import
+from featurelab.session import scratch_path
 from featurelab.sources.tables import table
 
 PSEUDONYM_KEY = "featurelab"  # production jobs pass their own
@@ -85,6 +86,24 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as a WARC archive and read back from it."""
+    pages = warc.mark_revisits(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "page_id", "html")
+    urn = [F.when(F.col(c).isNotNull(), F.concat(F.lit("urn:page:"), F.col(c).cast("string"))).alias(n)
+           for c, n in (("page_id", "record_id"), ("refers_to", "refers_to"))]
+    path = scratch_path(spark, "op11-warc")
+    warc.write_archive(pages.select(*urn, "record_type", F.col("url").alias("target_uri"), "payload_digest",
+                                    "payload_length", F.lit("text/html; charset=utf-8").alias("content_type"),
+                                    "payload"), path)
+    back = warc.read_archive(spark, path).where(F.col("record_type").isin("response", "revisit"))
+    page = [F.substring_index(c, ":", -1).cast("long").alias(n) for c, n in (("record_id", "page_id"), ("refers_to", "refers_to"))]
+    whole = F.col("record_type") == "response"  # its bytes are at hand: measured again, not taken from the headers
+    return back.select(
+        page[0], F.when(whole, F.octet_length("payload").cast("long")).otherwise(F.col("payload_length")).alias("payload_bytes"),
+        F.when(whole, warc.base32_sha1(F.col("payload"))).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type", page[1])
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents."""
     import corpus_pipeline
@@ -102,7 +121,7 @@ def _ready(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _ready(f) for f in (op1_simhash_dedup, op2_bpe, op3_pii, op4_line_dedup, op5_language_id, op6_token_counts,
-                            op7_quality, op8_decontaminate, op9_topk, op10_suffix_dedup, pipeline)}
+                            op7_quality, op8_decontaminate, op9_topk, op10_suffix_dedup, op11_warc, pipeline)}
 
 OP9_SQL = """
 WITH v AS (
