@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurelab.llm import (bpe, decontaminate, language_id, line_dedup, pii, quality_gam, simhash_dedup,
-                            suffix_dedup, token_count, topk_search, warc)
+from featurelab.llm import (bpe, decontaminate, language_id, line_dedup, periodic_runs, pii, quality_gam,
+                            simhash_dedup, suffix_dedup, token_count, topk_search, warc)
 from featurelab.llm.common import workers_import
 from featurelab.session import scratch_path
 from featurelab.sources.tables import table
@@ -104,6 +104,47 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type", page[1])
 
 
+def repeated_tail(doc_id: Column, text: Column) -> Column:
+    """Op 13's input: with h = crc32 of the id in decimal, one text in ten
+    repeats its words from word a on with period p (a, p from h); the others,
+    and texts of a null id, stay as they are."""
+    words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    h = F.crc32(doc_id.cast("string"))
+
+    def cut(w: Column) -> Column:
+        g, n = F.floor(h / 10), F.size(w)
+        a = F.pmod(g, n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))).cast("int")
+        tail = F.transform(F.sequence(a, n - 1), lambda i: F.get(w, a + F.pmod(i - a, p)))
+        return F.when(n > 0, F.array_join(F.concat(F.slice(w, 1, a), tail), " ")).otherwise(text)
+
+    # a one-element array gives the words a name, so they are split once
+    one = F.transform(F.array(words), cut)
+    return F.when(F.pmod(h, F.lit(10)) == 0, F.get(one, F.lit(0))).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of at least 24 words and three periods in all documents, and the
+    texts without their repeats, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", repeated_tail(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs.collapse_runs(docs, min_words=24, min_periods=3).drop("text")
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listing = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    # greater exponent first, without division: lengths and periods cross-multiplied
+    ahead = lambda x, y: (x["length"].cast("decimal(19,0)") * y["period"], y["length"].cast("decimal(19,0)") * x["period"])
+
+    def better(x: Column, y: Column) -> Column:
+        a, b = ahead(x, y)
+        return F.when(x.isNull() | (b > a) | ((a == b) & (F.struct(y["start"], y["period"]) < F.struct(x["start"], x["period"]))),
+                      y).otherwise(x)
+
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), better)
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(listing, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline over all documents."""
     import corpus_pipeline
@@ -121,7 +162,8 @@ def _ready(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _ready(f) for f in (op1_simhash_dedup, op2_bpe, op3_pii, op4_line_dedup, op5_language_id, op6_token_counts,
-                            op7_quality, op8_decontaminate, op9_topk, op10_suffix_dedup, op11_warc, pipeline)}
+                            op7_quality, op8_decontaminate, op9_topk, op10_suffix_dedup, op11_warc, op13_periodic_runs,
+                            pipeline)}
 
 OP9_SQL = """
 WITH v AS (

@@ -333,6 +333,7 @@ class WarcReader(DataSourceReader):
         self.path = options["path"]
         self.with_payload = options.get("payload", "true").lower() != "false"
         self.partition_bytes = int(options.get("partitionBytes", PARTITION_BYTES))
+        self.cores = int(options.get("cores", 1))
         self.tests: list[tuple[str, str, object]] = []
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
@@ -350,10 +351,13 @@ class WarcReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> list[Files]:
-        """Files of about ``partitionBytes`` together; a larger one alone."""
-        parts, held = [], self.partition_bytes
-        for path, size in archive_files(self.path):
-            if held + size > self.partition_bytes:
+        """Files of about ``partitionBytes`` together, or less where that left
+        some of the ``cores`` idle; a larger file alone."""
+        files = archive_files(self.path)
+        most = min(self.partition_bytes, max(1 << 20, sum(n for _, n in files) // self.cores))
+        parts, held = [], most
+        for path, size in files:
+            if held + size > most:
                 parts.append(Files([]))
                 held = 0
             parts[-1].paths.append((path, size))
@@ -392,7 +396,7 @@ class WarcSource(DataSource):
     """``spark.read.format("warc")`` / ``df.write.format("warc")``.
 
     Read options: ``payload`` (``false`` leaves all payloads undecoded),
-    ``partitionBytes``.  Write options: ``fileBytes``, ``level``, ``date``.
+    ``partitionBytes``, ``cores``.  Write options: ``fileBytes``, ``level``, ``date``.
     """
 
     @classmethod
@@ -444,7 +448,8 @@ def read_archive(spark: SparkSession, path: str, payload: bool = True, **options
     payload at all.  A revisit's payload is null and its ``payload_length``
     that of the page it stands for."""
     register(spark)
-    src = spark.read.format("warc").option("payload", str(payload).lower())
+    src = (spark.read.format("warc").option("payload", str(payload).lower())
+           .option("cores", str(spark.sparkContext.defaultParallelism)))
     for k, v in options.items():
         src = src.option(k, str(v))
     return src.load(path).where(F.col("record_type").isin("response", "revisit", "resource", "request", "metadata",
