@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurelab.llm import (bpe, decontaminate, language_id, line_dedup, periodic_runs, pii, quality_gam,
-                            simhash_dedup, suffix_dedup, token_count, topk_search, warc)
+from featurelab.llm import (bpe, decontaminate, language_id, line_dedup, periodic_runs, phrases, pii,
+                            quality_gam, simhash_dedup, suffix_dedup, token_count, topk_search, warc)
 from featurelab.llm.common import workers_import
 from featurelab.session import scratch_path
 from featurelab.sources.tables import table
@@ -104,6 +104,11 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type", page[1])
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2,000 best phrases of two or three words, met 10 times."""
+    return phrases.collocations(table(spark, sf_dir, "documents"), depth=3, min_count=10, swallow_pct=50, top=2000)
+
+
 def repeated_tail(doc_id: Column, text: Column) -> Column:
     """Op 13's input: with h = crc32 of the id in decimal, one text in ten
     repeats its words from word a on with period p (a, p from h); the others,
@@ -162,7 +167,8 @@ def _ready(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _ready(f) for f in (op1_simhash_dedup, op2_bpe, op3_pii, op4_line_dedup, op5_language_id, op6_token_counts,
-                            op7_quality, op8_decontaminate, op9_topk, op10_suffix_dedup, op11_warc, op13_periodic_runs,
+                            op7_quality, op8_decontaminate, op9_topk, op10_suffix_dedup, op11_warc, op12_phrases,
+                            op13_periodic_runs,
                             pipeline)}
 
 OP9_SQL = """
@@ -179,4 +185,55 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-SQL: dict[str, str] = {"op9_topk": OP9_SQL}
+OP11_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS s
+  FROM pages),
+g AS (SELECT h, max(page_id) AS top FROM p GROUP BY h)
+SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+         (CAST('0x' || substr(p.s, 1 + 5 * CAST(i // 4 AS INTEGER), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1)),
+         'string_agg', '') AS payload_digest,
+       CASE WHEN g.top IS NOT NULL AND p.page_id IS DISTINCT FROM g.top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN p.page_id IS DISTINCT FROM g.top THEN g.top END AS refers_to
+FROM p JOIN g USING (h)
+"""
+
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda v: v <> '') AS ws FROM pieces),
+g AS (
+  SELECT lang, 1 AS k, unnest(ws) AS phrase FROM w
+  UNION ALL
+  SELECT lang, 2, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM w
+  UNION ALL
+  SELECT lang, 3, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) FROM w),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS v FROM f WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT lang, phrase, a, 1 AS j, v[1] AS head, array_to_string(v[2:], ' ') AS rest FROM c
+  UNION ALL
+  SELECT lang, phrase, a, 2, v[1] || ' ' || v[2], v[3] FROM c WHERE k = 3),
+s AS (
+  SELECT cuts.lang, cuts.phrase, a, j, x.f AS l, y.f AS r,
+         CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = head JOIN f y ON y.lang = cuts.lang AND y.phrase = rest),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS o FROM s),
+longer AS (
+  SELECT lang, phrase, max(a) AS a FROM (
+    SELECT lang, v[1] || ' ' || v[2] AS phrase, a FROM c WHERE k = 3
+    UNION ALL
+    SELECT lang, v[2] || ' ' || v[3], a FROM c WHERE k = 3) GROUP BY lang, phrase),
+kept AS (
+  SELECT b.lang, b.phrase, b.a, l, r, score,
+         row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, b.phrase) AS rank
+  FROM b LEFT JOIN longer ON longer.lang = b.lang AND longer.phrase = b.phrase
+  WHERE o = 1 AND (longer.a IS NULL OR 100 * longer.a < 50 * b.a))
+SELECT kept.lang, rank, phrase, a, l, r, n, score FROM kept JOIN n ON n.lang = kept.lang WHERE rank <= 2000
+"""
+
+SQL: dict[str, str] = {"op9_topk": OP9_SQL, "op11_warc": OP11_SQL, "op12_phrases": OP12_SQL}
