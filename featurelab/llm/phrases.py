@@ -1,17 +1,20 @@
 """Phrase collocations from an FM-index per shard over word ids (operator 12).
 
-A shard is the pieces of one language that a task holds in about 16 MB of
+A shard is the pieces of one language that a task holds in about 8 MB of
 text.  Its words become ids, a piece ends in the sentinel 0, and two
 Burrows-Wheeler transforms (of the ids and of the ids reversed) answer interval
 extensions in both directions at once: a phrase's interval grows by a word to
 the right or left, and the phrase's extensions on a side are the distinct
 symbols of its interval in that side's transform.  All intervals of one depth
-are extended together in numpy.  Spark sums the counts across shards and does
-the scores with joins.
+are extended together in numpy.  A shard's phrases leave it dealt into buckets by
+their hash, a bucket's phrases packed in one row; Spark shuffles the buckets,
+whose number follows the bytes of text, and each is summed on its own.  Scores
+come from joins of the phrases that are frequent.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,8 +25,8 @@ from pyspark.sql import functions as F
 
 from featurelab.llm.common import shared_table, small_side, text_rows
 
-SHARD_BYTES = 16 << 20
-OUT_ROWS = 100_000
+SHARD_BYTES = 8 << 20
+BUCKET_BYTES = 2 << 20  # of text for each bucket: about a million phrases of up to three words
 #: fixed values of the operator: piece separators and word separators (bytes)
 PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 WORD_ENDS = b" \t"
@@ -123,22 +126,74 @@ class BiIndex:
             yield words, size
 
 
-def shard_counts(texts: list[bytes], depth: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """(phrases, counts) of a shard, then the number of its words under ''."""
+def shard_counts(texts: list[bytes], depth: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """(phrases, counts, hashes) of a shard's phrases of each depth, then the
+    number of its words under ''."""
     symbols, words = word_ids(texts)
     if not len(symbols):
         return
-    names = words.cast(pa.large_string())
+    names = words.cast(pa.large_binary())
+    hashes = np.fromiter(map(crc_pair, words.to_pylist()), dtype=np.uint64, count=len(words))
     for ids, count in BiIndex(symbols, len(words), depth).phrases(depth):
-        for a in range(0, len(ids), OUT_ROWS):
-            cols = [names.take(pa.array(ids[a:a + OUT_ROWS, i] - 1)) for i in range(ids.shape[1])]
-            phrase = cols[0] if len(cols) == 1 else pc.binary_join_element_wise(*cols, pa.scalar(" ", pa.large_string()))
-            yield phrase.cast(pa.string()), count[a:a + OUT_ROWS]
-    yield pa.array([""]), np.array([int((symbols > 0).sum())])
+        cols = [names.take(pa.array(ids[:, i] - 1)) for i in range(ids.shape[1])]
+        phrase = cols[0] if len(cols) == 1 else pc.binary_join_element_wise(*cols, pa.scalar(b" ", pa.large_binary()))
+        h = np.zeros(len(ids), dtype=np.uint64)
+        for i in range(ids.shape[1]):
+            h = mixed(h * np.uint64(3) + hashes[ids[:, i] - 1])
+        yield phrase, count, h
+    yield pa.array([b""], pa.large_binary()), np.array([int((symbols > 0).sum())]), np.zeros(1, dtype=np.uint64)
+
+
+def crc_pair(word: bytes) -> int:
+    """64 bits of a word that are alike in every worker."""
+    return zlib.crc32(word) << 32 | zlib.adler32(word)
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Bits spread over the whole number (multiply and shift, twice)."""
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+def packed(lang: str, phrase: pa.Array, count: np.ndarray, bucket: np.ndarray) -> pa.RecordBatch:
+    """One row per bucket: its phrases' bytes, their lengths and their counts."""
+    order = np.argsort(bucket, kind="stable")
+    phrase, count, bucket = phrase.take(pa.array(order)), count[order], bucket[order]
+    at = np.frombuffer(phrase.buffers()[1], dtype=np.int64)[phrase.offset:phrase.offset + len(phrase) + 1]
+    new = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+
+    def rows(cuts: np.ndarray, data: pa.Buffer) -> pa.Array:
+        cuts = pa.py_buffer(cuts.astype(np.int32))
+        return pa.BinaryArray.from_buffers(pa.binary(), len(new) - 1, [None, cuts, data])
+
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[new[:-1]]), pa.array([lang]).take(pa.array(np.zeros(len(new) - 1, dtype=np.int8))),
+         rows(at[new], phrase.buffers()[2]), rows(new * 4, pa.py_buffer(np.diff(at).astype(np.int32))),
+         rows(new * 8, pa.py_buffer(count.astype(np.int64)))], ["bucket", "lang", "phrases", "lengths", "counts"])
+
+
+def bucket_sums(rows: pa.Table, min_count: int) -> pa.Table:
+    """(lang, phrase, f) of a bucket: the sums over its rows, at least
+    ``min_count`` (any, for the phrase '')."""
+    lang = rows.column("lang").combine_chunks().dictionary_encode()
+    code, parts = lang.indices.to_pylist(), []
+    for i, c in enumerate(code):
+        n = np.frombuffer(rows.column("lengths")[i].as_buffer(), dtype=np.int32)
+        data = rows.column("phrases")[i].as_buffer()
+        cuts = pa.py_buffer(np.concatenate([[0], np.cumsum(n)]).astype(np.int64))
+        parts.append(pa.table({
+            "lang": pa.array(np.full(len(n), c, dtype=np.int32)),
+            "phrase": pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(n), [None, cuts, data]),
+            "f": np.frombuffer(rows.column("counts")[i].as_buffer(), dtype=np.int64)}))
+    sums = pa.concat_tables(parts).group_by(["lang", "phrase"], use_threads=False).aggregate([("f", "sum")])
+    sums = sums.filter(pc.or_(pc.greater_equal(sums["f_sum"], min_count), pc.equal(pc.binary_length(sums["phrase"]), 0)))
+    return pa.table({"lang": lang.dictionary.take(sums["lang"].combine_chunks()), "phrase": sums["phrase"].cast(pa.string()),
+                     "f": sums["f_sum"]})
 
 
 def phrase_counts(docs: DataFrame, depth: int = 3, min_count: int = 10, text_col: str = "text",
-                  lang_col: str = "lang", shard_bytes: int = SHARD_BYTES) -> DataFrame:
+                  lang_col: str = "lang", shard_bytes: int = SHARD_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(lang, phrase, n_words, f) of the phrases of up to ``depth`` words met
     at least ``min_count`` times in their language, and per language one row of
     the phrase '' with ``n_words`` 0, whose f counts all its words.
@@ -151,6 +206,8 @@ def phrase_counts(docs: DataFrame, depth: int = 3, min_count: int = 10, text_col
     """
     src = text_rows(docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                                 F.col(text_col).cast("string").alias("t")).where("t <> ''"))
+    total = src.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    buckets = np.uint64(1 + total // bucket_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = {}
@@ -158,10 +215,8 @@ def phrase_counts(docs: DataFrame, depth: int = 3, min_count: int = 10, text_col
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang in list(held):
-                for phrase, count in shard_counts(held.pop(lang), depth):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang]).take(pa.array(np.zeros(len(phrase), dtype=np.int8))), phrase,
-                         pa.array(count, pa.int64())], ["lang", "phrase", "f"])
+                for phrase, count, h in shard_counts(held.pop(lang), depth):
+                    yield packed(lang, phrase, count, (h % buckets).astype(np.int64))
 
         for b in batches:
             for lang, text in zip(b.column("lang").to_pylist(), b.column("t").to_pylist()):
@@ -173,10 +228,10 @@ def phrase_counts(docs: DataFrame, depth: int = 3, min_count: int = 10, text_col
                     size = 0
         yield from flush()
 
+    dealt = src.mapInArrow(run, "bucket long, lang string, phrases binary, lengths binary, counts binary")
+    sums = dealt.groupBy("bucket").applyInArrow(lambda rows: bucket_sums(rows, min_count), "lang string, phrase string, f long")
     n_words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
-    return (src.mapInArrow(run, "lang string, phrase string, f long").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-            .where((F.col("f") >= min_count) | (F.col("phrase") == ""))
-            .select("lang", "phrase", n_words.cast("int").alias("n_words"), "f"))
+    return sums.select("lang", "phrase", n_words.cast("int").alias("n_words"), "f")
 
 
 def _words(a: object, b: object) -> object:

@@ -56,7 +56,8 @@ def rows(df):
 def test_index_counts(texts, depth):
     f, n = counted([("x", t) for t in texts], depth)
     want = {" ".join(w): c for (_, w), c in f.items()} | ({"": n["x"]} if n["x"] else {})
-    got = {p: c for ps, cs in P.shard_counts([t.encode() for t in texts], depth) for p, c in zip(ps.to_pylist(), cs.tolist())}
+    got = {p.decode(): c for ps, cs, _ in P.shard_counts([t.encode() for t in texts], depth)
+           for p, c in zip(ps.to_pylist(), cs.tolist())}
     assert got == want
 
 
@@ -69,6 +70,12 @@ def test_deep_keys_are_packed_in_several_numbers():
     assert [int(x) for x in deep.bwt] == [int(symbols[i - 1]) for i in rows]
 
 
+def test_a_phrase_has_one_hash_in_all_shards():
+    one, two = ({p: h for ps, _, hs in P.shard_counts([t], 3) for p, h in zip(ps.to_pylist(), hs.tolist())}
+                for t in (b"a b c d", b"x d. a b c"))
+    assert all(one[p] == two[p] for p in (b"a", b"a b", b"b c", b"a b c", b"d")) and one[b"a b"] != one[b"b c"]
+
+
 def test_both_intervals_stay_in_step():
     symbols, words = P.word_ids([b"a b a b c. a b a c, b a b"])
     index = P.BiIndex(symbols, len(words), 4)
@@ -109,6 +116,6 @@ def test_deeper_phrases_ties_and_small_shards(spark, broadcast_bytes):
     df = spark.createDataFrame(docs, "lang string, text string")
     got = P.collocations(df, depth=4, min_count=3, top=25, broadcast_bytes=broadcast_bytes)
     assert rows(got) == brute(docs, depth=4, min_count=3, top=25)
-    parts = P.phrase_counts(df, 2, 3, shard_bytes=100).collect()
+    parts = P.phrase_counts(df, 2, 3, shard_bytes=100, bucket_bytes=90).collect()
     whole = P.phrase_counts(df, 2, 3).collect()
     assert sorted(map(tuple, parts)) == sorted(map(tuple, whole))
