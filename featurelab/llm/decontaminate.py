@@ -212,7 +212,7 @@ def index_parts(bench: DataFrame, item_col: str = "item_id", text_col: str = "te
         for b in batches:
             rows = [(w, 1, n) for t in b["t"] for ws in [words_of(t)] for w, n in
                     [*((w, 0) for w in set(ws)), *([("", len(ws))] if ws else [])]]
-            yield pd.DataFrame(rows, columns=["w", "df", "n"])
+            yield pd.DataFrame(rows, columns=["w", "df", "n"]).astype({"w": object, "df": "int64", "n": "int64"})
 
     terms = (items.mapInPandas(count, "w string, df long, n long").groupBy("w")
              .agg(F.sum("df").alias("df"), F.sum("n").alias("n"), F.max("n").alias("longest")))
@@ -225,7 +225,7 @@ def index_parts(bench: DataFrame, item_col: str = "item_id", text_col: str = "te
 
     def vocabulary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"w": sorted({w for t in b["t"] for w in words_of(t)})})
+            yield pd.DataFrame({"w": sorted({w for t in b["t"] for w in words_of(t)})}, dtype=object)
 
     for k in range(parts):
         mine = numbered.where(F.col("part") == k)

@@ -104,3 +104,9 @@ def test_odd_rows(spark):
     assert D.find_leaks(docs, bench.limit(0)).collect() == []
     assert D.drop_leaks(docs, bench.limit(0)).count() == 7
     assert sorted(r["doc_id"] for r in D.drop_leaks(docs, bench).collect()) == [1, 2, 4, 7]
+
+
+def test_benchmark_partitions_without_words(spark):
+    bench = spark.createDataFrame([(1, "..."), (2, "!"), (3, "")], "item_id long, text string").repartition(3)
+    docs = spark.createDataFrame([(1, "some text of five words"), (2, None)], "doc_id long, text string")
+    assert D.find_leaks(docs, bench).collect() == [] and D.drop_leaks(docs, bench).count() == 2
