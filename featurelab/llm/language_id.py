@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featurelab.llm.common import shared_table, text_rows
+from featurelab.llm.common import shared_table, small_side, text_rows
 
 BUCKETS = 1 << 15
 ORDERS = (2, 3, 4)
@@ -104,8 +104,9 @@ class EcocModel:
 
 def bounded_sample(rows: DataFrame, by: str, key: str, bound: int) -> DataFrame:
     """About ``bound`` rows of each value of ``by``, all if it has fewer,
-    chosen by the hash of ``key`` (the same rows every time)."""
-    sizes = rows.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
+    chosen by the hash of ``key`` (the same rows every time).  The values'
+    counts go to the rows, which are not shuffled while those are proven few."""
+    sizes = small_side(shared_table(rows.groupBy(by).agg(F.count(F.lit(1)).alias("_n")), "lang-sizes"), 64)
     resolution = 1 << 30
     drawn = F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(resolution)) * F.col("_n")
     return rows.join(sizes, by).where(drawn < F.lit(resolution * bound)).drop("_n")
@@ -116,7 +117,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     """Fit on about ``max_docs`` rows of each non-null language."""
     ids = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("t"))
-    sample = shared_table(text_rows(bounded_sample(ids, "lang", "id", max_docs)), "lang-sample")
+    sample = text_rows(shared_table(bounded_sample(ids, "lang", "id", max_docs), "lang-sample"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[str, np.ndarray] = {}

@@ -71,3 +71,12 @@ def test_odd_rows(spark):
     assert {r["lang_pred"] for r in I.predict(df, nothing).collect()} == {"und"}
     single = I.train(df.where("lang = 'en'"))
     assert {r["lang_pred"] for r in I.predict(df.where("doc_id = 2"), single).collect()} == {"en"}
+
+
+def test_sample_does_not_shuffle_texts(spark):
+    df = spark.createDataFrame([(i, "xy"[i % 2], "t" * 50) for i in range(4000)], "id long, lang string, t string")
+    got = I.bounded_sample(df, "lang", "id", 100)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert all(60 < n < 140 for n in [got.where(f"lang = '{x}'").count() for x in "xy"])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, I.bounded_sample(df.repartition(7), "lang", "id", 100).collect()))
