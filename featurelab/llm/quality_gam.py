@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featurelab.llm.common import text_rows
+from featurelab.llm.common import shared_table, small_side, text_rows
 
 MAX_TRAIN_ROWS = 20_000  # the documented bound of the training sample
 BINS, PAIR_BINS = 32, 8
@@ -212,7 +212,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         resolution = 1 << 30
         target = target.where(F.pmod(F.xxhash64("_id", F.lit("sample")), F.lit(resolution))
                               < F.lit(resolution * max_rows // n))
-    chosen = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(target, "_id")
+    target = small_side(shared_table(target, "quality-sample"), 32)
+    chosen = shared_table(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(target, "_id"),
+                          "quality-texts")
     rows = features(chosen, "_text", [F.col("_id"), F.col("_y")]).toPandas().sort_values("_id", kind="stable")
     x = np.array(rows["x"].tolist(), dtype=float).reshape(-1, len(FEATURES))
     return fit_gam(x, rows["_y"].to_numpy(dtype=float))
