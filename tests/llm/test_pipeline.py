@@ -26,7 +26,7 @@ def test_stages(spark, tmp_path):
     assert all(x.columns == docs.columns for x in d[:5])
     scored = quality_gam.score(docs, quality_gam.train(docs, labels))
     assert ids(d[1]) == ids(scored.where("predicted = 1"))
-    cut = {r["doc_id"]: r for r in line_dedup.dedup_lines(d[1]).collect()}
+    cut = {r["doc_id"]: r for r in line_dedup.dedup_lines(d[1], whole=True).collect()}
     assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in d[2].collect()} == {
         k: (r["text"], len(r["text"]) if r["n_removed"] else r["n_chars"]) for k, r in cut.items()}
     groups = simhash_dedup.simhash_components(d[2])
@@ -56,6 +56,6 @@ def test_registered():
     import __spark_entry__ as E
     names = E.queries()
     assert [n for n in names if n in QUERIES] == list(QUERIES)
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
     assert set(SQL) <= set(E.oracle_sql())
     assert 4 <= len(C.STAGES) <= 5
