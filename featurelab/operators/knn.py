@@ -1,88 +1,32 @@
-"""Exact k-nearest neighbours by tiles.
+"""Exact k-nearest neighbours (T6, F10) over the partitioned vector index.
 
-Queries and corpus are cut into hash blocks; every (query block, corpus
-block) tile is one cogrouped group, where numpy computes the distances of a
-bounded number of rows and keeps only the k nearest per query.  A final
-``row_number() <= k`` per query merges the tiles.  No pair table is ever
-materialised and no group grows beyond the block sizes; the total work is
-the inherent |queries| x |corpus| of an exact search.
+``vector_index`` opens only the cells that the triangle inequality cannot rule
+out, so the work follows the spread of the data: clustered vectors meet few
+others, and in the worst case every (query, vector) tile of an exact search is
+opened, each of bounded size.  No pair table is ever materialised.
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TILE_SCHEMA = "qid long, tid long, dist double, tlabel long"
-
-
-def _tile_topk(k: int, exclude_self: bool):
-    def fn(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or c.empty:
-            return pd.DataFrame({"qid": [], "tid": [], "dist": [], "tlabel": []})
-        qv = np.stack(q["v"].to_numpy()).astype(np.float64)
-        cv = np.stack(c["cv"].to_numpy()).astype(np.float64)
-        qids = q["id"].to_numpy(dtype=np.int64)
-        cids = c["cid"].to_numpy(dtype=np.int64)
-        clab = c["clabel"].to_numpy(dtype=np.int64)
-        out: dict[str, list] = {"qid": [], "tid": [], "dist": [], "tlabel": []}
-        for r in range(len(qv)):
-            # direct differences (not |a|^2 + |b|^2 - 2ab): no cancellation,
-            # so near-ties order the same way as an exact computation
-            dist = np.sqrt(((cv - qv[r]) ** 2).sum(1))
-            if exclude_self:
-                dist[cids == qids[r]] = np.inf
-            near = np.argpartition(dist, k - 1)[:k] if k < len(dist) else np.arange(len(dist))
-            # rows tied with the k-th distance compete by id, and k of them leave
-            at = np.flatnonzero((dist <= dist[near].max()) & np.isfinite(dist))
-            at = at[np.lexsort((cids[at], dist[at]))[:k]]
-            out["qid"].append(np.full(len(at), qids[r]))
-            out["tid"].append(cids[at])
-            out["dist"].append(dist[at])
-            out["tlabel"].append(clab[at])
-        return pd.DataFrame({c: np.concatenate(x) for c, x in out.items()})
-    return fn
+from featurelab.operators.vector_index import CELL_ROWS, FEW_BYTES, VectorIndex
 
 
 def nearest(queries: DataFrame, corpus: DataFrame, k: int, exclude_self: bool = False,
-            query_block_rows: int = 2048, corpus_block_rows: int = 16384,
-            group: str | None = None) -> DataFrame:
-    """k nearest corpus rows per query (Euclidean), ties by smaller id.
-
-    ``queries``: (id bigint, v array<double>[, group]); ``corpus``: (id, v,
-    label[, group]).  With ``group`` only rows of the same group are
-    candidates (e.g. same-class neighbours for SMOTE) and all groups share
-    one tiled job.  The corpus side is renamed so both cogroup sides never
-    share column names (a self-cogroup of one lineage would otherwise mix
-    them up).  Block counts come from one small count per side.
+            query_block_rows: int = 1024, corpus_block_rows: int = CELL_ROWS,
+            group: str | None = None, few_bytes: int = FEW_BYTES) -> DataFrame:
+    """(qid, tid, dist, tlabel, rank): k nearest corpus rows per query
+    (Euclidean), ties by smaller id.
+
+    ``queries``: (id, v array<double>[, group]); ``corpus``: (id, v, label[,
+    group]).  With ``group`` only rows of the same group are candidates (e.g.
+    same-class neighbours for SMOTE); null is a group too.  Rows whose vector
+    is null or holds a null or non-finite value take no part.
     """
-    g = [group] if group else []
-
-    def max_group_size(df: DataFrame) -> int:
-        if not group:
-            return df.count()
-        row = df.groupBy(group).count().agg(F.max("count").alias("m")).first()
-        return int(row["m"] or 0)
-
-    nq, nc = max_group_size(queries), max_group_size(corpus)
-    qb = max(1, math.ceil(nq / query_block_rows))
-    cb = max(1, math.ceil(nc / corpus_block_rows))
-    q = (queries.withColumn("_qb", F.pmod(F.xxhash64("id"), F.lit(qb)))
-         .withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1))))
-         .select(*g, "_qb", "_cb", "id", "v"))
-    c = (corpus.withColumn("_cb", F.pmod(F.xxhash64("id"), F.lit(cb)))
-         .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1))))
-         .select(*[F.col(x).alias("_grp") for x in g], "_qb", "_cb", F.col("id").alias("cid"),
-                 F.col("v").alias("cv"), F.col("label").cast("long").alias("clabel")))
-    qg = q.groupBy(*g, "_qb", "_cb")
-    cg = c.groupBy(*(["_grp"] if group else []), "_qb", "_cb")
-    tiles = qg.cogroup(cg).applyInPandas(_tile_topk(k, exclude_self), TILE_SCHEMA)
-    w = Window.partitionBy("qid").orderBy("dist", "tid")
-    return tiles.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    index = VectorIndex.build(corpus, "id", "v", "label", group, cell_rows=corpus_block_rows)
+    return index.search(queries, "id", "v", k, group, exclude_self, query_block_rows, few_bytes).withColumnRenamed("key", "dist")
 
 
 def knn_classify(train: DataFrame, test: DataFrame, k: int = 5) -> DataFrame:

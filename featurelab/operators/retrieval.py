@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from featurelab.operators.vector_index import CELL_ROWS, VectorIndex
+
 
 def centroids(df: DataFrame, key: str, vec: str) -> DataFrame:
     """Mean vector per key: one (key, dim) partial aggregate, re-assembled
@@ -20,56 +19,26 @@ def centroids(df: DataFrame, key: str, vec: str) -> DataFrame:
         F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias(vec))
 
 
-def _cosine_tile(k: int):
-    """The k most similar corpus rows of one tile for each of its queries."""
-
-    def fn(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        out: dict[str, list] = {"qid": [], "tid": [], "score": []}
-        if len(q) and len(c):
-            cv = np.stack(c["cv"].to_numpy()).astype(np.float64)
-            norm = np.sqrt((cv * cv).sum(1))
-            tid = c["tid"].to_numpy()
-            for qid, v in zip(q["qid"], q["v"]):
-                v = np.asarray(v, dtype=np.float64)
-                scale = norm * np.sqrt((v * v).sum())
-                at = np.flatnonzero(scale > 0)
-                score = (cv[at] * v).sum(1) / scale[at]
-                best = np.lexsort((tid[at], -score))[:k]
-                out["qid"] += [qid] * len(best)
-                out["tid"] += tid[at][best].tolist()
-                out["score"] += score[best].tolist()
-        return pd.DataFrame(out)
-
-    return fn
-
-
 def top_k_similar(corpus: DataFrame, corpus_id: str, corpus_vec: str, queries: DataFrame,
                   query_id: str, query_vec: str, k: int = 5, query_block: int = 1024,
-                  corpus_block: int = 16384) -> DataFrame:
+                  corpus_block: int = CELL_ROWS) -> DataFrame:
     """Top-k corpus rows by cosine similarity for every query (K9).
 
-    Queries and corpus are dealt into blocks; each (query block, corpus
-    block) tile is one group of bounded size that keeps k rows per query, and
-    ``row_number() <= k`` merges the tiles.  The same path serves any number
-    of queries, and ids keep their own type.  Zero vectors have no score and
-    are left out; ties go to the smaller id.
+    The corpus is indexed by cells around pivots and a query opens only those
+    that can hold one of its k best (see ``vector_index``).  Queries proven
+    few go to the tasks that scan the cells; more meet the cells in tiles of
+    bounded size.  Ids keep their own type.  Zero, null and non-finite vectors
+    have no score and are left out; ties go to the smaller id.
     """
-    qb = max(1, math.ceil(queries.count() / query_block))
-    cb = max(1, math.ceil(corpus.count() / corpus_block))
-    q = (queries.where(F.col(query_vec).isNotNull())
-         .select(F.col(query_id).alias("qid"), F.col(query_vec).cast("array<double>").alias("v"))
-         .withColumn("_qb", F.pmod(F.xxhash64("qid"), F.lit(qb)))
-         .withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1)))))
-    c = (corpus.where(F.col(corpus_vec).isNotNull())
-         .select(F.col(corpus_id).alias("tid"), F.col(corpus_vec).cast("array<double>").alias("cv"))
-         .withColumn("_cb", F.pmod(F.xxhash64("tid"), F.lit(cb)))
-         .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
-    schema = (f"qid {q.schema['qid'].dataType.simpleString()}, "
-              f"tid {c.schema['tid'].dataType.simpleString()}, score double")
-    tiles = q.groupBy("_qb", "_cb").cogroup(c.groupBy("_qb", "_cb")).applyInPandas(_cosine_tile(k), schema)
-    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("tid"))
-    top = tiles.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return top.select(F.col("qid").alias(query_id), "rank", F.col("tid").alias(corpus_id), "score")
+    index = VectorIndex.build(corpus, corpus_id, corpus_vec, metric="cosine", cell_rows=corpus_block)
+    return similar(index, queries, query_id, query_vec, corpus_id, k, query_block)
+
+
+def similar(index: VectorIndex, queries: DataFrame, query_id: str, query_vec: str, corpus_id: str,
+            k: int = 5, query_block: int = 1024) -> DataFrame:
+    """``top_k_similar`` over an index that is there already."""
+    top = index.search(queries, query_id, query_vec, k, query_block=query_block)
+    return top.select(F.col("qid").alias(query_id), "rank", F.col("tid").alias(corpus_id), (-F.col("key")).alias("score"))
 
 
 def citations(top: DataFrame, query_id: str, doc_id: str, extra: Sequence[str] = ()) -> DataFrame:

@@ -303,25 +303,7 @@ def version_compare(spark: SparkSession, d: str) -> DataFrame:
                       round4("score_delta").alias("score_delta"))
 
 
-# ---------------------------------------------------------------- K8 T15 K12
-
-
-@query("tfidf_embed", "K8")
-def tfidf_embed(spark: SparkSession, d: str) -> DataFrame:
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import HashingTF, IDF, Normalizer
-    from pyspark.ml.functions import vector_to_array
-    from featurelab.operators import text as X
-    docs = Tables(spark, d).documents
-    chunks = X.chunk_rows(docs, ["doc_id"], F.lower("text")).select("doc_id", "chunk_id", "tokens")
-    pipe = Pipeline(stages=[HashingTF(inputCol="tokens", outputCol="tf", numFeatures=1 << 14),
-                            IDF(inputCol="tf", outputCol="tfidf"),
-                            Normalizer(inputCol="tfidf", outputCol="embedding", p=2.0)])
-    emb = pipe.fit(chunks).transform(chunks)
-    arr = vector_to_array("embedding")
-    return emb.select("doc_id", "chunk_id",
-                      F.aggregate(F.transform(arr, lambda x: x * x), F.lit(0.0), lambda a, x: a + x)
-                      .alias("sq_norm"))
+# ---------------------------------------------------------------- T15 K12
 
 
 TRIAGE = ["toxic", "ok"]

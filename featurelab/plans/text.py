@@ -144,14 +144,12 @@ SELECT CAST(event_id AS VARCHAR) AS ticket_id, event_type, coalesce(c.category,
 FROM events LEFT JOIN c ON CAST(events.event_id AS VARCHAR) = c.ticket_id
 """)
 def response_correlation(spark: SparkSession, d: str) -> DataFrame:
-    """Predictions joined back to their source rows by the round-tripped id;
-    requests without an answer are marked (``left_anti`` finds them)."""
+    """Predictions joined back to their source rows by the round-tripped id, in
+    one left join; requests without an answer are marked."""
     ev = Tables(spark, d).events
     parsed = parse_responses_df(mock_responses(ev)).where(F.col("ticket_id") != "UNKNOWN")
     src = ev.select(F.col("event_id").cast("string").alias("ticket_id"), "event_type")
-    answered = src.join(parsed, "ticket_id", "inner")
-    unanswered = src.join(parsed, "ticket_id", "left_anti").withColumn("category", F.lit("unanswered"))
-    return answered.unionByName(unanswered)
+    return src.join(parsed, "ticket_id", "left").withColumn("category", F.coalesce("category", F.lit("unanswered")))
 
 
 # ---------------------------------------------------------------- P21 P16 P24
@@ -247,6 +245,86 @@ def retrieval_citations(spark: SparkSession, d: str) -> DataFrame:
     return citations(_centroid_topk(spark, d), "query", "vec_id")
 
 
+# ---------------------------------------------------------------- K8, and K7 to K10 in a row
+
+TOKENS_SQL = r"""CASE WHEN trim(regexp_replace(lower(text), '\s+', ' ', 'g')) = '' THEN []::VARCHAR[]
+                      ELSE string_split(trim(regexp_replace(lower(text), '\s+', ' ', 'g')), ' ') END"""
+EMBED_CTE = f"""
+WITH t AS (SELECT doc_id, {TOKENS_SQL} AS tok FROM documents),
+s AS (SELECT doc_id, tok, unnest(range(0, CASE WHEN len(tok) = 0 THEN 0
+                                               ELSE CAST((greatest(0, ceil((len(tok) - 512) / 412)) + 1) * 412 AS BIGINT) END, 412)) AS start
+      FROM t),
+ch AS (SELECT doc_id, CAST(start // 412 AS INTEGER) AS chunk_id, tok[start + 1:start + 512] AS tok FROM s),
+occ AS (SELECT doc_id, chunk_id, unnest(tok) AS w FROM ch),
+tf AS (SELECT doc_id, chunk_id, ('0x' || substr(md5(w), 1, 8))::BIGINT % 16384 AS b, count(*) AS tf FROM occ GROUP BY ALL),
+n AS (SELECT count(*) AS n FROM ch),
+df AS (SELECT b, count(*) AS df FROM tf GROUP BY b),
+idf AS (SELECT r.b, CAST(round(1000.0 * ln((n.n + 1.0) / (coalesce(df.df, 0) + 1.0))) AS BIGINT) AS w
+        FROM (SELECT unnest(range(0, 16384)) AS b) r LEFT JOIN df ON df.b = r.b, n),
+emb AS (SELECT doc_id, chunk_id, tf.b, tf.tf * idf.w AS v FROM tf JOIN idf ON idf.b = tf.b),
+norm AS (SELECT doc_id, chunk_id, count(*) AS n_terms, CAST(sum(v * v) AS BIGINT) AS norm2,
+                md5(string_agg(b || ':' || v, ',' ORDER BY b)) AS vec_md5 FROM emb GROUP BY doc_id, chunk_id)
+"""
+RAG_CTE = EMBED_CTE + f""",
+q0 AS (SELECT item_id, unnest({TOKENS_SQL}) AS w FROM benchmark),
+q1 AS (SELECT item_id, ('0x' || substr(md5(w), 1, 8))::BIGINT % 16384 AS b, count(*) AS tf FROM q0 GROUP BY ALL),
+q AS (SELECT item_id, q1.b, q1.tf * idf.w AS v FROM q1 JOIN idf ON idf.b = q1.b),
+qn AS (SELECT item_id, CAST(sum(v * v) AS BIGINT) AS norm2 FROM q GROUP BY item_id),
+dots AS (SELECT item_id, doc_id, chunk_id, CAST(sum(q.v * emb.v) AS BIGINT) AS dot FROM q JOIN emb ON emb.b = q.b
+         GROUP BY item_id, doc_id, chunk_id HAVING sum(q.v * emb.v) > 0),
+sc AS (SELECT dots.item_id, dots.doc_id || '#' || dots.chunk_id AS chunk, dot,
+              dot / (sqrt(CAST(qn.norm2 AS DOUBLE)) * sqrt(CAST(norm.norm2 AS DOUBLE))) AS score
+       FROM dots JOIN qn ON qn.item_id = dots.item_id JOIN norm ON norm.doc_id = dots.doc_id AND norm.chunk_id = dots.chunk_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, chunk) AS INTEGER) AS rank FROM sc)
+"""
+
+
+def _embedded(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(chunks, questions) as sparse vectors under the chunks' weights: the
+    documents in chunks, the benchmark items as questions (K7, K8)."""
+    from featurelab.operators import embed
+    from featurelab.session import materialize
+    t = Tables(spark, d)
+    chunks = X.chunk_rows(spread(t.documents), ["doc_id"], F.lower("text")).select(
+        "doc_id", F.col("chunk_id").cast("int").alias("chunk_id"), "tokens")
+    counts = materialize(embed.term_counts(chunks, "tokens", ["doc_id", "chunk_id"]))
+    idf = embed.idf_weights(counts)
+    questions = embed.term_counts(t.benchmark.select("item_id", X.tokens(F.lower("text")).alias("tokens")), "tokens", ["item_id"])
+    return embed.weighted(counts, idf), embed.weighted(questions, idf)
+
+
+@query("tfidf_embed", "K8", sql=EMBED_CTE + "SELECT doc_id, chunk_id, n_terms, norm2, vec_md5 FROM norm")
+def tfidf_embed(spark: SparkSession, d: str) -> DataFrame:
+    """Every chunk's sparse vector, by its number of buckets, norm and digest."""
+    chunks, _ = _embedded(spark, d)
+    pairs = F.zip_with("idx", "w", lambda i, w: F.concat_ws(":", i.cast("string"), w.cast("string")))
+    return chunks.select("doc_id", "chunk_id", F.size("idx").cast("long").alias("n_terms"), "norm2",
+                         F.md5(F.array_join(pairs, ",")).alias("vec_md5"))
+
+
+def _rag_hits(spark: SparkSession, d: str) -> DataFrame:
+    from featurelab.operators import embed
+    chunks, questions = _embedded(spark, d)
+    chunks = chunks.withColumn("chunk", F.concat_ws("#", "doc_id", "chunk_id"))
+    return embed.sparse_top_k(chunks, "chunk", questions, "item_id", k=5)
+
+
+@query("chunk_topk", "K7 K8 K9", sql=RAG_CTE + "SELECT item_id, rank, chunk, dot, round(score, 4) AS score FROM r WHERE rank <= 5")
+def chunk_topk(spark: SparkSession, d: str) -> DataFrame:
+    """The five chunks of all documents that are nearest to each question."""
+    return _rag_hits(spark, d).select("item_id", "rank", "chunk", "dot", round4("score").alias("score"))
+
+
+@query("rag_citations", "K7 K8 K9 K10", sql=RAG_CTE + """
+SELECT item_id, CAST(count(*) AS INTEGER) AS n_hits,
+       string_agg('[' || rank || '] ' || chunk, ' ' ORDER BY rank) AS citations FROM r WHERE rank <= 5 GROUP BY item_id
+""")
+def rag_citations(spark: SparkSession, d: str) -> DataFrame:
+    """Chunk, embed, search, cite: the whole chain for each question."""
+    from featurelab.operators.retrieval import citations
+    return citations(_rag_hits(spark, d), "item_id", "chunk")
+
+
 # ---------------------------------------------------------------- K11
 
 

@@ -84,6 +84,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return p
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers of functions made from now on import this package
+    from where the driver has it; a cluster whose executors do not share that
+    path gets the package by ``--py-files``."""
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
+
+
 SPREAD_MAX = 64
 
 

@@ -181,12 +181,42 @@ def test_ticket_triage_counts_every_document(spark):
     assert rows["other"] == 0
 
 
-def test_tfidf_vectors_unit_norm(spark):
-    from featurelab.plans.registry import load_all
-    out = load_all()["tfidf_embed"].fn(spark, SF_SMALL)
-    bad = out.where((F.abs(F.col("sq_norm") - 1.0) > 1e-9) & (F.col("sq_norm") != 0.0))
-    assert out.count() > 0 and bad.count() == 0
-
+def test_sparse_vectors_and_both_searches(spark):
+    from featurelab.operators import embed as E
+    rng = __import__("random").Random(3)
+    texts = [[rng.choice("abcdefghij") for _ in range(rng.randrange(0, 30))] for _ in range(200)] + [["a", None, "a"], None, [None]]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, tokens array<string>")
+    counts = E.term_counts(df, "tokens", ["id"], 64)
+    got = {r["id"]: dict(zip(r["idx"], r["tf"])) for r in counts.collect()}
+    import collections
+    import hashlib
+    slot = lambda t: int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % 64
+    want = {i: dict(collections.Counter(slot(t) for t in ts if t)) for i, ts in enumerate(texts) if ts and any(ts)}
+    assert got == want and all(list(v) == sorted(v) for v in got.values())
+    idf = E.idf_weights(counts, 64)
+    df_of = collections.Counter(b for v in want.values() for b in v)
+    import math
+    assert idf == [round(1000 * math.log((len(want) + 1) / (df_of[b] + 1))) for b in range(64)]
+    emb = E.weighted(counts, idf)
+    vec = {r["id"]: (dict(zip(r["idx"], r["w"])), r["norm2"]) for r in emb.collect()}
+    q = emb.where("id < 17").withColumnRenamed("id", "q")
+
+    def brute(a):
+        out = []
+        for i, (v, n) in vec.items():
+            dot = sum(x * v.get(b, 0) for b, x in vec[a][0].items())
+            if dot > 0:
+                out.append((-dot / (math.sqrt(vec[a][1]) * math.sqrt(n)), i))
+        return [i for _, i in sorted(out)[:4]]
+
+    for few in (1 << 20, 0):
+        top = E.sparse_top_k(emb, "id", q, "q", k=4, few_bytes=few).orderBy("q", "rank").collect()
+        by = collections.defaultdict(list)
+        for r in top:
+            by[r["q"]].append(r["id"])
+        assert dict(by) == {a: brute(a) for a in vec if a < 17 and brute(a)}
+    assert E.sparse_top_k(emb, "id", q.limit(0), "q").collect() == []
+    assert E.sparse_top_k(emb.limit(0), "id", q, "q").collect() == []
 
 def test_chunks_overlap_and_cover(spark):
     from featurelab.operators import text as X

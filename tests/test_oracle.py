@@ -44,7 +44,7 @@ def test_every_query_has_ids():
 # determinism and invariants elsewhere in tests/
 ROWS_ONLY = {"forest_score", "gbt_score", "logreg_score", "random_forest_classify", "gbt_regress",
              "poly_regression", "huber_regression", "kfold_cv", "auto_model_pick", "tuning_trials",
-             "importance_top_features", "predict_readback", "tfidf_embed", "ticket_triage",
+             "importance_top_features", "predict_readback", "ticket_triage",
              "gated_publish", "tree_attributions"}
 
 
