@@ -24,19 +24,24 @@ FEW_BYTES = 4 << 20  # of queries that go to the tasks that scan the corpus
 CELLS = 1 << 22      # (row, query) scores that a task holds at once
 
 
-def term_counts(rows: DataFrame, token_col: str, keep: list[str], buckets: int = BUCKETS) -> DataFrame:
-    """(*keep, idx array<int>, tf array<int>) of the rows that have tokens; a
-    projection.  Null tokens do not count."""
-    some = rows.select(*keep, F.filter(token_col, lambda t: t.isNotNull()).alias("_t")).where(F.size("_t") > 0)
+def term_counts(rows: DataFrame, token_col: str, keep: list[str], buckets: int = BUCKETS,
+                keep_empty: bool = False) -> DataFrame:
+    """(*keep, idx array<int>, tf array<int>) of the rows that have tokens, or
+    of all (``keep_empty``, then with empty arrays); a projection.  Null tokens
+    do not count."""
+    none = F.array().cast("array<int>")
+    real = F.coalesce(F.filter(token_col, lambda t: t.isNotNull()), F.array().cast("array<string>"))
+    hashed = F.array_sort(F.transform(real, lambda t: F.pmod(md5_prefix_int(t), F.lit(buckets)).cast("int")))
     # one-element explodes keep the sorted buckets and the starts of their runs as columns, read twice below
-    hashed = F.array_sort(F.transform("_t", lambda t: F.pmod(md5_prefix_int(t), F.lit(buckets)).cast("int")))
-    x = some.select(*keep, F.explode(F.array(hashed)).alias("_s"))
-    starts = F.filter(F.sequence(F.lit(1), F.size("_s")), lambda i: (i == 1) | (
-        F.get("_s", i - 1) != F.get("_s", F.greatest(i - 2, F.lit(0)))))
+    x = rows.select(*keep, F.explode(F.array(hashed)).alias("_s"))
+    if not keep_empty:
+        x = x.where(F.size("_s") > 0)
+    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size("_s"), F.lit(1))), lambda i: (i <= F.size("_s")) & (
+        (i == 1) | (F.get("_s", i - 1) != F.get("_s", F.greatest(i - 2, F.lit(0))))))
     x = x.select(*keep, "_s", F.explode(F.array(starts)).alias("_i"))
     ends = F.concat(F.slice("_i", F.lit(2), F.size("_i")), F.array(F.size("_s") + 1))
     return x.select(*keep, F.transform("_i", lambda i: F.get("_s", i - 1)).alias("idx"),
-                    F.zip_with(ends, "_i", lambda e, i: e - i).alias("tf"))
+                    F.when(F.size("_i") > 0, F.zip_with(ends, "_i", lambda e, i: e - i)).otherwise(none).alias("tf"))
 
 
 def idf_weights(counts: DataFrame, buckets: int = BUCKETS) -> list[int]:

@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurelab.functions.columns import round4, stable_unit
+from featurelab.functions.columns import round4, round4_sql, stable_unit
 from featurelab.operators import models as T
 from featurelab.operators import score as K
 from featurelab.plans.registry import query
-from featurelab.session import scratch_path, spread
+from featurelab.session import materialize, scratch_path, spread
 from featurelab.sources.tables import Tables
 
 TRAIN_FEATURES = ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size"]
@@ -155,12 +155,24 @@ def huber_regression(spark: SparkSession, d: str) -> DataFrame:
     return regression_metrics(m.transform(df.where("is_test")))
 
 
-@query("kfold_cv", "T10")
+def _kfold_cv_sql() -> str:
+    from featurelab.plans.learning import PRICE_SQL, error_sql, normal_equations_sql
+    return PRICE_SQL + f""",
+f AS (SELECT *, CAST(u * 10 // 1000000 AS INTEGER) AS fold FROM j),
+{normal_equations_sql("f", TRAIN_FEATURES, "label", True)}
+SELECT CAST(count(*) AS INTEGER) AS folds, round(avg(sqrt({error_sql("own", len(TRAIN_FEATURES) + 2)} / own.s0_0)), 4) AS avg_rmse
+FROM beta JOIN own ON own.fold = beta.fold
+"""
+
+
+@query("kfold_cv", "T10", sql=_kfold_cv_sql())
 def kfold_cv(spark: SparkSession, d: str) -> DataFrame:
-    df = price_frame(spark, d)
-    _, avg_rmse = T.cross_validate(df, TRAIN_FEATURES, "linear_regression", folds=10,
-                                   fold_key=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
-    return spark.createDataFrame([(10, avg_rmse)], "folds int, avg_rmse double")
+    """Mean test RMSE of ten least-squares fits, from one pass over the data."""
+    from featurelab.operators import linear
+    from featurelab.plans.learning import _folded
+    found = linear.cross_validate(_folded(spark, d), TRAIN_FEATURES, "label", "fold")
+    avg = sum(f.rmse for f in found) / len(found)
+    return spark.createDataFrame([(len(found), avg)], "folds int, avg_rmse double").select("folds", round4("avg_rmse").alias("avg_rmse"))
 
 
 CANDIDATES = {"random_forest_regressor": {"n_estimators": 20, "max_depth": 8},
@@ -231,29 +243,43 @@ def order_feature_frame(spark: SparkSession, d: str) -> DataFrame:
                     .otherwise(2.0).alias("status_code"))
 
 
-@query("predict_readback", "K1 K2 K6 T14")
+def _readback_sql() -> str:
+    from featurelab.plans.learning import PRICE_SQL, normal_equations_sql
+    means = ", ".join(f"avg({c}) AS m_{c}" for c in TRAIN_FEATURES)
+    attrs = ", ".join(f"{round4_sql(f'b{i + 1} * (j.{c} - m_{c})', 3)} AS attr_{c}" for i, c in enumerate(TRAIN_FEATURES))
+    total = " + ".join(f"b{i + 1} * j.{c}" for i, c in enumerate(TRAIN_FEATURES))
+    return PRICE_SQL + f""",
+f AS (SELECT * FROM j WHERE u >= 250000), mean AS (SELECT {means} FROM f),
+{normal_equations_sql("f", TRAIN_FEATURES, "label", False)}
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(label, 3) AS label, round(b0 + {total}, 3) AS prediction, {attrs}
+FROM j, beta, mean WHERE u < 250000
+"""
+
+
+@query("predict_readback", "K1 K2 K6 T14", sql=_readback_sql())
 def predict_readback(spark: SparkSession, d: str) -> DataFrame:
-    df = price_frame(spark, d)
-    m = T.fit(df.where(~F.col("is_test")), TRAIN_FEATURES, "linear_regression")
+    """Fit, save, load, predict to JSON Lines, read back, and explain every
+    prediction by 25 sampled paths, side by side (three decimals)."""
+    from featurelab.operators import attribution
+    from featurelab.sources.files import valid_rows
+    df = materialize(price_frame(spark, d))
+    train, test = df.where(~F.col("is_test")), df.where("is_test")
+    m = T.fit(train, TRAIN_FEATURES, "linear_regression")
     mpath = scratch_path(spark, "model")
     T.save(m, mpath)
     loaded = T.load(mpath)
     out = scratch_path(spark, "predictions")
-    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]  # unique in price_frame
-    K.batch_predict(loaded, df.where("is_test"), [*keys, "label"], out)
-    back = K.read_predictions(spark, out, "l_orderkey bigint, l_linenumber int, l_partkey bigint, "
-                                          "l_suppkey bigint, label double, prediction double", "*.json")
-    # explanations next to the predictions (K6): the fitted linear model's
-    # coefficients make an exact column-expression scorer
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    K.batch_predict(loaded, test, [*keys, "label", *TRAIN_FEATURES], out)
+    back = K.read_predictions(spark, out, "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, "
+                              + "".join(f"{c} double, " for c in ("label", *TRAIN_FEATURES)) + "prediction double", "*.json")
+    # explanations next to the predictions (K6): an output line holds its whole
+    # instance, so each is explained where it is read, without a join
     lr = loaded.stages[-1]
-    w = dict(zip(TRAIN_FEATURES, lr.coefficients.toArray().tolist()))
-    means = df.where(~F.col("is_test")).agg(*[F.avg(c).alias(c) for c in TRAIN_FEATURES]).first().asDict()
-    inst = df.where("is_test").select(*keys, *TRAIN_FEATURES)
-    ex = K.sampled_shapley(inst.withColumn("_k", F.concat_ws("|", *keys)),
-                           "_k", TRAIN_FEATURES, K.linear_scorer(w, lr.intercept), means, paths=25)
-    ex = ex.select(*keys, *[F.col("attr_" + c) for c in TRAIN_FEATURES])
-    from featurelab.sources.files import valid_rows
-    return valid_rows(back, "l_orderkey").join(ex, keys, "left")
+    means = train.agg(*[F.avg(c).alias(c) for c in TRAIN_FEATURES]).first().asDict()
+    ex = attribution.shapley(valid_rows(back, "l_orderkey"), keys, TRAIN_FEATURES,
+                             attribution.linear(lr.coefficients.toArray(), lr.intercept), means, paths=25)
+    return ex.select(*keys, *[round4(c, 3).alias(c) for c in ["label", "prediction", *["attr_" + x for x in TRAIN_FEATURES]]])
 
 
 # ---------------------------------------------------------------- K5
@@ -273,7 +299,8 @@ SELECT o_orderkey, {cols} FROM f
 def shapley_linear(spark: SparkSession, d: str) -> DataFrame:
     f = spread(order_feature_frame(spark, d))
     means = f.agg(*[F.avg(c).alias(c) for c in SHAP_FEATURES]).first().asDict()  # baseline: one row
-    ex = K.sampled_shapley(f, "o_orderkey", SHAP_FEATURES, K.linear_scorer(LINEAR_W), means, paths=25)
+    from featurelab.operators import attribution
+    ex = attribution.shapley(f, "o_orderkey", SHAP_FEATURES, attribution.linear(list(LINEAR_W.values())), means, paths=25)
     return ex.select("o_orderkey", *[round4("attr_" + c).alias("attr_" + c) for c in SHAP_FEATURES])
 
 
@@ -303,49 +330,6 @@ def version_compare(spark: SparkSession, d: str) -> DataFrame:
                       round4("score_delta").alias("score_delta"))
 
 
-# ---------------------------------------------------------------- T15 K12
-
-
-TRIAGE = ["toxic", "ok"]
-
-
-@query("ticket_triage", "K12 T15 P18 P19 A7")
-def ticket_triage(spark: SparkSession, d: str) -> DataFrame:
-    """Batch triage end to end: build request lines (P18), run them through a
-    TF-IDF + logistic regression text classifier trained on the labelled
-    documents (T15), emit response lines in the batch-output shape, parse
-    them back (P19) and count per category in a fixed order (A7)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer
-    from featurelab.operators.aggregate import category_counts
-    from featurelab.plans.text import build_requests, parse_responses_df
-    df = doc_frame(spark, d)
-    pipe = Pipeline(stages=[RegexTokenizer(inputCol="text", outputCol="words", pattern=r"\W+"),
-                            HashingTF(inputCol="words", outputCol="tf", numFeatures=1 << 14),
-                            IDF(inputCol="tf", outputCol="features"),
-                            LogisticRegression(maxIter=50, regParam=0.01)])
-    m = pipe.fit(df.where(~F.col("is_test")))
-    # 1. requests, as they would be written to the batch input file
-    req = build_requests(spread(Tables(spark, d).documents), "doc_id", "text")
-    req_schema = ("request struct<contents: array<struct<role: string, parts: array<struct<text: string>>>>, "
-                  "labels: struct<ticket_id: string>>")
-    r = req.select(F.from_json("line", req_schema).alias("r")).select(
-        F.col("r.request.labels.ticket_id").alias("ticket_id"),
-        F.get(F.get(F.col("r.request.contents"), 0)["parts"], 0)["text"].alias("text"))
-    # 2. the job: score every request, answer in the batch-response shape
-    pred = m.transform(r).select("ticket_id", F.when(F.col("prediction") == 1.0, "toxic")
-                                 .otherwise("ok").alias("answer"))
-    resp = pred.select(F.to_json(F.struct(
-        F.struct(F.array(F.struct(F.struct(F.array(F.struct(F.col("answer").alias("text"))).alias("parts"))
-                                  .alias("content"))).alias("candidates")).alias("response"),
-        F.struct(F.struct(F.col("ticket_id").alias("ticket_id")).alias("labels")).alias("request")))
-        .alias("line"))
-    # 3. parse the response lines back and count in a fixed category order
-    cats = parse_responses_df(resp, TRIAGE)
-    return category_counts(cats, "category", TRIAGE)
-
-
 # ---------------------------------------------------------------- F10
 
 

@@ -44,5 +44,5 @@ def query(name: str, ids: str, sql: str | None = None, note: str = ""):
 def load_all() -> dict[str, Query]:
     """Import every plan module (they register on import)."""
     from featurelab.plans import (  # noqa: F401
-        core, encoding, evaluation, store, text, models, io_stream)
+        core, encoding, evaluation, store, text, models, learning, io_stream)
     return REGISTRY

@@ -43,9 +43,8 @@ def test_every_query_has_ids():
 # Model fits whose outputs SQL cannot reproduce: checked by quality bounds,
 # determinism and invariants elsewhere in tests/
 ROWS_ONLY = {"forest_score", "gbt_score", "logreg_score", "random_forest_classify", "gbt_regress",
-             "poly_regression", "huber_regression", "kfold_cv", "auto_model_pick", "tuning_trials",
-             "importance_top_features", "predict_readback", "ticket_triage",
-             "gated_publish", "tree_attributions"}
+             "poly_regression", "huber_regression", "auto_model_pick", "tuning_trials",
+             "importance_top_features",              "gated_publish", "tree_attributions"}
 
 
 def test_every_query_is_sql_checked_or_listed():
