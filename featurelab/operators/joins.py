@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from featurelab.operators.rank import buckets_for, with_range_bucket
+from featurelab.session import materialize
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, on: str | Sequence[str]) -> DataFrame:
@@ -29,19 +30,30 @@ def vertical_slices(df: DataFrame, key: str, groups: Sequence[Sequence[str]]) ->
     return [df.select(key, *g) for g in groups]
 
 
+def write_bucketed(df: DataFrame, key: str, name: str, path: str, buckets: int) -> DataFrame:
+    """One slice as a table bucketed and sorted by its key, in the shared
+    folder ``path``; all slices of one entity take the same ``buckets``, which
+    should give each some hundreds of megabytes.
+
+    A row per key is expected.  Rows that share a key meet in one bucket."""
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet")
+     .option("path", path).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def rejoin_slices(slices: Sequence[DataFrame], key: str) -> DataFrame:
-    """Re-attach slices on their key.
-
-    Slices cut from a source hash-partitioned on the key
-    (``vertical_slices(df.repartition(key), ...)``) share that partitioning:
-    each slice's exchange carries only its own columns (the projection is
-    pushed below it) and the sort-merge joins line up partition by partition
-    with no further exchange.  Column-wise concat by row index (J6) has no Spark
-    counterpart on purpose: columns stay in one projection instead.
+    """Re-attach slices on their key (J5): the first has the keys, the others
+    add their columns, NULL for a key that they lack.
+
+    Slices written by ``write_bucketed`` with equal bucket counts are merged
+    bucket by bucket as they lie, without an exchange on any side; the merge
+    hint keeps a small slice from being broadcast instead.  Column-wise concat
+    by row index (J6) becomes this join on the key, since rows of a table have
+    no order.
     """
     out = slices[0]
     for s in slices[1:]:
-        out = out.join(s, key, "inner")
+        out = out.join(s.hint("merge"), key, "left")
     return out
 
 
@@ -74,26 +86,25 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_t
     2. a left row with no right row before it in its own range takes the
        newest right row of an earlier range of its key, from a small table of
        one row per (range, key).
-    A table of one range needs only step 1 and reads each side once; more
-    ranges are written once by the range cut and read from there.  No pairs
-    are formed.  Right rows with equal (key, time) resolve to the largest
-    struct of values, so the result is deterministic.  Left rows with a NULL
-    key or time get NULL values and skip the window.
+    The two inputs are written once as one table in the shared folder, which
+    the count, the ranges and the undated rows all read.  No pairs are formed.
+    Right rows with equal (key, time) resolve to the largest struct of values,
+    so the result is deterministic.  Left rows with a NULL key or time get NULL
+    values and skip the window.
     """
     r = (right.where(F.col(key).isNotNull() & F.col(right_ts).isNotNull())
          .select(F.col(key).alias("_k"), F.col(right_ts).alias("_t"),
                  F.struct(*[F.col(c) for c in value_cols]).alias("_v")))
     lcols = left.columns
     dated = F.col(key).isNotNull() & F.col(left_ts).isNotNull()
-    l = left.where(dated).select(F.col(key).alias("_k"), F.col(left_ts).alias("_t"),
-                                 F.struct(*[F.col(c) for c in lcols]).alias("_row"))
+    l = left.select(F.col(key).alias("_k"), F.col(left_ts).alias("_t"), F.when(dated, 1).otherwise(2).alias("_side"),
+                    F.struct(*[F.col(c) for c in lcols]).alias("_row"))
     vtype, rtype = r.schema["_v"].dataType, l.schema["_row"].dataType
-    u = (r.select("_k", "_t", F.lit(0).alias("_side"), "_v", F.lit(None).cast(rtype).alias("_row"))
-         .unionByName(l.select("_k", "_t", F.lit(1).alias("_side"),
-                               F.lit(None).cast(vtype).alias("_v"), "_row")))
+    both = materialize(r.select("_k", "_t", F.lit(0).alias("_side"), "_v", F.lit(None).cast(rtype).alias("_row"))
+                       .unionByName(l.select("_k", "_t", "_side", F.lit(None).cast(vtype).alias("_v"), "_row")))
     if buckets is None:
-        buckets = buckets_for(right.count() + left.count())
-    u, buckets = with_range_bucket(u, ["_k", "_t", "_side"], buckets)
+        buckets = buckets_for(both.count())
+    u, buckets = with_range_bucket(both.where(F.col("_side") < 2), ["_k", "_t", "_side"], buckets)
     order = Window.partitionBy("_range", "_k").orderBy("_t", "_side", "_v")
     newest = F.last("_v", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
     j = u.withColumn("_in", newest).where(F.col("_side") == 1)
@@ -107,5 +118,6 @@ def asof_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_t
         j = j.join(carry, ["_k", "_range"], "left")
         v = F.coalesce(F.col("_in"), F.col("_prev"))
     found = j.select(*[F.col("_row")[c].alias(c) for c in lcols], *[v[c].alias(c) for c in value_cols])
-    undated = left.where(~dated).select(*lcols, *[F.lit(None).cast(vtype[c].dataType).alias(c) for c in value_cols])
+    undated = both.where(F.col("_side") == 2).select(
+        *[F.col("_row")[c].alias(c) for c in lcols], *[F.lit(None).cast(vtype[c].dataType).alias(c) for c in value_cols])
     return found.unionByName(undated)

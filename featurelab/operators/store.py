@@ -60,9 +60,11 @@ def write_offline(df: DataFrame, path: str, mode: str = "append") -> None:
     """Append a batch to the offline store, partitioned by feature date.
 
     Appending keeps history, so point-in-time reads stay possible (the
-    reference truncated the table on every ingest and lost it)."""
-    (df.withColumn("feature_date", F.to_date(TS)).write.mode(mode)
-     .partitionBy("feature_date").parquet(path))
+    reference truncated the table on every ingest and lost it).  The rows of a
+    date meet in one task, so a batch adds one file per date; a date too large
+    for a task is split by size at run time (``rebalance``)."""
+    dated = df.withColumn("feature_date", F.to_date(TS)).hint("rebalance", "feature_date")
+    dated.write.mode(mode).partitionBy("feature_date").parquet(path)
 
 
 def entity_slices(df: DataFrame, slices: dict[str, Sequence[str]]) -> dict[str, DataFrame]:

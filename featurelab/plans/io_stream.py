@@ -137,7 +137,7 @@ def stream_feature_sync(spark: SparkSession, d: str) -> DataFrame:
     f.repartition(12, F.pmod(F.xxhash64("source_id"), F.lit(12))).write.parquet(base + "/landing")
     schema = "entity_id string, feature_timestamp timestamp, total_price double, source_id double"
     sync_features(spark, base + "/landing", schema, base + "/serving", base + "/checkpoint",
-                  ["total_price"], tie=["source_id"], max_files_per_trigger=3)
+                  ["total_price"], tie=["source_id"], max_files_per_trigger=1, compact_every=5)
     s = read_serving(spark, base + "/serving", ["total_price"], tie=["source_id"])
     return s.select("entity_id", "feature_timestamp", round4("total_price").alias("total_price"))
 
