@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featurelab.operators.vector_index import CELL_ROWS, VectorIndex
@@ -71,32 +73,47 @@ def lead_summary(docs: DataFrame, id_col: str, text_col: str, sentences: int = 5
                         (F.size("_w") > max_words).alias("was_cut"))
 
 
+def _summaries(n: int):
+    """Arrow function from (id, sentences, words per sentence): each text's
+    ``n`` sentences of the highest mean word count, in text order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sents, words = b.column("s"), b.column("w")
+            of_doc = np.repeat(np.arange(b.num_rows), np.diff(words.offsets.to_numpy()))
+            lists = words.flatten()
+            of_sent = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            code = lists.flatten().dictionary_encode()
+            ids = code.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            # how often a word occurs in its text, for every occurrence
+            _, at, n_of = np.unique(of_doc[of_sent] * max(1, len(code.dictionary)) + ids, return_inverse=True, return_counts=True)
+            total = np.bincount(of_sent, weights=n_of[at], minlength=len(lists))
+            count = np.bincount(of_sent, minlength=len(lists))
+            score = np.where(count > 0, total / np.maximum(count, 1), -1.0)
+            order = np.lexsort((np.arange(len(lists)), -score, of_doc))
+            place = np.arange(len(lists)) - np.searchsorted(of_doc, of_doc)
+            first = np.zeros(len(lists), dtype=bool)
+            first[order] = (place < n) & (score[order] > 0)
+            text = sents.flatten().filter(pa.array(first)).to_pylist()
+            cuts = np.concatenate([[0], np.cumsum(np.bincount(of_doc[first], minlength=b.num_rows))])
+            out = [" ".join(text[cuts[i]:cuts[i + 1]]) or None for i in range(b.num_rows)]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(np.bincount(of_doc, minlength=b.num_rows).astype(np.int64)),
+                                              pa.array(out, pa.string())], ["id", "n_sentences", "summary"])
+
+    return run
+
+
 def extractive_summary(docs: DataFrame, id_col: str, text_col: str, n: int = 3) -> DataFrame:
     """Top-n sentences by mean term weight, in document order.
 
-    Term weight = how often the word occurs in the whole document.  Work is
-    per (document, word) and per (document, sentence): linear in the text.
-    The word weights come from a window over (document, word) rather than an
-    aggregate joined back, and the sentence count, the ranking and the final
-    assembly share one partitioning by document.
+    Term weight = how often the word occurs in the whole document.  Sentences
+    and words are cut in the row and weighed batch by batch; nothing is
+    shuffled.  Texts without a sentence give no row; one without a word gives
+    a null summary.
     """
-    sents = (docs.select(id_col, F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(SENTENCE_RE), 0))
-                         .alias("pos", "s"))
-             .select(id_col, "pos", F.trim("s").alias("s")).where(F.col("s") != ""))
-    words = sents.select(id_col, "pos", F.explode(
-        F.regexp_extract_all(F.lower("s"), F.lit(WORD_RE), 0)).alias("w"))
-    tf = F.count(F.lit(1)).over(Window.partitionBy(id_col, "w"))
-    score = (words.withColumn("tf", tf).groupBy(id_col, "pos").agg(F.avg("tf").alias("score")))
-    # sentences without a word stay (unscored): they count, but never rank
-    scored = sents.join(score, [id_col, "pos"], "left")
-    by_doc = Window.partitionBy(id_col)
-    rank_w = by_doc.orderBy(F.col("score").desc_nulls_last(), F.col("pos"))
-    ranked = scored.withColumns({"_r": F.row_number().over(rank_w),
-                                 "n_sentences": F.count(F.lit(1)).over(by_doc)})
-    keep = (F.col("_r") <= n) & F.col("score").isNotNull()
-    out = ranked.groupBy(id_col).agg(
-        F.first("n_sentences").alias("n_sentences"),
-        F.array_sort(F.collect_list(F.when(keep, F.struct("pos", "s")))).alias("_t"))
-    return out.select(id_col, F.col("n_sentences").cast("bigint").alias("n_sentences"),
-                      F.when(F.size("_t") > 0, F.array_join(F.transform("_t", lambda x: x["s"]), " "))
-                      .alias("summary"))
+    cut = F.transform(F.regexp_extract_all(F.col(text_col), F.lit(SENTENCE_RE), 0), lambda s: F.trim(s))
+    rows = docs.select(F.col(id_col).alias("id"), F.filter(cut, lambda s: s != "").alias("s")).where(F.size("s") > 0)
+    rows = rows.select("id", "s", F.transform("s", lambda s: F.regexp_extract_all(F.lower(s), F.lit(WORD_RE), 0)).alias("w"))
+    kind = rows.schema["id"].dataType.simpleString()
+    return (rows.mapInArrow(_summaries(n), f"id {kind}, n_sentences long, summary string")
+            .withColumnRenamed("id", id_col))

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from featurelab.operators.aggregate import latest_per_key
 from featurelab.operators.joins import asof_join, semi_by_keys
+from featurelab.session import materialize
 
 KEY, TS = "entity_id", "feature_timestamp"
 
@@ -56,15 +57,31 @@ def ingest_frame(df: DataFrame, key: str, ts: str, features: dict, batch_ts: dt.
     return check_required(out)
 
 
-def write_offline(df: DataFrame, path: str, mode: str = "append") -> None:
+DAY_ROWS = 2_000_000  # rows of one date that one task writes
+
+
+def write_offline(df: DataFrame, path: str, mode: str = "append", day_rows: int = DAY_ROWS) -> None:
     """Append a batch to the offline store, partitioned by feature date.
 
     Appending keeps history, so point-in-time reads stay possible (the
     reference truncated the table on every ingest and lost it).  The rows of a
-    date meet in one task, so a batch adds one file per date; a date too large
-    for a task is split by size at run time (``rebalance``)."""
-    dated = df.withColumn("feature_date", F.to_date(TS)).hint("rebalance", "feature_date")
-    dated.write.mode(mode).partitionBy("feature_date").parquet(path)
+    date meet in one task, so a batch adds one file per date; a date of more
+    than ``day_rows`` (counted from the time column alone) is dealt over as many
+    tasks and files as it needs."""
+    spark = df.sparkSession
+    dated = df.withColumn("feature_date", F.to_date(TS))
+    large = dated.groupBy("feature_date").count().where(F.col("count") > day_rows).select(
+        F.col("feature_date").alias("_day"), F.ceil(F.col("count") / day_rows).alias("_parts"))
+    large = materialize(large)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if large.isEmpty():
+        out = dated.repartition(tasks, "feature_date")
+    else:
+        # at most a row per day_rows of the batch: a small table whatever the batch
+        out = dated.join(F.broadcast(large), F.col("feature_date").eqNullSafe(F.col("_day")), "left").withColumn(
+            "_part", F.pmod(F.xxhash64(KEY, TS), F.coalesce("_parts", F.lit(1))))
+        out = out.repartition(tasks, "feature_date", "_part").drop("_day", "_parts", "_part")
+    out.write.mode(mode).partitionBy("feature_date").parquet(path)
 
 
 def entity_slices(df: DataFrame, slices: dict[str, Sequence[str]]) -> dict[str, DataFrame]:

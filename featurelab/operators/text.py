@@ -35,6 +35,13 @@ def strip_tags(html: Column) -> Column:
     return collapse_ws(F.regexp_replace(html, r"<[^>]*>", " "))
 
 
+def items_of(c: Column, pattern: str, names: list[str]) -> Column:
+    """Array of structs from free text (P21): one per match of ``pattern``, its
+    groups 1, 2, ... under ``names``.  Every match has every group (an empty
+    one is ''), so the groups' arrays line up."""
+    return F.arrays_zip(*[F.regexp_extract_all(c, F.lit(pattern), F.lit(i + 1)).alias(n) for i, n in enumerate(names)])
+
+
 def json_object_text(c: Column) -> Column:
     """Outermost {...} of a model reply, markdown fences and preamble dropped (P20)."""
     return F.regexp_extract(c, r"(?s)(\{.*\})", 1)

@@ -82,6 +82,26 @@ def _hashing_sql(n: int = 27) -> str:
             "SELECT " + ", ".join(cols) + ", o_orderkey, o_totalprice FROM x")
 
 
+@query("one_hot_sparse", "F2", sql="""
+WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 11 <> 0 THEN c_mktsegment END AS seg, c_nationkey, c_name FROM customer),
+a AS (SELECT c_mktsegment AS v, row_number() OVER (ORDER BY c_mktsegment) - 1 AS code
+      FROM (SELECT DISTINCT seg AS c_mktsegment FROM c WHERE seg IS NOT NULL)),
+b AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT c_nationkey AS v FROM c)),
+n AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT c_name AS v FROM c)),
+z AS (SELECT (SELECT count(*) - 1 FROM a) AS za, (SELECT count(*) - 1 FROM b) AS zb, (SELECT count(*) - 1 FROM n) AS zn),
+x AS (SELECT c_custkey, list_filter([CASE WHEN a.code > 0 THEN a.code - 1 END, CASE WHEN b.code > 0 THEN za + b.code - 1 END,
+                                     CASE WHEN n.code > 0 THEN za + zb + n.code - 1 END], lambda i: i IS NOT NULL) AS ix, za + zb + zn AS w
+      FROM c LEFT JOIN a ON a.v = seg JOIN b ON b.v = c_nationkey JOIN n ON n.v = c_name, z)
+SELECT c_custkey, array_to_string(ix, ',') AS indices, CAST(w AS BIGINT) AS width FROM x
+""")
+def one_hot_sparse(spark: SparkSession, d: str) -> DataFrame:
+    """Sparse dummies of three columns, one of them different in every row."""
+    c = Tables(spark, d).customer.select(
+        "c_custkey", F.when(F.pmod("c_custkey", F.lit(11)) != 0, F.col("c_mktsegment")).alias("seg"), "c_nationkey", "c_name")
+    rows, width = E.one_hot_sparse(c, ["seg", "c_nationkey", "c_name"])
+    return rows.select("c_custkey", F.array_join("indices", ",").alias("indices"), F.lit(width).cast("bigint").alias("width"))
+
+
 @query("hashing_encode", "F3", sql=_hashing_sql())
 def hashing_encode(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)

@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 
 from featurelab.functions.columns import round4
 from featurelab.plans.registry import query
-from featurelab.session import scratch_path
+from featurelab.session import scratch_path, spread
 from featurelab.sources import files as IO
+from featurelab.sources.doc_files import file_heads, write_documents
 from featurelab.sources.tables import Tables
 
 NATION_TYPES = {"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"}
@@ -94,6 +95,29 @@ def binary_and_text_scan(spark: SparkSession, d: str) -> DataFrame:
     return bytes_.join(chars, "source", "inner")
 
 
+@query("document_files", "IO9 IO10", sql="""
+SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes, md5(coalesce(text, '')) AS content_md5,
+       CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars, (SELECT count(*) FROM documents) AS n_files
+FROM documents
+""")
+def document_files(spark: SparkSession, d: str) -> DataFrame:
+    """Every document as a file of its own, found again by a binary and a
+    whole-text scan.  Spark's scans skip files without a byte, so the documents
+    themselves say which those are."""
+    docs = spread(Tables(spark, d).documents.select("doc_id", "text"))
+    folder = scratch_path(spark, "documents")
+    place = F.format_string("%02x/%d.txt", F.pmod(F.xxhash64("doc_id"), F.lit(256)), F.col("doc_id"))
+    write_documents(docs.withColumn("place", place), folder, "place", "text")
+    doc_id = F.regexp_extract("path", r"([0-9]+)\.txt$", 1).cast("bigint")
+    b = IO.read_binary(spark, folder, "*.txt").select(doc_id.alias("doc_id"), F.col("length").alias("n_bytes"),
+                                                     F.md5("content").alias("content_md5"))
+    w = IO.read_whole_text(spark, folder, "*.txt").select(doc_id.alias("doc_id"), F.length("value").cast("bigint").alias("n_chars"))
+    empty = docs.where(F.coalesce(F.octet_length("text"), F.lit(0)) == 0).select(
+        "doc_id", F.lit(0).cast("bigint").alias("n_bytes"), F.md5(F.lit("")).alias("content_md5"), F.lit(0).cast("bigint").alias("n_chars"))
+    n = file_heads(spark, folder, ".txt").count()
+    return b.join(w, "doc_id").unionByName(empty).withColumn("n_files", F.lit(n).cast("bigint"))
+
+
 EVENT_SCHEMA = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 
 

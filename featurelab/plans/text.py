@@ -181,6 +181,30 @@ def field_extraction(spark: SparkSession, d: str) -> DataFrame:
         X.word_count(body).cast("int").alias("n_words"))
 
 
+LINK_RE = r'<a\s[^>]*href="([^"]*)"[^>]*>([^<]*)</a>'
+
+
+@query("page_items", "P21 P22", sql=f"""
+WITH p AS (SELECT page_id, regexp_extract_all(html, '{LINK_RE}', 1) AS h, regexp_extract_all(html, '{LINK_RE}', 2) AS t FROM pages),
+z AS (SELECT page_id, list_zip(h, list_transform(t, lambda x: trim(x))) AS items FROM p)
+SELECT page_id, CAST(len(items) AS INTEGER) AS n_items,
+       CAST(len(list_filter(items, lambda i: starts_with(i[1], '/'))) AS INTEGER) AS n_local,
+       items[1][2] AS first_label,
+       md5(array_to_string(list_transform(items, lambda i: i[1] || '=' || i[2]), ';')) AS items_md5
+FROM z
+""")
+def page_items(spark: SparkSession, d: str) -> DataFrame:
+    """An array of items taken out of running text: every link of a page as a
+    struct of target and label."""
+    items = X.items_of(F.col("html"), LINK_RE, ["href", "label"])
+    p = spread(Tables(spark, d).pages).select("page_id", F.transform(
+        items, lambda i: F.struct(i["href"].alias("href"), F.trim(i["label"]).alias("label"))).alias("items"))
+    return p.select("page_id", F.size("items").alias("n_items"),
+                    F.size(F.filter("items", lambda i: i["href"].startswith("/"))).alias("n_local"),
+                    F.get("items", 0)["label"].alias("first_label"),
+                    F.md5(F.array_join(F.transform("items", lambda i: F.concat_ws("=", i["href"], i["label"])), ";")).alias("items_md5"))
+
+
 # ---------------------------------------------------------------- K7
 
 

@@ -113,11 +113,23 @@ def spread(df, max_partitions: int = SPREAD_MAX):
     small file on a big cluster is not cut into thousands of slivers.
     """
     target = min(df.sparkSession.sparkContext.defaultParallelism, max_partitions)
-    if df.rdd.getNumPartitions() < target:
+    if _partitions(df) < target:
         return df.repartition(target)
     return df
 
 
+def _partitions(df) -> int:
+    """Partitions of the plan as it would run without adaptive changes, which
+    is known without running its shuffles (an adaptive plan runs them first)."""
+    conf = df.sparkSession.conf
+    adaptive = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.select("*").rdd.getNumPartitions()
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def materialize(df):
     """Cut lineage with a reliable checkpoint in the shared folder.
 
