@@ -42,10 +42,12 @@ NATIONAL = r"(?:1[ .-])?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]\d{4}
 SECRET_KEY = (r"(?i:password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?)")
 # the key, then a quoted value after = or :, or an unquoted one right after =
 SECRET_HEAD = rf"{SECRET_KEY}(?:[\"']? ?[=:] ?[\"']|=)"
+# words before a dotted number that make it a section or a version, not an address
+NUMBERED = r"(?i:section|chapter|clause|article|figure|table|version|release|build|ver\.|sec\.|no\.|\u00a7)"
 SHAPES = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+)++",
     "phone": r"(?<![\w+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)",
-    "ip": rf"(?<![\w.]){OCTET}(?:\.{OCTET}){{3}}(?![\w]|\.\d)",
+    "ip": rf"(?<![\w.])(?<!{NUMBERED} ){OCTET}(?:\.{OCTET}){{3}}(?![\w]|\.\d)",
     "date": r"(?<![\w-])\d{4}-\d{2}-\d{2}(?:(?=T\d)|(?![\w-]))",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{13,19})(?![\w-])",
@@ -129,20 +131,24 @@ def _in_place(m: Column, digits: Column, skip: int) -> Column:
     return F.aggregate(chars, start, put, lambda s: s["out"])
 
 
-def _phone(m: Column, key: Column) -> Column:
-    digits = F.substring(F.regexp_replace(m, "[^0-9]", ""), 2, 10)
-    ten5 = F.lit(100_000).cast("bigint")
-    pair = feistel(_long(F.substring(digits, 1, 5)), _long(F.substring(digits, 6, 5)), ten5, ten5, key, "phone")
-    return F.transform(F.array(pair), lambda p: _in_place(m, F.concat(_padded(p["l"], 5), _padded(p["r"], 5)), 1))[0]
+def _ten_digits(ten: Column, key: Column) -> Column:
+    """The pseudonym of a North American number's ten digits, the same for all
+    its spellings.  Area code and exchange stay within 200-999; numbers with an
+    area code, or else an exchange, under 200 stay among those."""
+    area, rest = _long(F.substring(ten, 1, 3)), _long(F.substring(ten, 4, 7))
+    low, valid = area < 200, rest >= 2_000_000
+    first = F.when(low, 0).otherwise(200).cast("bigint")
+    second = F.when(~low & valid, 2_000_000).otherwise(0).cast("bigint")
+    sizes = (F.when(low, 200).otherwise(800).cast("bigint"),
+             F.when(low, 10_000_000).when(valid, 8_000_000).otherwise(2_000_000).cast("bigint"))
+    pair = feistel(area - first, rest - second, *sizes, key, "national")
+    return F.transform(F.array(pair), lambda p: F.concat(_padded(p["l"] + first, 3), _padded(p["r"] + second, 7)))[0]
 
 
 def _national(m: Column, key: Column) -> Column:
-    """Area code and exchange stay within 200-999."""
+    """With or without the country's digit."""
     digits = F.regexp_replace(m, "[^0-9]", "")
-    ten = F.substr(digits, F.length(digits) - 9, F.lit(10))
-    pair = feistel(_long(F.substring(ten, 1, 3)) - 200, _long(F.substring(ten, 4, 7)) - 2_000_000,
-                   F.lit(800).cast("bigint"), F.lit(8_000_000).cast("bigint"), key, "national")
-    new = F.transform(F.array(pair), lambda p: F.concat((p["l"] + 200).cast("string"), (p["r"] + 2_000_000).cast("string")))
+    new = F.array(_ten_digits(F.substr(digits, F.length(digits) - 9, F.lit(10)), key))
     return F.transform(new, lambda d: F.when(F.length(digits) == 11, _in_place(m, d, 1)).otherwise(_in_place(m, d, 0)))[0]
 
 
@@ -214,9 +220,8 @@ def pseudonym(m: Column, key: Column) -> Column:
     return (F.when(m.rlike(f"^{SECRET_HEAD}"), _secret(m, key))
             .when(F.contains(m, F.lit("@")), F.concat(
                 F.lit("u"), F.substring(_hex(F.lower(m), key, "email"), 1, 16), F.lit("@example.invalid")))
-            .when(F.startswith(m, F.lit("+1")), _phone(m, key))
-            .when(F.startswith(m, F.lit("+")), _international(m, key))
-            .when(m.rlike(f"^{NATIONAL}$"), _national(m, key))
+            .when(F.startswith(m, F.lit("+")) & ~F.startswith(m, F.lit("+1")), _international(m, key))
+            .when(F.startswith(m, F.lit("+1")) | m.rlike(f"^{NATIONAL}$"), _national(m, key))
             .when(m.rlike("^(?:" + "|".join(shape for shape, _ in DATES) + ")$"), _written_date(m, key))
             .when(F.startswith(m, F.lit("AKIA")), F.concat(
                 F.lit("AKIA"), F.upper(F.substring(_hex(m, key, "aws"), 1, 16))))
