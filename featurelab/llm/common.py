@@ -55,3 +55,15 @@ def text_rows(df: DataFrame) -> DataFrame:
     """Spread a one-file input over the cores before per-row CPU work."""
     workers_import(df.sparkSession)
     return spread(df)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until it is none of ``df``'s columns."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out

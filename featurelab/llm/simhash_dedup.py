@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurelab.llm.common import shared_table, text_rows
+from featurelab.llm.common import fresh, shared_table, text_rows
 from featurelab.llm.components import connected_components
 
 SEED = 42
@@ -261,9 +261,10 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     reduced to one row, and each of its different texts stays.
     """
     c = shared_table(simhash_components(docs, id_col, text_col, shingle, max_bits), "simhash-groups")
+    [name] = fresh(docs, "keep")
     keep = (c.where(F.col("component_id").eqNullSafe(F.col(id_col)))
-            .select(F.col(id_col).alias("_keep")).distinct())
-    kept = docs.join(keep, F.col(id_col).eqNullSafe(F.col("_keep")), "left_semi")
+            .select(F.col(id_col).alias(name)).distinct())
+    kept = docs.join(keep, F.col(id_col).eqNullSafe(F.col(name)), "left_semi")
     ids = c.where(F.col(id_col).isNotNull()).agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct(id_col).alias("d")).first()
     if ids["n"] == ids["d"]:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In,
                                     InputPartition, IsNotNull, StringStartsWith, WriterCommitMessage)
 
-from featurelab.llm.common import shared_table, text_rows, workers_import
+from featurelab.llm.common import fresh, shared_table, text_rows, workers_import
 
 SCHEMA = ("record_id string, record_type string, target_uri string, warc_date string, refers_to string, "
           "content_type string, payload_digest string, payload_length long, payload binary")
@@ -485,33 +485,25 @@ def mark_revisits(pages: DataFrame, id_col: str, payload_col: str, min_bytes: in
     rows = (rows.withColumn("payload_length", F.octet_length("payload").cast("long"))
             .withColumn("payload_digest", base32_sha1(F.col("payload"))))
     key = F.when(F.col("payload_length") >= min_bytes, F.concat(F.sha2("payload", 256), F.lit("-"), F.col("payload_length")))
-    taken = {c.lower() for c in rows.columns}
-    k, top, hot_k, hot_top = (_free(n, taken) for n in ("key", "top", "hot_key", "hot_top"))
+    k, top, hot_k, hot_top, n_of = fresh(rows, "key", "top", "hot_key", "hot_top", "n")
     groups = shared_table(
         rows.select(F.col(f"`{id_col}`").alias("id"), key.alias(k)).where(F.col(k).isNotNull())
-        .groupBy(k).agg(F.max("id").alias(top), F.count("*").alias("n")).where("n > 1"), "warc-repeats")
+        .groupBy(k).agg(F.max("id").alias(top), F.count("*").alias(n_of)).where(F.col(n_of) > 1), "warc-repeats")
     n_groups = groups.count()
     rows = rows.withColumn(k, key)
     if n_groups * 128 <= broadcast_bytes:
-        rows = rows.join(F.broadcast(groups.drop("n")), k, "left")
+        rows = rows.join(F.broadcast(groups.drop(n_of)), k, "left")
     else:
         n_rows = rows.count()
-        is_hot = F.col("n") > n_rows / 2000
+        is_hot = F.col(n_of) > n_rows / 2000
         hot = groups.where(is_hot).select(F.col(k).alias(hot_k), F.col(top).alias(hot_top))
         rows = rows.join(F.broadcast(hot), F.col(k) == F.col(hot_k), "left")
         # rows that the first join served go to any task: their key meets no group
         spread_key = F.when(F.col(hot_k).isNull(), F.col(k)).otherwise(
             F.concat(F.lit("served-"), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))))
-        rows = (rows.withColumn(k, spread_key).join(groups.where(~is_hot).drop("n"), k, "left")
+        rows = (rows.withColumn(k, spread_key).join(groups.where(~is_hot).drop(n_of), k, "left")
                 .withColumn(top, F.coalesce(top, hot_top)).drop(hot_k, hot_top))
     older = F.col(top).isNotNull() & ~F.col(f"`{id_col}`").eqNullSafe(F.col(top))
     return (rows.withColumn("record_type", F.when(older, "revisit").otherwise("response"))
             .withColumn("refers_to", F.when(older, F.col(top))).drop(k, top))
 
-
-def _free(name: str, taken: set[str]) -> str:
-    """``name``, lengthened until it is not among ``taken``, and added there."""
-    while name in taken:
-        name += "_"
-    taken.add(name)
-    return name

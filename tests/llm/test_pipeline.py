@@ -59,3 +59,16 @@ def test_registered():
     assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
     assert set(SQL) <= set(E.oracle_sql())
     assert 4 <= len(C.STAGES) <= 5
+
+
+def test_stages_with_clashing_columns(spark, tmp_path):
+    """Extra columns under names that the operators use inside."""
+    names = ["gone", "gone_id", "keep", "_keep", "_drop", "_drop_id", "_id", "_text", "_y", "_t", "id", "t", "fp", "w", "x", "k1",
+             "component_id", "component", "node", "drop", "score", "predicted", "item", "item_id"]
+    docs = spark.createDataFrame([(i, f"plain words number {i} in a line\nand the same words again here", "en", "s", 60) for i in range(6)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.selectExpr("*", *[f"concat('{n}', doc_id) AS `{n}`" for n in names])
+    d = stages(spark, docs, SF, tmp_path)
+    for x in d[1:5]:
+        assert x.columns == docs.columns
+        assert all(r[n] == f"{n}{r['doc_id']}" for r in x.collect() for n in names)
