@@ -4,14 +4,17 @@ The score of a pair is a sum of partial products, one per group of
 dimensions; each group is a list of local scores.
 
 1. Every tile (block of queries x block of rows) looks up the best entries of
-   each of its local lists, completes their scores and reports the k best per
-   query.  The k-th best of all reports is a score that k rows do reach: a
-   safe cutoff t for the query.
+   each of its local lists, completes the scores of those alone and reports the
+   k best per query.  The k-th best of all reports is a score that k rows do
+   reach: a safe cutoff t for the query.
 2. The cutoff goes back to the tiles with the query.  A row that reaches t has
    a partial product of at least t / groups in some list, so the entries at or
-   above that uniform threshold are sufficient.
-3. Those entries' remaining partial products are resolved exactly, entries
-   below t go, and the k best of each query are merged.
+   above that uniform threshold are sufficient.  Lists are opened one after
+   the other; a row stays only while what it has, and the most that the
+   products of the lengths of its unopened parts allow, can reach t, and while
+   some list can still hold t / groups.
+3. Remaining partial products are resolved exactly for the rows that stay,
+   entries below t go, and the k best of each query are merged.
 
 Scores are exact: float64 matrix products while every sum stays below 2^53,
 Python integers beyond (then limited to the range of a long).
@@ -38,14 +41,24 @@ def _matrix(vectors: pd.Series, width: int, scale: int) -> np.ndarray:
     return m
 
 
+def _exact(q: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The matrices as they are while every sum of products stays below 2^53,
+    else of Python integers."""
+    top = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(1, q.shape[1])
+    if top < 2.0 ** 53:
+        return q, c
+    return tuple(np.vectorize(int, otypes=[object])(x) if x.size else x.astype(object) for x in (q, c))
+
+
+def _cuts(width: int, groups: int) -> list[tuple[int, int]]:
+    cuts = np.linspace(0, width, groups + 1).astype(int)
+    return list(zip(cuts, cuts[1:]))
+
+
 def partial_products(q: np.ndarray, c: np.ndarray, groups: int) -> list[np.ndarray]:
     """One (queries, rows) matrix of exact partial products per group."""
-    width = q.shape[1]
-    cuts = np.linspace(0, width, groups + 1).astype(int)
-    top = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(1, width)
-    if top >= 2.0 ** 53:
-        q, c = (np.vectorize(int, otypes=[object])(x) if x.size else x.astype(object) for x in (q, c))
-    return [np.asarray(q[:, a:b] @ c[:, a:b].T) for a, b in zip(cuts, cuts[1:])]
+    q, c = _exact(q, c)
+    return [np.asarray(q[:, a:b] @ c[:, a:b].T) for a, b in _cuts(q.shape[1], groups)]
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -53,39 +66,66 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
-def _tile(k: int, groups: int, scale: int, resolve: bool):
-    """Phase 1 of one tile, or with ``resolve`` phases 2 and 3."""
+def part_lengths(m: np.ndarray, groups: int) -> np.ndarray:
+    """Length of each row's part in each group, rounded up."""
+    m = m.astype(np.float64)
+    return np.stack([np.sqrt((m[:, a:b] ** 2).sum(1)) for a, b in _cuts(m.shape[1], groups)], axis=1) * (1 + 1e-12)
+
+
+def resolve(q: np.ndarray, c: np.ndarray, groups: int, q_len: np.ndarray, c_len: np.ndarray,
+            cutoff: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(rows, scores, partial products computed): the rows that reach
+    ``cutoff``, with their exact scores, of one query."""
+    at, score = np.arange(len(c)), np.zeros(len(c), dtype=c.dtype)
+    seen, computed = np.zeros(len(c), dtype=bool), 0
+    room = q_len * c_len  # the most that a list can hold for a row
+    for g, (a, b) in enumerate(_cuts(c.shape[1], groups)):
+        x = np.asarray(c[at, a:b] @ q[a:b])
+        computed += len(at)
+        score, seen = score + x, seen | (x * groups >= cutoff)
+        if g + 1 < groups:
+            left = room[at, g + 1:]
+            most = score + left.sum(1) * (1 + 1e-12) + np.abs(score).astype(np.float64) * 1e-12 + 1
+            stay = ((most >= cutoff)
+                    & (seen | ((left.max(1) * (1 + 1e-12) + 1) * groups >= cutoff))).astype(bool)
+            at, score, seen = at[stay], score[stay], seen[stay]
+    keep = (seen & (score >= cutoff)).astype(bool)
+    return at[keep], score[keep], computed
+
+
+def _tile(k: int, groups: int, scale: int, second: bool):
+    """Phase 1 of one tile, or with ``second`` phases 2 and 3."""
 
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
         if len(queries) and len(rows):
             width = max(max(map(len, queries["q"])), max(map(len, rows["v"])))
-            c, cid = _matrix(rows["v"], width, scale), rows["vec_id"].to_numpy(np.int64)
+            rows_, cid = _matrix(rows["v"], width, scale), rows["vec_id"].to_numpy(np.int64)
+            c_len = part_lengths(rows_, groups) if second else None
             for s in range(0, len(queries), 128):
                 part = queries.iloc[s:s + 128]
                 qid = part["query_id"].to_numpy(np.int64)
-                lists = partial_products(_matrix(part["q"], width, scale), c, groups)
-                totals = sum(lists)
+                q, c = _exact(_matrix(part["q"], width, scale), rows_)
+                q_len = part_lengths(q, groups) if second else None
+                lists = None if second else [np.asarray(q[:, a:b] @ c[:, a:b].T) for a, b in _cuts(width, groups)]
                 for r in range(len(part)):
                     other = cid != qid[r]
-                    if resolve and part["enough"].iloc[r]:
-                        cutoff = int(part["cutoff"].iloc[r])
-                        seen = np.zeros(len(c), dtype=bool)
-                        for x in lists:
-                            seen |= x[r] * groups >= cutoff
-                        at = np.flatnonzero(seen & other)
-                        at = at[totals[r][at] >= cutoff]
-                    elif resolve:
+                    if second and part["enough"].iloc[r]:
+                        at, score, _ = resolve(q[r], c, groups, q_len[r], c_len, int(part["cutoff"].iloc[r]))
+                        at, score = at[other[at]], score[other[at]]
+                    elif second:
                         at = np.flatnonzero(other)
+                        score = np.asarray(c[at] @ q[r])
                     else:
                         near = np.flatnonzero(other)
                         picks = [near if len(near) <= k else near[np.argpartition(-x[r][near], k - 1)[:k]]
                                  for x in lists]
                         at = np.unique(np.concatenate(picks))
-                    at = at[_best(totals[r][at], cid[at], k)]
-                    out["query_id"] += [qid[r]] * len(at)
-                    out["vec_id"] += cid[at].tolist()
-                    out["score"] += [max(-LONG_MAX - 1, min(LONG_MAX, int(v))) for v in totals[r][at]]
+                        score = np.asarray(c[at] @ q[r])
+                    first = _best(score, cid[at], k)
+                    out["query_id"] += [qid[r]] * len(first)
+                    out["vec_id"] += cid[at[first]].tolist()
+                    out["score"] += [max(-LONG_MAX - 1, min(LONG_MAX, int(v))) for v in score[first]]
         return pd.DataFrame(out).astype("int64")
 
     return run
@@ -122,11 +162,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
             .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
             .select("qb", "rb", "vec_id", "v"))
 
-    def over_tiles(q: DataFrame, resolve: bool) -> DataFrame:
+    def over_tiles(q: DataFrame, second: bool) -> DataFrame:
         dealt = (q.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)).cast("int"))
                  .withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(r_blocks - 1)))))
         return (dealt.groupBy("qb", "rb").cogroup(rows.groupBy("qb", "rb"))
-                .applyInPandas(_tile(k, groups, scale, resolve), OUT))
+                .applyInPandas(_tile(k, groups, scale, second), OUT))
 
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     reports = over_tiles(queries, False).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

@@ -56,3 +56,25 @@ def test_copies_of_one_vector(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert K.top_k(df, F.pmod("vec_id", F.lit(50)) == 0).collect() == []
+
+
+@pytest.mark.parametrize("big", [False, True])
+def test_products_are_resolved_only_for_rows_that_can_reach_the_cutoff(big):
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=(20, 32)) * 256
+    c = np.floor(centre[rng.integers(0, 20, 3000)] + rng.normal(size=(3000, 32)) * 20) * (10 ** 9 if big else 1)
+    q, c = K._exact(c[:40], c)
+    assert (c.dtype == object) == big
+    q_len, c_len = K.part_lengths(q, 4), K.part_lengths(c, 4)
+    computed = 0
+    for r in range(len(q)):
+        score = np.asarray(c @ q[r])
+        cutoff = int(np.sort(score)[-6])
+        at, got, n = K.resolve(q[r], c, 4, q_len[r], c_len, cutoff)
+        want = np.flatnonzero(score >= cutoff)
+        assert at.tolist() == want.tolist() and got.tolist() == score[want].tolist()
+        computed += n
+    print(f"{computed} of {40 * 3000 * 4} partial products computed in the second pass")
+    assert computed < 0.6 * 40 * 3000 * 4
+    low = K.resolve(q[0], c, 4, q_len[0], c_len, -(10 ** 30))
+    assert len(low[0]) == 3000 and low[2] == 12_000
