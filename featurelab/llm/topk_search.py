@@ -76,21 +76,23 @@ def resolve(q: np.ndarray, c: np.ndarray, groups: int, q_len: np.ndarray, c_len:
             cutoff: int) -> tuple[np.ndarray, np.ndarray, int]:
     """(rows, scores, partial products computed): the rows that reach
     ``cutoff``, with their exact scores, of one query."""
-    at, score = np.arange(len(c)), np.zeros(len(c), dtype=c.dtype)
-    seen, computed = np.zeros(len(c), dtype=bool), 0
-    room = q_len * c_len  # the most that a list can hold for a row
+    at, computed, seen = None, 0, False  # at: the rows that stay, None for all
+    score, room = 0, q_len * c_len  # room: the most that a list can hold for a row
     for g, (a, b) in enumerate(_cuts(c.shape[1], groups)):
-        x = np.asarray(c[at, a:b] @ q[a:b])
-        computed += len(at)
+        x = np.asarray((c[:, a:b] if at is None else c[at, a:b]) @ q[a:b])
+        computed += len(x)
         score, seen = score + x, seen | (x * groups >= cutoff)
         if g + 1 < groups:
-            left = room[at, g + 1:]
-            most = score + left.sum(1) * (1 + 1e-12) + np.abs(score).astype(np.float64) * 1e-12 + 1
-            stay = ((most >= cutoff)
-                    & (seen | ((left.max(1) * (1 + 1e-12) + 1) * groups >= cutoff))).astype(bool)
-            at, score, seen = at[stay], score[stay], seen[stay]
-    keep = (seen & (score >= cutoff)).astype(bool)
-    return at[keep], score[keep], computed
+            left = room[:, g + 1:] if at is None else room[at, g + 1:]
+            most = score + (left.sum(1) * (1 + 1e-12) + 1)
+            if c.dtype == object:
+                most = most + np.abs(score).astype(np.float64) * 1e-12
+            stay = ((most >= cutoff) & (seen | ((left.max(1) * (1 + 1e-12) + 1) * groups >= cutoff))).astype(bool)
+            if not stay.all():
+                at = np.flatnonzero(stay) if at is None else at[stay]
+                score, seen = score[stay], seen[stay]
+    keep = np.flatnonzero((seen & (score >= cutoff)).astype(bool))
+    return keep if at is None else at[keep], score[keep], computed
 
 
 def _tile(k: int, groups: int, scale: int, second: bool):
