@@ -24,13 +24,13 @@ def workers_import(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
 
 
-def shared_table(df: DataFrame, name: str) -> DataFrame:
+def shared_table(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: the lineage ends there, so a lost executor costs only its own tasks
     and several jobs can read the result without recomputing it."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
