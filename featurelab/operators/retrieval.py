@@ -73,12 +73,28 @@ def lead_summary(docs: DataFrame, id_col: str, text_col: str, sentences: int = 5
                         (F.size("_w") > max_words).alias("was_cut"))
 
 
+WORDS_AT_ONCE = 100_000
+
+
+def _parts(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch with about ``WORDS_AT_ONCE`` words each, one text at
+    least: a word takes some hundred bytes while it is weighed."""
+    w = b.column("w")
+    # words before each text: a text's sentences, then their words
+    before = w.flatten().offsets.to_numpy()[w.offsets.to_numpy() - w.offsets[0].as_py()] if len(w.flatten()) else np.zeros(b.num_rows + 1)
+    at = 0
+    while at < b.num_rows:
+        end = max(at + 1, int(np.searchsorted(before, before[at] + WORDS_AT_ONCE, "right")) - 1)
+        yield b.slice(at, end - at)
+        at = end
+
+
 def _summaries(n: int):
     """Arrow function from (id, sentences, words per sentence): each text's
     ``n`` sentences of the highest mean word count, in text order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in _parts(whole)):
             sents, words = b.column("s"), b.column("w")
             of_doc = np.repeat(np.arange(b.num_rows), np.diff(words.offsets.to_numpy()))
             lists = words.flatten()
