@@ -174,3 +174,31 @@ def test_spread_starts_no_job(spark):
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert wide.rdd.getNumPartitions() == 4
+
+
+def test_scans_find_what_sparks_own_scans_find(spark, tmp_path):
+    texts = {"a/1.txt": "é\nx", "a/2 b.txt": "", "a=1/é%#?[].txt": "q", "_h/3.txt": "z", "_k=1/4.txt": "z\r\n", "top.txt": "t",
+             ".hid.txt": "t", "b/c/d/5.txt": "﻿bom", "b/6.csv": "no", "b/_7.txt": "h", "c/8.txt": "\udcff\udcfe"}
+    for name, text in texts.items():
+        p = tmp_path / "x y" / name
+        p.parent.mkdir(parents=True, exist_ok=True)
+        p.write_bytes(text.encode("utf-8", "surrogateescape"))
+    base = str(tmp_path / "x y")
+    for glob in ("*", "*.txt"):
+        own = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+        binary = own.format("binaryFile").load(base).withColumn("content_b64", F.base64("content"))
+        whole = own.text(base, wholetext=True).withColumn("path", F.input_file_name())
+        for want, got in ((binary, IO.read_binary(spark, base, glob)), (whole, IO.read_whole_text(spark, base, glob))):
+            assert got.dtypes == want.dtypes
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_scans_leave_file_names_to_tasks(spark, tmp_path):
+    from featurelab.sources import doc_files as D
+    base = str(tmp_path)
+    write_documents(spark.range(300).selectExpr("concat(id % 3, '/', id, '.txt') n", "'x' c"), base, "n", "c")
+    for df in (IO.read_binary(spark, base, "*.txt"), IO.read_whole_text(spark, base, "*.txt")):
+        assert df.count() == 300 and df.inputFiles() == []  # Spark's scans hold every file on the driver
+    parts = D.HeadReader({"path": base, "suffix": ".txt"}).partitions()
+    assert len(parts) == 3 and not any(p.paths for p in parts)
+    assert file_heads(spark, base, ".txt").count() == 300
