@@ -1,4 +1,6 @@
-"""Bounds on what the shared helpers hold: Arrow batches."""
+"""Bounds on what the shared helpers hold: Arrow batches and shuffle files."""
+
+import time
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -25,3 +27,19 @@ def test_long_texts_come_in_small_batches(spark):
     finally:
         spark.conf.set(C.BATCH, before)
     assert [C._bytes(x) for x in ("67108864b", "64m", "1kb", "7")] == [1 << 26, 1 << 26, 1 << 10, 7]
+
+
+def test_a_shared_table_leaves_no_shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles() -> set:
+        files = blocks.getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+    before, setting = shuffles(), spark.conf.get(C.CLEANUP)
+    df = spark.range(10_000).groupBy((F.col("id") % 999).alias("k")).count()
+    made = C.shared_table(df, "shuffles")
+    until = time.time() + 20
+    while (left := shuffles() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left and spark.conf.get(C.CLEANUP) == setting and made.count() == 999
