@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featurelab.operators import forest
 from featurelab.operators.joins import side_by_side
 
 ScoreFn = Callable[[Mapping[str, Column]], Column]
@@ -15,9 +16,9 @@ ScoreFn = Callable[[Mapping[str, Column]], Column]
 
 def batch_predict(model: PipelineModel, df: DataFrame, keep: Sequence[str], out_path: str | None = None,
                   prediction: str = "prediction") -> DataFrame:
-    """Instances in, instance + prediction out (K1).  ``transform`` stays in
-    the JVM; with ``out_path`` the result is written as JSON Lines."""
-    scored = model.transform(df).select(*keep, F.col(prediction).alias("prediction"))
+    """Instances in, instance + prediction out (K1); with ``out_path`` the
+    result is written as JSON Lines."""
+    scored = forest.predict(model, df).select(*keep, F.col(prediction).alias("prediction"))
     if out_path:
         scored.write.mode("overwrite").json(out_path)
     return scored
